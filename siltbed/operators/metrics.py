@@ -17,8 +17,9 @@ def metrics_by_source(ordered_batches: DataFrame, kinds: DataFrame, sink_kind: s
     per_src = (ordered_batches.groupBy(SOURCE_COL)
                .agg(F.count(F.lit(1)).alias("n_batches"), F.sum("n_rows").cast("long").alias("n_records")))
     # kinds is one row per source (bounded by the number of sources)
-    return (per_src.join(kinds, on=[per_src[SOURCE_COL].eqNullSafe(kinds[SOURCE_COL])], how="left")
-            .select(kinds["kind"], F.lit(sink_kind).alias("sink"), per_src[SOURCE_COL],
+    k = kinds.select(F.col(SOURCE_COL).alias("_k_src"), F.col("kind").alias("_k_kind"))
+    return (per_src.join(k, on=per_src[SOURCE_COL].eqNullSafe(k["_k_src"]), how="left")
+            .select(F.col("_k_kind").alias("kind"), F.lit(sink_kind).alias("sink"), SOURCE_COL,
                     "n_batches", "n_records"))
 
 

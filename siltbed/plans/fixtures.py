@@ -98,3 +98,28 @@ def drift_parts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
         "extra", F.concat(F.lit("x"), F.col("event_id").cast("string")))
     c = ev.where(F.col("event_type") == "view").withColumn("user_id", F.col("user_id").cast("string"))
     return [a, b, c]
+
+
+# Names in a listing that are not flush files.
+NON_FLUSH_NAMES = [("click", "merged_20240101.parquet"), ("click", "part-0.parquet"), ("click", "data_x.parquet")]
+YEAR_END_DAYS = 2202  # 2020-01-01 .. 2026-01-10
+
+
+def flush_listing(spark: SparkSession, sf_dir: str, year_ends: bool = False, extras: bool = True) -> DataFrame:
+    """One flush-file name per event (folder = event type), plus names that are not flush files.
+
+    ``year_ends`` spreads the names over 2020-01-01 .. 2026-01-10 to cross year boundaries.
+    """
+    from siltbed.functions.names import flush_file_name
+
+    ev = table(spark, sf_dir, "events")
+    if year_ends:
+        day = F.date_add(F.lit("2020-01-01").cast("date"), (F.col("event_id") % YEAR_END_DAYS).cast("int"))
+        name = F.concat(F.lit("data_"), F.date_format(day, "yyyyMMdd"), F.lit("_"), F.date_format("ts", "HHmmss"),
+                        F.lit("_"), F.format_string("%06d", F.col("event_id")), F.lit(".parquet"))
+    else:
+        name = flush_file_name(F.col("ts"), F.col("event_id"))
+    out = ev.select(F.col("event_type").alias("dir"), name.alias("name"))
+    if extras:
+        out = out.unionByName(spark.createDataFrame(NON_FLUSH_NAMES, "dir string, name string"))
+    return out
