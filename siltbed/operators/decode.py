@@ -23,6 +23,7 @@ from siltbed.sources.envelope import SOURCE_COL, source_id
 
 CORRUPT_COL = "_corrupt_record"
 REASON_COL = "reason"
+RAW_COL = "_raw_value"
 META_COLS = ["kind", SOURCE_COL, "partition", "offset", "arrival_ts"]
 QUARANTINE_COLS = META_COLS + ["value", REASON_COL]
 POLICIES = ("raise", "log", "ignore")
@@ -133,55 +134,50 @@ def decode_arrow_ipc(env: DataFrame, schema: T.StructType) -> Decoded:
     """Every record batch of every Arrow IPC payload becomes rows; bad payloads are quarantined.
 
     ``schema`` is the payload schema (declared: mapInArrow needs the output type up front).
+    Decoding runs per message inside Arrow batches on the executors; rows never pass the driver.
     """
-    env = _with_meta(env).select(*META_COLS, "value")
+    env = _with_meta(env).select(*META_COLS, F.col("value").alias(RAW_COL))
     out_schema = T.StructType(
         [env.schema[c] for c in META_COLS] + list(schema.fields)
-        + [T.StructField("value", T.BinaryType()), T.StructField(REASON_COL, T.StringType())])
+        + [T.StructField(RAW_COL, T.BinaryType()), T.StructField(REASON_COL, T.StringType())])
     names = [f.name for f in schema.fields]
     meta = list(META_COLS)
 
     def decode(batches):
         import pyarrow as pa
 
-        arrow_schema = None
+        arrow_schema = _arrow_out_schema(out_schema)
         for rb in batches:
             cols = rb.to_pydict()
-            n = rb.num_rows
-            for i in range(n):
-                raw = cols["value"][i]
+            for i in range(rb.num_rows):
+                raw = cols[RAW_COL][i]
                 m = {c: cols[c][i] for c in meta}
                 try:
                     if raw is None:
                         raise ValueError("null_value")
-                    reader = pa.ipc.open_stream(pa.py_buffer(raw))
-                    for b in reader:
-                        if arrow_schema is None:
-                            arrow_schema = _arrow_out_schema(out_schema)
-                        arrays = []
-                        for f in arrow_schema:
-                            if f.name in names:
-                                arrays.append(b.column(f.name).cast(f.type) if f.name in b.schema.names
-                                              else pa.nulls(b.num_rows, f.type))
-                            elif f.name in meta:
-                                arrays.append(pa.array([m[f.name]] * b.num_rows, type=f.type))
-                            else:
-                                arrays.append(pa.nulls(b.num_rows, f.type))
-                        yield pa.RecordBatch.from_arrays(arrays, schema=arrow_schema)
-                except Exception as e:  # noqa: BLE001 - any undecodable payload goes to quarantine
-                    reason = "null_value" if raw is None else "bad_ipc"
-                    if arrow_schema is None:
-                        arrow_schema = _arrow_out_schema(out_schema)
+                    decoded = list(pa.ipc.open_stream(pa.py_buffer(raw)))
+                except Exception:  # noqa: BLE001 - any undecodable payload goes to quarantine
                     row = {f.name: None for f in arrow_schema}
                     row.update(m)
-                    row["value"] = raw
-                    row[REASON_COL] = reason
-                    del e
+                    row[RAW_COL] = raw
+                    row[REASON_COL] = "null_value" if raw is None else "bad_ipc"
                     yield pa.RecordBatch.from_pylist([row], schema=arrow_schema)
+                    continue
+                for b in decoded:
+                    arrays = []
+                    for f in arrow_schema:
+                        if f.name in names:
+                            arrays.append(b.column(f.name).cast(f.type) if f.name in b.schema.names
+                                          else pa.nulls(b.num_rows, f.type))
+                        elif f.name in meta:
+                            arrays.append(pa.array([m[f.name]] * b.num_rows, type=f.type))
+                        else:
+                            arrays.append(pa.nulls(b.num_rows, f.type))
+                    yield pa.RecordBatch.from_arrays(arrays, schema=arrow_schema)
 
     staged = env.mapInArrow(decode, out_schema)
     good = staged.where(F.col(REASON_COL).isNull()).select(*META_COLS, *names)
-    bad = staged.where(F.col(REASON_COL).isNotNull()).select(*META_COLS, "value", REASON_COL)
+    bad = staged.where(F.col(REASON_COL).isNotNull()).select(*META_COLS, F.col(RAW_COL).alias("value"), REASON_COL)
     return Decoded(good, bad)
 
 

@@ -2,3 +2,4 @@
 
 from siltbed.plans import catalog_decode  # noqa: F401
 from siltbed.plans import catalog_plan  # noqa: F401
+from siltbed.plans import catalog_land  # noqa: F401
