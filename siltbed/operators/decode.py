@@ -184,7 +184,7 @@ def decode_arrow_ipc(env: DataFrame, schema: T.StructType) -> Decoded:
 def _arrow_out_schema(schema: T.StructType):
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    return to_arrow_schema(schema, timezone="UTC", prefers_large_types=False)
+    return to_arrow_schema(schema, timestamp_utc=True)
 
 
 def encode_arrow_ipc(df: DataFrame, block: Column, key_cols: list[str], payload: list[str]) -> DataFrame:
