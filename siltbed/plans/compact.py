@@ -50,8 +50,8 @@ class CompactOptions:
 
 
 def _dir_of(path_col: str) -> F.Column:
-    """Partition folder of a file (``_source_id=…/<col=…>``), without the batch / period leaf."""
-    return F.regexp_extract(F.col(path_col), r"/(_source_id=.*)/(?:_batch_id|_period)=[^/]+/[^/]+$", 1)
+    """Partition folder of a file (``_source_id=…/<col=…>``), without batch / period levels."""
+    return F.regexp_extract(F.col(path_col), r"/(_source_id=.*?)(?:/_period=[^/]+)?/[^/]+$", 1)
 
 
 def _conflicting(schema_jsons: list[str]) -> bool:

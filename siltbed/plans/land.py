@@ -1,15 +1,18 @@
-"""Land decoded rows as partitioned Parquet, one folder per source, partition and batch.
+"""Land decoded rows as partitioned Parquet, one folder per batch, source and partition.
 
 Layout under ``base``::
 
-    land/_source_id=<s>/<col=value>.../_batch_id=<id>/part-*.parquet
+    land/_batch_id=<id>/_source_id=<s>/<col=value>.../part-*.parquet
     _commits/_batch_id=<id>/part-*.json     one row per committed file
     _quarantine/_batch_id=<id>/reason=<r>/part-*.parquet
 
-A batch is written with dynamic partition overwrite, so replaying a batch id replaces
-its own folders and nothing else (idempotent). Its commit record is written after the
-data; readers only see files named by a commit record, so a half-written batch stays
-invisible. Many batches can be landed by one job (``batch_col``): planned flushes of a
+Commit protocol (effectively once): a batch whose commit record exists is already durable
+and is skipped, so a replayed flush (a retried micro-batch) writes nothing twice. Otherwise
+the leftovers of an earlier attempt (one folder) are removed, the rows are appended, and
+the commit record naming the written files is written last. Readers only see files named
+by a commit record, so a half-written batch stays invisible. Appends need no rename of
+partition folders at commit (unlike dynamic partition overwrite), which matters on object
+stores. Many batches can be landed by one job (``batch_col``): the planned flushes of a
 bounded backfill become one distributed write instead of a loop of small jobs.
 """
 
@@ -98,12 +101,13 @@ def _schema_json(df: DataFrame) -> str:
 
 
 def land(df: DataFrame, opts: LandOptions, *, batch_seq: int | None = None, batch_col: str | None = None,
-         flush_ts: Column | None = None) -> DataFrame:
+         flush_ts: Column | None = None, replace: bool = False) -> DataFrame:
     """Write ``df`` (decoded rows with ``_source_id``) and commit it; returns this write's commit rows.
 
     Exactly one of ``batch_seq`` (one batch) or ``batch_col`` (a column numbering many batches).
     ``flush_ts`` (many batches only): per-row time whose max per batch is that batch's flush time.
-    A single batch is stamped with the wall-clock time of its flush.
+    A single batch is stamped with the wall-clock time of its flush. ``replace`` rewrites a
+    batch that was already committed (only for batches not yet compacted).
     """
     if (batch_seq is None) == (batch_col is None):
         raise ValueError("give either batch_seq or batch_col")
@@ -116,6 +120,9 @@ def land(df: DataFrame, opts: LandOptions, *, batch_seq: int | None = None, batc
 
     if batch_seq is not None:
         bid = batch_id_str(opts, batch_seq)
+        if not replace and fs.exists(spark, f"{opts.commits_dir}/{BATCH_COL}={bid}"):
+            return read_commits(spark, opts.base).where(F.col(BATCH_COL) == bid)  # already durable
+        batch_ids = [bid]
         data = out.withColumn(BATCH_COL, F.lit(bid))
         obs = Observation(f"land_{bid}")
         data = data.observe(obs, F.count(F.lit(1)).alias("rows"))
@@ -125,11 +132,24 @@ def land(df: DataFrame, opts: LandOptions, *, batch_seq: int | None = None, batc
         # one row per batch of this write (bounded by the batch count); checkpointed, not recomputed
         flushes = cut_lineage(data.groupBy(BATCH_COL).agg(F.max(ts_expr).alias(FLUSH_TS_COL),
                                                           F.count(F.lit(1)).alias("batch_rows")))
+        batch_ids = [r[0] for r in flushes.select(BATCH_COL).collect()]
+        done = set() if replace else _committed(spark, opts, batch_ids)
+        if done:
+            data = data.where(~F.col(BATCH_COL).isin(sorted(done)))
+            flushes = flushes.where(~F.col(BATCH_COL).isin(sorted(done)))
+            batch_ids = [b for b in batch_ids if b not in done]
         data = data.drop(batch_col)
 
-    part_cols = [SOURCE_COL, *cols, BATCH_COL]
-    writer = (data.hint("rebalance", *part_cols).write.mode("overwrite")
-              .option("partitionOverwriteMode", "dynamic")
+    for b in batch_ids:  # leftovers of a failed attempt (or the replaced batch): commit first, then data
+        for d in (f"{opts.commits_dir}/{BATCH_COL}={b}", f"{opts.land_dir}/{BATCH_COL}={b}"):
+            if fs.exists(spark, d):
+                fs.delete(spark, d)
+    if not batch_ids:
+        return read_commits(spark, opts.base).where(F.lit(False))
+
+    part_cols = [BATCH_COL, SOURCE_COL, *cols]
+    # rebalance: AQE splits a hot (source, partition) into several tasks and merges small ones
+    writer = (data.hint("rebalance", *part_cols).write.mode("append")
               .option("compression", opts.compression)
               .option("parquet.enable.dictionary", str(opts.dictionary).lower()))
     if opts.max_records_per_file:
@@ -142,13 +162,28 @@ def land(df: DataFrame, opts: LandOptions, *, batch_seq: int | None = None, batc
                                         f"{BATCH_COL} string, {FLUSH_TS_COL} timestamp_ntz, batch_rows long") \
             .withColumn(FLUSH_TS_COL, F.col(FLUSH_TS_COL).cast("timestamp"))
 
-    files = written_files(spark, opts, cols, batch_seq)
+    files = written_files(spark, opts, batch_ids)
     commits = (files.join(F.broadcast(flushes), BATCH_COL, "inner")  # flushes: one row per batch
                .select("path", "length", FLUSH_TS_COL, "batch_rows", F.lit(schema_json).alias("schema_json"),
                        BATCH_COL))
-    (commits.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(BATCH_COL).json(opts.commits_dir))
-    return read_commits(spark, opts.base).join(flushes.select(BATCH_COL), BATCH_COL, "left_semi")
+    commits.coalesce(1).write.mode("append").partitionBy(BATCH_COL).json(opts.commits_dir)
+    return read_commits(spark, opts.base).where(F.col(BATCH_COL).isin(batch_ids))
+
+
+def _committed(spark, opts: LandOptions, batch_ids: list[str]) -> set[str]:
+    names = set(fs.list_dirs(spark, opts.commits_dir))
+    return {b for b in batch_ids if f"{BATCH_COL}={b}" in names}
+
+
+def written_files(spark, opts: LandOptions, batch_ids: list[str]) -> DataFrame:
+    """Files of the given batches, listed without reading their content (binaryFile path/length)."""
+    dirs = [f"{opts.land_dir}/{BATCH_COL}={b}" for b in batch_ids]
+    dirs = [d for d in dirs if fs.exists(spark, d)]
+    if not dirs:
+        return spark.createDataFrame([], f"path string, length long, {BATCH_COL} string")
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+            .option("pathGlobFilter", "*.parquet").load(dirs)
+            .select("path", "length", F.regexp_extract("path", r"/_batch_id=([^/]+)/", 1).alias(BATCH_COL)))
 
 
 def read_commits(spark, base: str) -> DataFrame:
@@ -159,15 +194,6 @@ def read_commits(spark, base: str) -> DataFrame:
     return spark.read.schema(COMMIT_SCHEMA).json(path)
 
 
-def written_files(spark, opts: LandOptions, cols: list[str], batch_seq: int | None) -> DataFrame:
-    """Files of this write, listed without reading their content (binaryFile, path/length only)."""
-    leaf = batch_id_str(opts, batch_seq) if batch_seq is not None else f"{opts.query}-*"
-    glob = "/".join([opts.land_dir, f"{SOURCE_COL}=*"] + [f"{c}=*" for c in cols] + [f"{BATCH_COL}={leaf}", "*.parquet"])
-    listing = (spark.read.format("binaryFile").option("basePath", opts.land_dir).load(glob)
-               .select("path", "length", F.regexp_extract("path", r"/_batch_id=([^/]+)/", 1).alias(BATCH_COL)))
-    return listing
-
-
 def land_quarantine(bad: DataFrame, opts: LandOptions, batch_seq: int | None = None,
                     batch_col: str | None = None) -> None:
     """Bad messages with their reason, kept raw for replay or inspection."""
@@ -175,5 +201,8 @@ def land_quarantine(bad: DataFrame, opts: LandOptions, batch_seq: int | None = N
     q = bad.withColumn(BATCH_COL, bid)
     if batch_col:
         q = q.drop(batch_col)
-    (q.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(BATCH_COL, "reason").parquet(opts.quarantine_dir))
+    if batch_seq is not None:
+        d = f"{opts.quarantine_dir}/{BATCH_COL}={batch_id_str(opts, batch_seq)}"
+        if fs.exists(spark := bad.sparkSession, d):
+            fs.delete(spark, d)
+    q.write.mode("append").partitionBy(BATCH_COL, "reason").parquet(opts.quarantine_dir)

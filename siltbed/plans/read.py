@@ -62,6 +62,21 @@ def dataset_state(spark: SparkSession, base: str) -> DatasetState:
     return DatasetState(base, version, commits, live_land, manifest)
 
 
+def live_land_paths(st: DatasetState, land_dir: str) -> dict[str, list[str]]:
+    """Paths to read per batch schema: a batch folder when all its committed files are live,
+    its live files one by one when compaction folded only part of it (bounded by batch count)."""
+    per_batch = st.commits.groupBy(BATCH_COL, "schema_json").agg(F.count(F.lit(1)).alias("n_all"))
+    live = st.live_land.groupBy(BATCH_COL).agg(F.count(F.lit(1)).alias("n_live"))
+    joined = per_batch.join(live, BATCH_COL, "left").fillna(0, ["n_live"])
+    out: dict[str, list[str]] = {}
+    for r in joined.where(F.col("n_live") == F.col("n_all")).select(BATCH_COL, "schema_json").collect():
+        out.setdefault(r[1], []).append(f"{land_dir}/{BATCH_COL}={r[0]}")
+    partial = joined.where((F.col("n_live") > 0) & (F.col("n_live") < F.col("n_all"))).select(BATCH_COL)
+    for r in st.live_land.join(partial, BATCH_COL, "left_semi").select("schema_json", "path").collect():
+        out.setdefault(r[0], []).append(r[1])
+    return out
+
+
 def _schema_from_json(s: str) -> T.StructType:
     return T.StructType.fromJson(json.loads(s))
 
@@ -71,11 +86,7 @@ def read_dataset(spark: SparkSession, base: str, include_internal: bool = False)
     st = dataset_state(spark, base)
     land_dir = f"{base.rstrip('/')}/land"
     comp_dir = f"{base.rstrip('/')}/compacted"
-    # file index: (schema, path) pairs, like any file source's listing
-    land_files = st.live_land.select("schema_json", "path").collect()
-    by_schema: dict[str, list[str]] = {}
-    for r in land_files:
-        by_schema.setdefault(r["schema_json"], []).append(r["path"])
+    by_schema = live_land_paths(st, land_dir)
     schemas = {k: _schema_from_json(k) for k in by_schema}
     all_schemas = list(schemas.values()) or [
         _schema_from_json(r[0]) for r in st.commits.select("schema_json").distinct().collect()]

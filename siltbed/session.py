@@ -23,6 +23,9 @@ SESSION_CONF = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+    # local runs only: tiny test inputs would otherwise be coalesced into a single writer task
+    # (per-file writer setup then dominates); on a cluster AQE's defaults size the partitions.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
 }
 
 
