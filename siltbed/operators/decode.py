@@ -15,7 +15,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,10 +32,24 @@ FORMATS = ("json", "arrow_ipc")
 
 @dataclass
 class Decoded:
-    """Result of a decode: typed good rows and the quarantined raw messages."""
+    """Result of a decode: typed good rows and the quarantined raw messages.
+
+    ``observation`` (declared JSON decode) counts ``rows`` and ``bad`` while the good rows
+    are computed, so a caller can skip writing an empty quarantine without another pass.
+    """
 
     good: DataFrame
     quarantine: DataFrame
+    observation: Observation | None = None
+
+    def bad_count(self) -> int | None:
+        """Bad rows seen by the last action over ``good`` (None when unknown)."""
+        if self.observation is None:
+            return None
+        try:
+            return int(self.observation.get.get("bad", 0))
+        except Exception:  # noqa: BLE001 - not observed yet
+            return None
 
 
 def check_policy(policy: str) -> str:
@@ -87,12 +101,15 @@ def decode_json(env: DataFrame, schema: T.StructType, policy: str = "log",
                                F.raise_error(F.concat(F.lit("undecodable message, reason="), F.col(REASON_COL),
                                                       F.lit(", offset="), F.col("offset").cast("string"))))
             .otherwise(F.col(REASON_COL)))
-    good = staged.where(F.col(REASON_COL).isNull()).select(
+    obs = Observation()
+    counted = staged.observe(obs, F.count(F.lit(1)).alias("rows"),
+                             F.count(F.col(REASON_COL)).alias("bad"))
+    good = counted.where(F.col(REASON_COL).isNull()).select(
         *[F.col(c) for c in meta], *[F.col(f"_d.`{f.name}`").alias(f.name) for f in schema.fields])
     bad = staged.where(F.col(REASON_COL).isNotNull()).select(*[F.col(c) for c in meta], "value", REASON_COL)
     if policy == "ignore":
         bad = bad.limit(0)
-    return Decoded(good, bad)
+    return Decoded(good, bad, obs)
 
 
 _DECIMAL = re.compile(r"DECIMAL\(\d+,\s*\d+\)")

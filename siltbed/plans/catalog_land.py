@@ -268,11 +268,14 @@ def merge_publish(spark, sf_dir):
 
 # ---- streaming ---------------------------------------------------------------------------------
 
-def _envelope_files(spark, sf_dir, name, rows_per_file=1000):
-    """The envelope landed as files (the runnable stand-in for a broker), several files."""
+STREAM_FILES = 16
+FILES_PER_TRIGGER = 4
+
+
+def _envelope_files(spark, sf_dir, name):
+    """The envelope landed as files in offset order (the runnable stand-in for a broker log)."""
     path = scratch_path(spark, name, "envelope")
-    (fx.events_envelope(spark, sf_dir).repartitionByRange(4, "offset")
-     .write.option("maxRecordsPerFile", rows_per_file).parquet(path))
+    fx.events_envelope(spark, sf_dir).repartitionByRange(STREAM_FILES, "offset").write.parquet(path)
     return path
 
 
@@ -282,7 +285,7 @@ def _stream_land(spark, sf_dir, name, compact_every=0):
     sopts = StreamOptions(checkpoint=scratch_path(spark, name, "checkpoint"), trigger={"availableNow": True},
                           compact_every=compact_every, compact=CompactOptions(period="day", min_files=2),
                           time_partitions_from="ts")
-    stream = spark.readStream.schema(ENVELOPE).option("maxFilesPerTrigger", 3).parquet(src)
+    stream = spark.readStream.schema(ENVELOPE).option("maxFilesPerTrigger", FILES_PER_TRIGGER).parquet(src)
     q = start_landing(stream, opts, sopts, schema=EVENT_SCHEMA)
     q.awaitTermination()
     if q.exception():

@@ -27,3 +27,19 @@ def exists(spark: SparkSession, path: str) -> bool:
 def delete(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
     return bool(fs.delete(p, True))
+
+
+def list_files(spark: SparkSession, path: str, suffix: str = ".parquet") -> list[tuple[str, int]]:
+    """(path, length) of every file below ``path`` whose name ends with ``suffix``, skipping
+    hidden/underscore names; bounded by what one batch or version wrote."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    out = []
+    it = fs.listFiles(p, True)
+    while it.hasNext():
+        st = it.next()
+        name = st.getPath().getName()
+        if name.endswith(suffix) and not name.startswith(("_", ".")):
+            out.append((st.getPath().toString(), int(st.getLen())))
+    return out

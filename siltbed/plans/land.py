@@ -162,10 +162,12 @@ def land(df: DataFrame, opts: LandOptions, *, batch_seq: int | None = None, batc
                                         f"{BATCH_COL} string, {FLUSH_TS_COL} timestamp_ntz, batch_rows long") \
             .withColumn(FLUSH_TS_COL, F.col(FLUSH_TS_COL).cast("timestamp"))
 
+    # the files of this write, listed once (bounded by what this write produced)
     files = written_files(spark, opts, batch_ids)
-    commits = (files.join(F.broadcast(flushes), BATCH_COL, "inner")  # flushes: one row per batch
-               .select("path", "length", FLUSH_TS_COL, "batch_rows", F.lit(schema_json).alias("schema_json"),
-                       BATCH_COL))
+    flush_rows = {r[BATCH_COL]: (r[FLUSH_TS_COL], r["batch_rows"]) for r in flushes.collect()}
+    rows = [(path, length, flush_rows[b][0], int(flush_rows[b][1]), schema_json, b)
+            for path, length, b in files if b in flush_rows]
+    commits = spark.createDataFrame(rows, COMMIT_SCHEMA)
     commits.coalesce(1).write.mode("append").partitionBy(BATCH_COL).json(opts.commits_dir)
     return read_commits(spark, opts.base).where(F.col(BATCH_COL).isin(batch_ids))
 
@@ -175,15 +177,13 @@ def _committed(spark, opts: LandOptions, batch_ids: list[str]) -> set[str]:
     return {b for b in batch_ids if f"{BATCH_COL}={b}" in names}
 
 
-def written_files(spark, opts: LandOptions, batch_ids: list[str]) -> DataFrame:
-    """Files of the given batches, listed without reading their content (binaryFile path/length)."""
-    dirs = [f"{opts.land_dir}/{BATCH_COL}={b}" for b in batch_ids]
-    dirs = [d for d in dirs if fs.exists(spark, d)]
-    if not dirs:
-        return spark.createDataFrame([], f"path string, length long, {BATCH_COL} string")
-    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-            .option("pathGlobFilter", "*.parquet").load(dirs)
-            .select("path", "length", F.regexp_extract("path", r"/_batch_id=([^/]+)/", 1).alias(BATCH_COL)))
+def written_files(spark, opts: LandOptions, batch_ids: list[str]) -> list[tuple[str, int, str]]:
+    """(path, length, batch id) of the files in the given batch folders (no content read)."""
+    out = []
+    for b in batch_ids:
+        for path, length in fs.list_files(spark, f"{opts.land_dir}/{BATCH_COL}={b}"):
+            out.append((path, length, b))
+    return out
 
 
 def read_commits(spark, base: str) -> DataFrame:
@@ -195,8 +195,13 @@ def read_commits(spark, base: str) -> DataFrame:
 
 
 def land_quarantine(bad: DataFrame, opts: LandOptions, batch_seq: int | None = None,
-                    batch_col: str | None = None) -> None:
-    """Bad messages with their reason, kept raw for replay or inspection."""
+                    batch_col: str | None = None, known_count: int | None = None) -> None:
+    """Bad messages with their reason, kept raw for replay or inspection.
+
+    ``known_count`` (e.g. observed while the good rows were written) skips an empty write.
+    """
+    if known_count == 0:
+        return
     bid = F.lit(batch_id_str(opts, batch_seq)) if batch_seq is not None else batch_id_col(opts, F.col(batch_col))
     q = bad.withColumn(BATCH_COL, bid)
     if batch_col:

@@ -73,7 +73,8 @@ def make_batch_writer(land_opts: LandOptions, sopts: StreamOptions, schema: T.St
                 good = with_time_partitions(good, sopts.time_partitions_from)
             land(good, land_opts, batch_seq=epoch_id)
             if sopts.policy == "log":
-                land_quarantine(decoded.quarantine, land_opts, batch_seq=epoch_id)
+                land_quarantine(decoded.quarantine, land_opts, batch_seq=epoch_id,
+                                known_count=decoded.bad_count())
             state["n"] += 1
             if sopts.compact_every and state["n"] % sopts.compact_every == 0:
                 compact(spark, land_opts.base, sopts.compact or CompactOptions())
