@@ -1,0 +1,37 @@
+"""Every registered query against its DuckDB oracle (row count, column names, value hash)."""
+
+import pytest
+
+import __spark_entry__ as E
+from tools.oracle_check import digest, duck
+
+KEYS = sorted(E.queries())
+
+
+@pytest.fixture(scope="module")
+def con(sf_dir):
+    return duck(sf_dir)
+
+
+def test_every_query_has_an_oracle():
+    missing = set(E.queries()) - set(E.oracle_sql())
+    assert not missing, f"queries without oracle SQL: {missing}"
+
+
+@pytest.mark.parametrize("key", KEYS)
+def test_query_matches_oracle(spark, sf_dir, con, key):
+    df = E.queries()[key](spark, sf_dir)
+    rows = [tuple(r) for r in df.collect()]
+    rel = con.sql(E.oracle_sql()[key])
+    drows = rel.fetchall()
+    assert sorted(df.columns) == sorted(rel.columns)
+    assert len(rows) == len(drows)
+    hs, ls = digest(df.columns, rows)
+    hd, ld = digest(rel.columns, drows)
+    assert hs == hd, (sorted(set(ls) - set(ld))[:3], sorted(set(ld) - set(ls))[:3])
+
+
+def test_entry_smoke(spark):
+    df = E.entry(spark)
+    assert df.columns == ["_source_id", "date", "n_events", "min_event_id", "max_event_id"]
+    assert df.count() > 0
