@@ -1,0 +1,108 @@
+"""A file-backed stand-in for the Redis operations the source uses (tests and demos only;
+no server is started). State is one JSON file guarded by a lock, so the driver and the
+Python workers see the same data."""
+
+from __future__ import annotations
+
+import base64
+import fcntl
+import json
+import os
+from contextlib import contextmanager
+
+
+class FileRedis:
+    def __init__(self, path: str):
+        self.path = path
+        if not os.path.exists(path):
+            with open(path, "w") as f:
+                json.dump({"streams": {}, "groups": {}, "lists": {}, "kv": {}}, f)
+
+    @contextmanager
+    def _state(self, write=False):
+        with open(self.path + ".lock", "a+") as lk:
+            fcntl.flock(lk, fcntl.LOCK_EX)
+            with open(self.path) as f:
+                st = json.load(f)
+            yield st
+            if write:
+                tmp = self.path + ".tmp"
+                with open(tmp, "w") as f:
+                    json.dump(st, f)
+                os.replace(tmp, self.path)
+
+    # producer side (tests)
+    def xadd_many(self, key, entries):
+        """entries: [(id, {field: bytes})]"""
+        with self._state(True) as st:
+            s = st["streams"].setdefault(key, [])
+            for eid, fields in entries:
+                s.append([eid, {k: base64.b64encode(v).decode() for k, v in fields.items()}])
+
+    def rpush(self, key, *items):
+        with self._state(True) as st:
+            st["lists"].setdefault(key, []).extend(base64.b64encode(i).decode() for i in items)
+
+    # RedisOps interface
+    def ensure_group(self, key, group):
+        with self._state(True) as st:
+            st["streams"].setdefault(key, [])
+            st["groups"].setdefault(f"{key}|{group}", "0-0")
+
+    def group_last_id(self, key, group):
+        with self._state() as st:
+            return st["groups"].get(f"{key}|{group}", "0-0")
+
+    def last_id(self, key):
+        with self._state() as st:
+            s = st["streams"].get(key, [])
+            return s[-1][0] if s else "0-0"
+
+    def xrange_after(self, key, after, until, count):
+        from siltbed.sources.redis import entry_seq
+
+        lo = entry_seq(after)
+        hi = None if until == "+" else entry_seq(until)
+        out = []
+        with self._state() as st:
+            for eid, fields in st["streams"].get(key, []):
+                s = entry_seq(eid)
+                if s > lo and (hi is None or s <= hi):
+                    out.append((eid, {k: base64.b64decode(v) for k, v in fields.items()}))
+                    if len(out) >= count:
+                        break
+        return out
+
+    def set_group_id(self, key, group, entry_id):
+        with self._state(True) as st:
+            st["groups"][f"{key}|{group}"] = entry_id
+
+    def move_items(self, key, pending, n):
+        with self._state(True) as st:
+            src = st["lists"].setdefault(key, [])
+            take, st["lists"][key] = src[:n], src[n:]
+            st["lists"].setdefault(pending, []).extend(take)
+            return len(take)
+
+    def lrange(self, key, start, stop):
+        with self._state() as st:
+            xs = st["lists"].get(key, [])
+            stop = len(xs) - 1 if stop == -1 else stop
+            return [base64.b64decode(x) for x in xs[start:stop + 1]]
+
+    def ltrim(self, key, start, stop):
+        with self._state(True) as st:
+            xs = st["lists"].get(key, [])
+            st["lists"][key] = xs[start:] if stop == -1 else xs[start:stop + 1]
+
+    def get_int(self, key):
+        with self._state() as st:
+            return int(st["kv"].get(key, 0))
+
+    def set_int(self, key, value):
+        with self._state(True) as st:
+            st["kv"][key] = int(value)
+
+
+def client(options: dict) -> FileRedis:
+    return FileRedis(options["fake_path"])
