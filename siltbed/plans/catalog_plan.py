@@ -167,3 +167,19 @@ FROM events""")
 def file_name_format(spark, sf_dir):
     ev = fx.table(spark, sf_dir, "events")
     return ev.select(F.col("event_id").alias("offset"), flush_file_name(F.col("ts"), F.col("event_id")).alias("name"))
+
+
+REDIS_BATCH = 1000
+
+
+@register("redis_batch_budget", f"""
+WITH r AS (SELECT 'stream:' || event_type AS k,
+                  (row_number() OVER (PARTITION BY event_type ORDER BY event_id) - 1) // {REDIS_BATCH} AS rnd FROM events)
+SELECT rnd AS round, count(*) AS n_streamed, count(DISTINCT k) AS n_streams,
+       CAST(greatest({REDIS_BATCH} - count(*), 0) AS BIGINT) AS list_budget
+FROM r GROUP BY rnd""")
+def redis_batch_budget(spark, sf_dir):
+    from siltbed.sources.envelope import from_redis
+
+    env = with_source(from_redis(fx.redis_frame(spark, sf_dir)))
+    return B.redis_read_rounds(env, REDIS_BATCH)

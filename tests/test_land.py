@@ -139,3 +139,17 @@ def test_commit_records_name_every_written_file(spark, good):
     assert {r["path"] for r in commits.collect()} == listed
     schema = json.loads(commits.first()["schema_json"])
     assert "date" in [f["name"] for f in schema["fields"]]
+
+
+def test_unreadable_input_file_stops_compaction_without_loss(spark, good):
+    opts = LandOptions(base=scratch_path(spark, "t_corrupt"))
+    rows = good.drop("date", "hour").withColumn("_blk", CL._block())
+    land(rows, opts, batch_col="_blk", flush_ts=F.col("arrival_ts"))
+    victim = _local(fs.list_files(spark, opts.land_dir)[0][0])
+    with open(victim, "wb") as f:
+        f.write(b"not parquet")
+    with pytest.raises(Exception):
+        compact(spark, opts.base, CompactOptions(period="month", min_files=2))
+    st = dataset_state(spark, opts.base)
+    assert st.version == 0  # nothing published; every landed file is still live
+    assert st.live_land.count() == st.commits.count()
