@@ -43,3 +43,10 @@ def list_files(spark: SparkSession, path: str, suffix: str = ".parquet") -> list
         if name.endswith(suffix) and not name.startswith(("_", ".")):
             out.append((st.getPath().toString(), int(st.getLen())))
     return out
+
+
+def glob_names(spark: SparkSession, pattern: str) -> set[str]:
+    """Names matching a Hadoop glob (``{a,b}`` alternatives allowed), in one listing call."""
+    fs, p = _fs(spark, pattern)
+    st = fs.globStatus(p)
+    return {s.getPath().getName() for s in st} if st is not None else set()

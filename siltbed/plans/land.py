@@ -140,10 +140,10 @@ def land(df: DataFrame, opts: LandOptions, *, batch_seq: int | None = None, batc
             batch_ids = [b for b in batch_ids if b not in done]
         data = data.drop(batch_col)
 
-    for b in batch_ids:  # leftovers of a failed attempt (or the replaced batch): commit first, then data
-        for d in (f"{opts.commits_dir}/{BATCH_COL}={b}", f"{opts.land_dir}/{BATCH_COL}={b}"):
-            if fs.exists(spark, d):
-                fs.delete(spark, d)
+    # leftovers of a failed attempt (or the replaced batch): commit record first, then data
+    for root in (opts.commits_dir, opts.land_dir):
+        for name in _existing(spark, root, batch_ids):
+            fs.delete(spark, f"{root}/{name}")
     if not batch_ids:
         return read_commits(spark, opts.base).where(F.lit(False))
 
@@ -172,18 +172,37 @@ def land(df: DataFrame, opts: LandOptions, *, batch_seq: int | None = None, batc
     return read_commits(spark, opts.base).where(F.col(BATCH_COL).isin(batch_ids))
 
 
+def _existing(spark, root: str, batch_ids: list[str], chunk: int = 500) -> set[str]:
+    """Folder names ``_batch_id=<id>`` under ``root`` among the given ids (one glob per chunk)."""
+    found: set[str] = set()
+    for i in range(0, len(batch_ids), chunk):
+        ids = batch_ids[i:i + chunk]
+        pattern = f"{root}/{BATCH_COL}={ids[0]}" if len(ids) == 1 else f"{root}/{BATCH_COL}={{{','.join(ids)}}}"
+        found |= fs.glob_names(spark, pattern)
+    return found
+
+
 def _committed(spark, opts: LandOptions, batch_ids: list[str]) -> set[str]:
-    names = set(fs.list_dirs(spark, opts.commits_dir))
-    return {b for b in batch_ids if f"{BATCH_COL}={b}" in names}
+    return {n.split("=", 1)[1] for n in _existing(spark, opts.commits_dir, batch_ids)}
 
 
 def written_files(spark, opts: LandOptions, batch_ids: list[str]) -> list[tuple[str, int, str]]:
-    """(path, length, batch id) of the files in the given batch folders (no content read)."""
-    out = []
-    for b in batch_ids:
-        for path, length in fs.list_files(spark, f"{opts.land_dir}/{BATCH_COL}={b}"):
-            out.append((path, length, b))
-    return out
+    """(path, length, batch id) of the files in the given batch folders (no content read).
+
+    One folder: a direct recursive listing. Many: one ``binaryFile`` listing of all folders
+    (Spark lists them in parallel; only path and length are selected, content is pruned).
+    """
+    if len(batch_ids) <= 2:
+        return [(path, length, b) for b in batch_ids
+                for path, length in fs.list_files(spark, f"{opts.land_dir}/{BATCH_COL}={b}")]
+    present = _existing(spark, opts.land_dir, batch_ids)
+    dirs = [f"{opts.land_dir}/{name}" for name in sorted(present)]
+    if not dirs:
+        return []
+    listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+               .option("pathGlobFilter", "*.parquet").load(dirs)
+               .select("path", "length", F.regexp_extract("path", r"/_batch_id=([^/]+)/", 1).alias(BATCH_COL)))
+    return [(r[0], int(r[1]), r[2]) for r in listing.collect()]
 
 
 def read_commits(spark, base: str) -> DataFrame:
