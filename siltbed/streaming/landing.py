@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from siltbed.operators.decode import check_policy, decode_json, infer_json_schema
+from siltbed.operators.decode import check_format, check_policy, decode_arrow_ipc, decode_json, infer_json_schema
 from siltbed.plans import fs
 from siltbed.plans.compact import CompactOptions, compact
 from siltbed.plans.land import LandOptions, land, land_quarantine
@@ -36,6 +36,11 @@ class StreamOptions:
     compact_every: int = 0             # compact after every k-th non-empty batch (0 = never)
     compact: CompactOptions | None = None
     time_partitions_from: str | None = None   # event-time column for date/hour partitions
+    value_format: str = "json"                # or "arrow_ipc" (then the schema must be declared)
+
+    def __post_init__(self):
+        check_format(self.value_format)
+        check_policy(self.policy)
 
 
 def pinned_schema(spark: SparkSession, checkpoint: str) -> T.StructType | None:
@@ -52,7 +57,8 @@ def pin_schema(spark: SparkSession, checkpoint: str, schema: T.StructType) -> No
 
 
 def make_batch_writer(land_opts: LandOptions, sopts: StreamOptions, schema: T.StructType | None):
-    check_policy(sopts.policy)
+    if sopts.value_format == "arrow_ipc" and schema is None:
+        raise ValueError("arrow_ipc payloads need a declared schema")
     state = {"schema": schema, "n": 0}
 
     def write(batch: DataFrame, epoch_id: int) -> None:
@@ -66,7 +72,12 @@ def make_batch_writer(land_opts: LandOptions, sopts: StreamOptions, schema: T.St
             if state["schema"] is None:
                 state["schema"] = infer_json_schema(batch)
                 pin_schema(spark, sopts.checkpoint, state["schema"])
-            decoded = decode_json(with_source(batch), state["schema"], sopts.policy)
+            if sopts.value_format == "arrow_ipc":
+                decoded = decode_arrow_ipc(with_source(batch), state["schema"])
+                if sopts.policy == "ignore":
+                    decoded.quarantine = decoded.quarantine.limit(0)
+            else:
+                decoded = decode_json(with_source(batch), state["schema"], sopts.policy)
             good = decoded.good
             if sopts.time_partitions_from:
                 from siltbed.functions.timeparts import with_time_partitions
