@@ -120,9 +120,12 @@ def compact(spark: SparkSession, base: str, opts: CompactOptions | None = None)
                            + [T.StructField(BATCH_COL, T.StringType())])
         rows = spark.read.schema(sch).option("basePath", land_root).parquet(*paths)
         frames.append(rows.join(bp, BATCH_COL, "inner").withColumnRenamed("period_key", PERIOD_COL).drop(BATCH_COL))
-    old_paths = [r[0] for r in old_comp.select("path").collect()]
+    old = old_comp.select("path", "schema_json").collect()
+    old_paths = [r[0] for r in old]
+    input_schemas = [T.StructType.fromJson(json.loads(s)) for s in set(by_schema) | {r[1] for r in old if r[1]}]
+    target = agreed_schema(input_schemas)
+    target_json = json.dumps(target.jsonValue(), sort_keys=True)
     if old_paths:
-        target = agreed_schema([T.StructType.fromJson(json.loads(s)) for s in by_schema])
         sch = T.StructType(list(target.fields) + [T.StructField(VERSION_COL, T.StringType()),
                                                   T.StructField(PERIOD_COL, T.StringType())])
         frames.append(spark.read.schema(sch).option("basePath", comp_root).parquet(*old_paths).drop(VERSION_COL))
@@ -143,14 +146,15 @@ def compact(spark: SparkSession, base: str, opts: CompactOptions | None = None)
                  .option("pathGlobFilter", "*.parquet").load(out_dir).select("path", "length")
                  .withColumn("kind", F.lit("live")).withColumn("dir", _dir_of("path"))
                  .withColumn("period_key", F.regexp_extract("path", r"/_period=([^/]+)/[^/]+$", 1))
-                 .withColumn("period", F.lit(opts.period)))
+                 .withColumn("period", F.lit(opts.period)).withColumn("schema_json", F.lit(target_json)))
     replaced = old_comp.select("path")
     keep_live = st.live_compacted.join(replaced, "path", "left_anti")
     replaced_rows = old_comp.withColumn("kind", F.lit("replaced"))
     old_dead = st.manifest.where(F.col("kind") == "replaced")
     folded_now = in_land.select("path", "length", F.lit("folded").alias("kind"), "dir", "period_key",
-                                F.lit(opts.period).alias("period"))
-    old_folded = st.manifest.where(F.col("kind") == "folded")
+                                F.lit(opts.period).alias("period"), "schema_json")
+    # folded entries are kept only while their batch still has a commit record (vacuum drops both)
+    old_folded = st.manifest.where(F.col("kind") == "folded").join(st.commits.select("path"), "path", "left_semi")
     manifest = (keep_live.unionByName(new_files).unionByName(old_folded).unionByName(folded_now)
                 .unionByName(old_dead).unionByName(replaced_rows)
                 .select(*[c.split()[0] for c in MANIFEST_SCHEMA.split(", ")]))
@@ -174,16 +178,28 @@ def _partition_cols(files: DataFrame) -> list[str]:
 
 
 def vacuum(spark: SparkSession, base: str) -> int:
-    """Delete landed files folded into the newest manifest and compacted files it replaced.
+    """Remove what the newest manifest no longer needs; returns the number of files removed.
 
-    Run it when no reader still uses an older manifest version.
+    A landed batch whose every file is folded into a compaction loses its commit record first
+    (readers stop looking for it), then its folder, in one call each. Compacted files the
+    manifest replaced are deleted one by one. Run it when no reader still uses an older version.
     """
+    from siltbed.plans.land import BATCH_COL as B_COL
+
     st = dataset_state(spark, base)
     if not st.version:
         return 0
-    folded = [r[0] for r in st.manifest.where(F.col("kind").isin("folded", "replaced")).select("path").collect()]
-    n = 0
-    for p in folded:
+    root = base.rstrip("/")
+    folded = st.manifest.where(F.col("kind") == "folded").select("path")
+    per_batch = (st.commits.join(folded.withColumn("_f", F.lit(1)), "path", "left")
+                 .groupBy(B_COL).agg(F.count(F.lit(1)).alias("n"), F.count("_f").alias("n_folded")))
+    done = per_batch.where(F.col("n") == F.col("n_folded")).select(B_COL, "n").collect()  # one row per batch
+    removed = 0
+    for b, n in done:
+        fs.delete(spark, f"{root}/_commits/{B_COL}={b}")
+        if fs.delete(spark, f"{root}/land/{B_COL}={b}"):
+            removed += int(n)
+    for (p,) in st.manifest.where(F.col("kind") == "replaced").select("path").collect():
         if fs.exists(spark, p):
-            n += int(fs.delete(spark, p))
-    return n
+            removed += int(fs.delete(spark, p))
+    return removed

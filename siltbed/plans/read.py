@@ -22,7 +22,8 @@ from siltbed.plans import fs
 from siltbed.plans.land import BATCH_COL, read_commits
 from siltbed.sources.envelope import SOURCE_COL
 
-MANIFEST_SCHEMA = "path string, length long, kind string, dir string, period_key string, period string"
+MANIFEST_SCHEMA = ("path string, length long, kind string, dir string, period_key string, period string, "
+                   "schema_json string")
 PERIOD_COL = "_period"
 VERSION_COL = "v"
 INTERNAL = (BATCH_COL, PERIOD_COL, VERSION_COL)
@@ -94,12 +95,15 @@ def read_dataset(spark: SparkSession, base: str, include_internal: bool = False)
     for sj, paths in by_schema.items():
         sch = T.StructType(list(schemas[sj].fields) + [T.StructField(BATCH_COL, T.StringType())])
         frames.append(spark.read.schema(sch).option("basePath", land_dir).parquet(*paths))
-    comp = st.live_compacted.select("path").collect()
-    if comp:
-        target = agreed_schema(all_schemas) if all_schemas else None
-        extra = [T.StructField(VERSION_COL, T.StringType()), T.StructField(PERIOD_COL, T.StringType())]
-        sch = T.StructType(list(target.fields) + extra)
-        frames.append(spark.read.schema(sch).option("basePath", comp_dir).parquet(*[r[0] for r in comp]))
+    comp_by_schema: dict[str, list[str]] = {}
+    for path, sj in st.live_compacted.select("path", "schema_json").collect():
+        comp_by_schema.setdefault(sj, []).append(path)
+    extra = [T.StructField(VERSION_COL, T.StringType()), T.StructField(PERIOD_COL, T.StringType())]
+    for sj, paths in comp_by_schema.items():
+        cs = _schema_from_json(sj)
+        all_schemas = all_schemas + [cs]
+        sch = T.StructType(list(cs.fields) + extra)
+        frames.append(spark.read.schema(sch).option("basePath", comp_dir).parquet(*paths))
     if not frames:
         target = agreed_schema(all_schemas) if all_schemas else T.StructType([T.StructField(SOURCE_COL, T.StringType())])
         return spark.createDataFrame([], target)
