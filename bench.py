@@ -27,6 +27,7 @@ def main() -> None:
     from siltbed.session import build_session
     from siltbed.plans import catalog  # noqa: F401
     from siltbed.plans import catalog_land as CL
+    from siltbed.plans import fixtures as fx
     from siltbed.plans.compact import CompactOptions, compact
     from siltbed.plans.land import LandOptions, land
     from siltbed.plans.read import dataset_state, read_dataset
@@ -65,7 +66,8 @@ def main() -> None:
     # 2. backfill as many small flushes (6-hour blocks), then compact by day
     opts2 = LandOptions(base=scratch_path(spark, "bench_small"), partition_by=["date"])
     blocks = good.withColumn("_blk", CL._block())
-    timed("land_small_flushes", lambda: land(blocks, opts2, batch_col="_blk", flush_ts=F.col("arrival_ts")))
+    plan = CL.block_plan(fx.events_envelope(spark, sf_dir))  # from the envelope: no second decode
+    timed("land_small_flushes", lambda: land(blocks, opts2, batch_col="_blk", batches=plan))
     files_before = dataset_state(spark, opts2.base).live_land.count()
     timed("counts_before_compaction", lambda: since(opts2.base))
     timed("compact_day", lambda: compact(spark, opts2.base, CompactOptions(period="day", min_files=2)).count())

@@ -192,9 +192,15 @@ def _block(ts="arrival_ts"):
     return F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / F.lit(BLOCK_SECONDS)).cast("long")
 
 
-def _land_blocks(spark, name, good, partition_by=()):
+def block_plan(env):
+    """Planned flushes from the envelope alone: block number and its last arrival (flush time)."""
+    return env.groupBy(_block().alias("_blk")).agg(F.max("arrival_ts").alias("flush_ts"))
+
+
+def _land_blocks(spark, name, good, partition_by=(), env=None):
     opts = LandOptions(base=scratch_path(spark, name), partition_by=list(partition_by))
-    land(good.withColumn("_blk", _block()), opts, batch_col="_blk", flush_ts=F.col("arrival_ts"))
+    plan = block_plan(env) if env is not None else None
+    land(good.withColumn("_blk", _block()), opts, batch_col="_blk", flush_ts=F.col("arrival_ts"), batches=plan)
     return opts
 
 
@@ -208,14 +214,14 @@ SELECT '_source_id=' || event_type AS dir, pk AS period_key, count(*) AS n_files
 
 @register("merge_compact", ROWS_SQL)
 def merge_compact(spark, sf_dir):
-    opts = _land_blocks(spark, "merge_compact", _decoded(spark, sf_dir))
+    opts = _land_blocks(spark, "merge_compact", _decoded(spark, sf_dir), env=fx.events_envelope(spark, sf_dir))
     compact(spark, opts.base, CompactOptions(period="day", min_files=2))
     return read_dataset(spark, opts.base).select(*ROW_COLS)
 
 
 @register("merge_report", _REPORT_SQL)
 def merge_report(spark, sf_dir):
-    opts = _land_blocks(spark, "merge_report", _decoded(spark, sf_dir))
+    opts = _land_blocks(spark, "merge_report", _decoded(spark, sf_dir), env=fx.events_envelope(spark, sf_dir))
     return compact(spark, opts.base, CompactOptions(period="day", min_files=2)).select(
         "dir", "period_key", "n_files", "status")
 

@@ -101,12 +101,15 @@ def _schema_json(df: DataFrame) -> str:
 
 
 def land(df: DataFrame, opts: LandOptions, *, batch_seq: int | None = None, batch_col: str | None = None,
-         flush_ts: Column | None = None, replace: bool = False) -> DataFrame:
+         flush_ts: Column | None = None, batches: DataFrame | None = None, replace: bool = False) -> DataFrame:
     """Write ``df`` (decoded rows with ``_source_id``) and commit it; returns this write's commit rows.
 
     Exactly one of ``batch_seq`` (one batch) or ``batch_col`` (a column numbering many batches).
     ``flush_ts`` (many batches only): per-row time whose max per batch is that batch's flush time.
-    A single batch is stamped with the wall-clock time of its flush. ``replace`` rewrites a
+    ``batches`` (many batches only): the batch plan, columns (``batch_col``, ``flush_ts``), made
+    from the envelope's cheap columns; without it the plan is aggregated from ``df`` itself,
+    which evaluates ``df`` (e.g. its decode) one extra time. A single batch is stamped with the
+    wall-clock time of its flush. ``replace`` rewrites a
     batch that was already committed (only for batches not yet compacted).
     """
     if (batch_seq is None) == (batch_col is None):
@@ -128,10 +131,16 @@ def land(df: DataFrame, opts: LandOptions, *, batch_seq: int | None = None, batc
         data = data.observe(obs, F.count(F.lit(1)).alias("rows"))
     else:
         data = out.withColumn(BATCH_COL, batch_id_col(opts, F.col(batch_col)))
-        ts_expr = (flush_ts if flush_ts is not None else F.current_timestamp()).cast("timestamp")
+        if batches is not None:
+            plan = batches.select(batch_id_col(opts, F.col(batch_col)).alias(BATCH_COL),
+                                  F.col(FLUSH_TS_COL).cast("timestamp").alias(FLUSH_TS_COL),
+                                  F.lit(None).cast("long").alias("batch_rows"))
+        else:
+            ts_expr = (flush_ts if flush_ts is not None else F.current_timestamp()).cast("timestamp")
+            plan = data.groupBy(BATCH_COL).agg(F.max(ts_expr).alias(FLUSH_TS_COL),
+                                               F.count(F.lit(1)).alias("batch_rows"))
         # one row per batch of this write (bounded by the batch count); checkpointed, not recomputed
-        flushes = cut_lineage(data.groupBy(BATCH_COL).agg(F.max(ts_expr).alias(FLUSH_TS_COL),
-                                                          F.count(F.lit(1)).alias("batch_rows")))
+        flushes = cut_lineage(plan)
         batch_ids = [r[0] for r in flushes.select(BATCH_COL).collect()]
         done = set() if replace else _committed(spark, opts, batch_ids)
         if done:
@@ -165,8 +174,8 @@ def land(df: DataFrame, opts: LandOptions, *, batch_seq: int | None = None, batc
     # the files of this write, listed once (bounded by what this write produced)
     files = written_files(spark, opts, batch_ids)
     flush_rows = {r[BATCH_COL]: (r[FLUSH_TS_COL], r["batch_rows"]) for r in flushes.collect()}
-    rows = [(path, length, flush_rows[b][0], int(flush_rows[b][1]), schema_json, b)
-            for path, length, b in files if b in flush_rows]
+    rows = [(path, length, flush_rows[b][0], None if flush_rows[b][1] is None else int(flush_rows[b][1]),
+             schema_json, b) for path, length, b in files if b in flush_rows]
     commits = spark.createDataFrame(rows, COMMIT_SCHEMA)
     commits.coalesce(1).write.mode("append").partitionBy(BATCH_COL).json(opts.commits_dir)
     return read_commits(spark, opts.base).where(F.col(BATCH_COL).isin(batch_ids))
