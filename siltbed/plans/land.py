@@ -198,12 +198,9 @@ def _committed(spark, opts: LandOptions, batch_ids: list[str]) -> set[str]:
 def written_files(spark, opts: LandOptions, batch_ids: list[str]) -> list[tuple[str, int, str]]:
     """(path, length, batch id) of the files in the given batch folders (no content read).
 
-    One folder: a direct recursive listing. Many: one ``binaryFile`` listing of all folders
-    (Spark lists them in parallel; only path and length are selected, content is pruned).
+    One ``binaryFile`` listing of the batch folders: Spark lists them (in parallel when many)
+    and only path and length are selected, so file content is never read.
     """
-    if len(batch_ids) <= 2:
-        return [(path, length, b) for b in batch_ids
-                for path, length in fs.list_files(spark, f"{opts.land_dir}/{BATCH_COL}={b}")]
     present = _existing(spark, opts.land_dir, batch_ids)
     dirs = [f"{opts.land_dir}/{name}" for name in sorted(present)]
     if not dirs:
