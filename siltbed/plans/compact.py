@@ -19,7 +19,7 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,6 +41,8 @@ class CompactOptions:
     week_year: str = "iso"
     compression: str = "snappy"
     enabled: bool = True
+    max_files: int = 0   # files folded per round (0 = all); oldest periods first, the rest wait
+
 
     def __post_init__(self):
         if self.period not in PERIODS:
@@ -83,6 +85,13 @@ def plan(spark: SparkSession, base: str, opts: CompactOptions):
         groups = groups.join(F.broadcast(bad_df), "schemas", "left")
         status = status.when(F.col("_bad"), F.lit("schema_conflict"))
     groups = groups.withColumn("status", status.otherwise(F.lit("merged")))
+    if opts.max_files:
+        # a bounded round: qualifying groups in period order while the file budget lasts
+        w = Window.orderBy("period_key", "dir").rowsBetween(Window.unboundedPreceding, 0)
+        running = F.sum(F.when(F.col("status") == "merged", F.col("n_files")).otherwise(F.lit(0))).over(w)
+        groups = groups.withColumn("status", F.when((F.col("status") == "merged") & (running > opts.max_files)
+                                                    & (running - F.col("n_files") > 0), F.lit("deferred"))
+                                   .otherwise(F.col("status")))
     return st, landed, groups.select("dir", "period_key", "n_files", "bytes", "status")
 
 

@@ -153,3 +153,18 @@ def test_unreadable_input_file_stops_compaction_without_loss(spark, good):
     st = dataset_state(spark, opts.base)
     assert st.version == 0  # nothing published; every landed file is still live
     assert st.live_land.count() == st.commits.count()
+
+
+def test_bounded_compaction_round_defers_the_rest(spark, good):
+    opts = LandOptions(base=scratch_path(spark, "t_bounded"))
+    rows = good.drop("date", "hour").withColumn("_blk", CL._block())
+    land(rows, opts, batch_col="_blk", flush_ts=F.col("arrival_ts"))
+    rep = compact(spark, opts.base, CompactOptions(period="day", min_files=2, max_files=20)).collect()
+    merged = [r for r in rep if r["status"] == "merged"]
+    assert merged and sum(r["n_files"] for r in merged) <= 20 + max(r["n_files"] for r in merged)
+    assert any(r["status"] == "deferred" for r in rep)
+    assert read_dataset(spark, opts.base).count() == good.count()
+    # the next round picks up what was deferred
+    rep2 = compact(spark, opts.base, CompactOptions(period="day", min_files=2)).collect()
+    assert not any(r["status"] == "deferred" for r in rep2)
+    assert read_dataset(spark, opts.base).count() == good.count()
