@@ -29,6 +29,7 @@ from siltbed.operators.unions import agreed_schema, union_widened
 from siltbed.plans import fs
 from siltbed.plans.land import BATCH_COL, FLUSH_TS_COL
 from siltbed.plans.read import (MANIFEST_SCHEMA, PERIOD_COL, VERSION_COL, dataset_state, manifest_dir)
+from siltbed.session import cut_lineage
 from siltbed.sources.envelope import SOURCE_COL
 
 REPORT_SCHEMA = "dir string, period_key string, n_files long, bytes long, status string"
@@ -101,7 +102,9 @@ def compact(spark: SparkSession, base: str, opts: CompactOptions | None = None)
     if not opts.enabled:
         return spark.createDataFrame([], REPORT_SCHEMA)
     st, landed, groups = plan(spark, base, opts)
-    groups = groups.cache()
+    # the plan must not be recomputed after publishing (its files then count as folded):
+    # materialize it once with a reliable checkpoint; it is one row per group
+    groups = cut_lineage(groups)
     chosen = groups.where(F.col("status") == "merged").select("dir", "period_key")
     n_groups = chosen.count()
     if n_groups == 0:

@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import json
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -111,7 +110,3 @@ def read_dataset(spark: SparkSession, base: str, include_internal: bool = False)
     if not include_internal:
         out = out.drop(*[c for c in INTERNAL if c in out.columns])
     return out
-
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
