@@ -103,3 +103,25 @@ def start_landing(stream: DataFrame, land_opts: LandOptions, sopts: StreamOption
     if query_name:
         w = w.queryName(query_name)
     return w.start()
+
+
+def stop_after_batches(query, max_batches: int, timeout_s: float = 3600.0, poll_s: float = 0.5) -> int:
+    """Stop a running query once ``max_batches`` non-empty micro-batches have finished (0 = run on).
+
+    Safe to stop early: a batch whose offsets were planned but not committed is replayed on
+    restart, and its landing is idempotent. Returns the number of non-empty batches seen.
+    """
+    import time
+
+    from siltbed.streaming.progress import totals
+
+    if not max_batches:
+        query.awaitTermination(timeout_s)
+        return totals(query)["batches"]
+    deadline = time.monotonic() + timeout_s
+    while query.isActive and time.monotonic() < deadline:
+        if totals(query)["batches"] >= max_batches:
+            query.stop()
+            break
+        time.sleep(poll_s)
+    return totals(query)["batches"]

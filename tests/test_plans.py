@@ -33,3 +33,9 @@ def test_json_decode_stays_in_the_jvm(spark, sf_dir):
 
     p = _plan(json_decode_declared(spark, sf_dir))
     assert "from_json" in p and "PythonUDF" not in p and "BatchEvalPython" not in p
+
+
+def test_ordinal_range_shuffle_is_reused(spark, sf_dir):
+    q = CP.batch_plan(spark, sf_dir)
+    q.collect()
+    assert "ReusedExchange" in _plan(q)  # both uses of the range-partitioned keys share one shuffle
