@@ -46,3 +46,39 @@ def test_ordinal_splits_a_hot_source(spark, sf_dir):
     # ranks follow the offset order
     pairs = sorted((r[0], r[1]) for r in hot.select("offset", "_rn").collect())
     assert [p[1] for p in pairs] == list(range(1, n + 1))
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(bad_every=st.integers(min_value=2, max_value=50), null_every=st.integers(min_value=2, max_value=50))
+def test_rows_in_equal_good_plus_quarantined(spark, sf_dir, bad_every, null_every):
+    from siltbed.operators.decode import decode_json
+    from siltbed.plans.catalog_decode import EVENT_SCHEMA
+
+    env = with_source(fx.events_envelope(spark, sf_dir))
+    o = F.col("offset")
+    env = env.withColumn("value", F.when(o % bad_every == 0, F.lit("{oops").cast("binary"))
+                         .when(o % null_every == 0, F.lit(None).cast("binary")).otherwise(F.col("value")))
+    d = decode_json(env, EVENT_SCHEMA)
+    good, bad = d.good.count(), d.quarantine.count()
+    assert good + bad == env.count()
+    assert d.bad_count() == bad  # observed while the good rows were counted
+
+
+@settings(max_examples=2, deadline=None, suppress_health_check=list(HealthCheck))
+@given(block_hours=st.sampled_from([3, 12, 48]), min_files=st.integers(min_value=1, max_value=4),
+       period=st.sampled_from(["hour", "day", "week", "month"]))
+def test_compaction_keeps_every_row(spark, sf_dir, block_hours, min_files, period):
+    from siltbed.plans import catalog_land as CL
+    from siltbed.plans.compact import CompactOptions, compact
+    from siltbed.plans.land import LandOptions, land
+    from siltbed.plans.read import read_dataset
+    from siltbed.session import scratch_path
+
+    good = CL._decoded(spark, sf_dir)
+    blk = F.floor(F.unix_seconds(F.col("arrival_ts")) / F.lit(block_hours * 3600)).cast("long")
+    opts = LandOptions(base=scratch_path(spark, "t_prop_compact"))
+    land(good.withColumn("_blk", blk), opts, batch_col="_blk", flush_ts=F.col("arrival_ts"))
+    before = sorted(r[0] for r in read_dataset(spark, opts.base).select("offset").collect())
+    compact(spark, opts.base, CompactOptions(period=period, min_files=min_files))
+    after = sorted(r[0] for r in read_dataset(spark, opts.base).select("offset").collect())
+    assert before == after and len(after) == good.count()
