@@ -70,7 +70,9 @@ def main() -> None:
     timed("land_small_flushes", lambda: land(blocks, opts2, batch_col="_blk", batches=plan))
     files_before = dataset_state(spark, opts2.base).live_land.count()
     timed("counts_before_compaction", lambda: since(opts2.base))
-    timed("compact_day", lambda: compact(spark, opts2.base, CompactOptions(period="day", min_files=2)).count())
+    report = timed("compact_day", lambda: compact(spark, opts2.base, CompactOptions(period="day", min_files=2))
+                   .where("status = 'merged'").agg(F.sum("bytes")).first()[0])
+    extra["compaction_mb_per_sec"] = round((report or 0) / 1e6 / max(times["compact_day"], 1e-9), 3)
     st = dataset_state(spark, opts2.base)
     files_after = st.live_land.count() + st.live_compacted.count()
     timed("counts_after_compaction", lambda: since(opts2.base))
