@@ -47,25 +47,19 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; create a local one only if none is configured."""
+    """The shared folder named by ``spark.checkpoint.dir``; a local one is made only when unset.
+
+    The same folder is registered as the SparkContext checkpoint dir (Spark adds a per-app
+    subfolder under it), so ``DataFrame.checkpoint`` and our scratch outputs share one root.
+    """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current.rsplit("/", 1)[0] if _looks_like_uuid(current.rsplit("/", 1)[-1]) else current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="siltbed-ckpt-")
+        configured = tempfile.mkdtemp(prefix="siltbed-ckpt-")  # local runs only (tests)
         spark.conf.set("spark.checkpoint.dir", configured)
-    sc.setCheckpointDir(configured)
-    return configured
-
-
-def _looks_like_uuid(s: str) -> bool:
-    try:
-        uuid.UUID(s)
-        return True
-    except ValueError:
-        return False
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(configured)
+    return configured.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
