@@ -168,3 +168,17 @@ def test_bounded_compaction_round_defers_the_rest(spark, good):
     rep2 = compact(spark, opts.base, CompactOptions(period="day", min_files=2)).collect()
     assert not any(r["status"] == "deferred" for r in rep2)
     assert read_dataset(spark, opts.base).count() == good.count()
+
+
+def test_monthly_load_files_are_ordered(spark, sf_dir):
+    from siltbed.plans.catalog_land import monthly_sorted_load
+
+    df = monthly_sorted_load(spark, sf_dir)
+    files = {r[0] for r in df.select(F.input_file_name()).distinct().collect()}
+    assert files
+    for path in files:
+        t = pq.read_table(_local(path)).to_pydict()
+        keys = list(zip(t["ts"], t["user_id"]))
+        assert keys == sorted(keys), path
+    months = {r[0] for r in df.select("month").distinct().collect()}
+    assert months == {"2024-01"}
