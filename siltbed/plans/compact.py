@@ -43,6 +43,7 @@ class CompactOptions:
     compression: str = "snappy"
     enabled: bool = True
     max_files: int = 0   # files folded per round (0 = all); oldest periods first, the rest wait
+    target_file_bytes: int = 128 * 1024 * 1024   # output size: a big period becomes several files
 
 
     def __post_init__(self):
@@ -144,14 +145,21 @@ def compact(spark: SparkSession, base: str, opts: CompactOptions | None = None)
     rows = union_widened(frames) if len(frames) > 1 else frames[0]
 
     part_cols = _partition_cols(in_land)
+    # rows per output file from the inputs' average row size (footer counts, no data read)
+    in_paths = [p for ps in by_schema.values() for p in ps] + old_paths
+    in_bytes = (in_land.agg(F.sum("length")).first()[0] or 0) + (old_comp.agg(F.sum("length")).first()[0] or 0)
+    in_rows = spark.read.parquet(*in_paths).count() if in_paths else 0
+    per_file = max(1, int(opts.target_file_bytes * in_rows / in_bytes)) if in_bytes and in_rows else 0
     obs = Observation(f"compact_v{version}")
     rows = rows.observe(obs, F.count(F.lit(1)).alias("rows"))
-    (rows.hint("rebalance", *part_cols, PERIOD_COL).write.mode("errorifexists")
-     .option("compression", opts.compression).option("parquet.enable.dictionary", "false")
-     .partitionBy(*part_cols, PERIOD_COL).parquet(out_dir))
+    writer = (rows.hint("rebalance", *part_cols, PERIOD_COL).write.mode("errorifexists")
+              .option("compression", opts.compression).option("parquet.enable.dictionary", "false"))
+    if per_file:
+        writer = writer.option("maxRecordsPerFile", per_file)
+    writer.partitionBy(*part_cols, PERIOD_COL).parquet(out_dir)
     rows_in = int(obs.get.get("rows", 0))
     rows_out = spark.read.parquet(out_dir).count()
-    if rows_in != rows_out:
+    if rows_in != rows_out or (in_rows and rows_in != in_rows):
         raise RuntimeError(f"compaction v{version}: read {rows_in} rows but wrote {rows_out}; not published")
 
     new_files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")

@@ -182,3 +182,16 @@ def test_monthly_load_files_are_ordered(spark, sf_dir):
         assert keys == sorted(keys), path
     months = {r[0] for r in df.select("month").distinct().collect()}
     assert months == {"2024-01"}
+
+
+def test_compaction_splits_a_large_period_by_target_size(spark, good):
+    opts = LandOptions(base=scratch_path(spark, "t_target"))
+    rows = good.drop("date", "hour").withColumn("_blk", CL._block())
+    land(rows, opts, batch_col="_blk", flush_ts=F.col("arrival_ts"))
+    total = sum(length for _, length in fs.list_files(spark, opts.land_dir))
+    # a month per source is one group; a tiny target forces several files per group
+    compact(spark, opts.base, CompactOptions(period="month", min_files=2, target_file_bytes=max(1, total // 40)))
+    st = dataset_state(spark, opts.base)
+    per_group = {r[0]: r[1] for r in st.live_compacted.groupBy("dir").count().collect()}
+    assert per_group and all(n >= 2 for n in per_group.values())
+    assert read_dataset(spark, opts.base).count() == good.count()
