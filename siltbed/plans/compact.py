@@ -42,7 +42,7 @@ class CompactOptions:
     week_year: str = "iso"
     compression: str = "snappy"
     enabled: bool = True
-    max_files: int = 0   # files folded per round (0 = all); oldest periods first, the rest wait
+    max_files: int = 100_000   # files folded per round (0 = all); oldest periods first, the rest wait
     target_file_bytes: int = 128 * 1024 * 1024   # output size: a big period becomes several files
 
 

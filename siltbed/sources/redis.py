@@ -7,8 +7,9 @@ Streams are read through a consumer group, replay-safe:
 * ``commit()`` (after the batch has landed) moves the group to the batch end with
   ``XGROUP SETID``; nothing is acknowledged before the data is durable.
 Lists are destructive queues, so each trigger moves up to ``batch_size`` items (lists in
-key order, first non-empty key first) into a per-group pending list; a micro-batch reads
-pending items by index and ``commit()`` trims them. A failed batch is read again.
+key order, first non-empty key first) into a per-group pending list, server side (a Lua
+``LMOVE`` loop: items never pass through the driver); a micro-batch reads pending items by
+index on executors and ``commit()`` trims them. A failed batch is read again.
 
 Each row is ``kind, key, entry_seq, entry_id, arrival_ts, fields`` (fields map<string,binary>;
 list items arrive as ``{"value": item}``). ``siltbed.sources.envelope.from_redis`` turns it
@@ -85,14 +86,17 @@ class RedisOps:
     def set_group_id(self, key, group, entry_id):
         self.c.xgroup_setid(key, group, entry_id)
 
+    # server-side move of up to n items (items never travel through the driver)
+    MOVE_SCRIPT = (
+        "local moved = 0 "
+        "for i = 1, tonumber(ARGV[1]) do "
+        "  if not redis.call('LMOVE', KEYS[1], KEYS[2], 'LEFT', 'RIGHT') then break end "
+        "  moved = moved + 1 "
+        "end "
+        "return moved")
+
     def move_items(self, key, pending, n):
-        pipe = self.c.pipeline(transaction=True)
-        pipe.lrange(key, 0, n - 1)
-        pipe.ltrim(key, n, -1)
-        items, _ = pipe.execute()
-        if items:
-            self.c.rpush(pending, *items)
-        return len(items)
+        return int(self.c.eval(self.MOVE_SCRIPT, 2, key, pending, int(n)))
 
     def lrange(self, key, start, stop):
         return self.c.lrange(key, start, stop)
