@@ -107,33 +107,38 @@ def compact(spark: SparkSession, base: str, opts: CompactOptions | None = None)
     # materialize it once with a reliable checkpoint; it is one row per group
     groups = cut_lineage(groups)
     chosen = groups.where(F.col("status") == "merged").select("dir", "period_key")
-    n_groups = chosen.count()
-    if n_groups == 0:
-        return groups
     in_land = landed.join(chosen, ["dir", "period_key"], "left_semi").cache()
     same_period = F.col("period") == F.lit(opts.period)
     old_comp = (st.live_compacted.where(same_period).join(chosen, ["dir", "period_key"], "left_semi").cache())
+    # the round's file list, collected once (bounded by max_files): paths per schema, the
+    # period of every batch and the input bytes all come from it
+    land_files = in_land.select("path", "schema_json", "length", BATCH_COL, "period_key", "dir").collect()
+    if not land_files:
+        in_land.unpersist()
+        old_comp.unpersist()
+        return groups
+    old = old_comp.select("path", "schema_json", "length").collect()
 
     land_root = f"{base.rstrip('/')}/land"
     comp_root = f"{base.rstrip('/')}/compacted"
     version = st.version + 1
     out_dir = f"{comp_root}/v={version:012d}"
 
-    frames = []
-    # landed rows: period comes from their batch (one row per batch: bounded by batch count)
-    batch_period = in_land.select(BATCH_COL, "period_key").distinct()
-    land_by_schema = in_land.select("schema_json", "path").collect()
+    frames, raw = [], []
     by_schema: dict[str, list[str]] = {}
-    for r in land_by_schema:
-        by_schema.setdefault(r[0], []).append(r[1])
-    n_batches = batch_period.count()
-    bp = F.broadcast(batch_period) if n_batches <= BROADCAST_MAX_ROWS else batch_period
+    periods: dict[str, str] = {}
+    for r in land_files:
+        by_schema.setdefault(r["schema_json"], []).append(r["path"])
+        periods[r[BATCH_COL]] = r["period_key"]
+    # landed rows take the period of their batch (one row per batch: bounded by the file list)
+    batch_period = spark.createDataFrame(sorted(periods.items()), f"{BATCH_COL} string, period_key string")
+    bp = F.broadcast(batch_period) if len(periods) <= BROADCAST_MAX_ROWS else batch_period
     for sj, paths in by_schema.items():
         sch = T.StructType(list(T.StructType.fromJson(json.loads(sj)).fields)
                            + [T.StructField(BATCH_COL, T.StringType())])
         rows = spark.read.schema(sch).option("basePath", land_root).parquet(*paths)
+        raw.append(rows)
         frames.append(rows.join(bp, BATCH_COL, "inner").withColumnRenamed("period_key", PERIOD_COL).drop(BATCH_COL))
-    old = old_comp.select("path", "schema_json").collect()
     old_paths = [r[0] for r in old]
     input_schemas = [T.StructType.fromJson(json.loads(s)) for s in set(by_schema) | {r[1] for r in old if r[1]}]
     target = agreed_schema(input_schemas)
@@ -141,14 +146,15 @@ def compact(spark: SparkSession, base: str, opts: CompactOptions | None = None)
     if old_paths:
         sch = T.StructType(list(target.fields) + [T.StructField(VERSION_COL, T.StringType()),
                                                   T.StructField(PERIOD_COL, T.StringType())])
-        frames.append(spark.read.schema(sch).option("basePath", comp_root).parquet(*old_paths).drop(VERSION_COL))
+        old_rows = spark.read.schema(sch).option("basePath", comp_root).parquet(*old_paths)
+        raw.append(old_rows)
+        frames.append(old_rows.drop(VERSION_COL))
     rows = union_widened(frames) if len(frames) > 1 else frames[0]
 
-    part_cols = _partition_cols(in_land)
+    part_cols = _partition_cols([r["dir"] for r in land_files])
     # rows per output file from the inputs' average row size (footer counts, no data read)
-    in_paths = [p for ps in by_schema.values() for p in ps] + old_paths
-    in_bytes = (in_land.agg(F.sum("length")).first()[0] or 0) + (old_comp.agg(F.sum("length")).first()[0] or 0)
-    in_rows = spark.read.parquet(*in_paths).count() if in_paths else 0
+    in_bytes = sum(int(r["length"] or 0) for r in land_files) + sum(int(r["length"] or 0) for r in old)
+    in_rows = sum(f.count() for f in raw)  # the reads' own file index: footers only
     per_file = max(1, int(opts.target_file_bytes * in_rows / in_bytes)) if in_bytes and in_rows else 0
     obs = Observation(f"compact_v{version}")
     rows = rows.observe(obs, F.count(F.lit(1)).alias("rows"))
@@ -186,9 +192,9 @@ def compact(spark: SparkSession, base: str, opts: CompactOptions | None = None)
     return report
 
 
-def _partition_cols(files: DataFrame) -> list[str]:
+def _partition_cols(dirs: list[str]) -> list[str]:
     """Partition columns in landed order, from the few distinct folder shapes of the inputs."""
-    shapes = [r[0] for r in files.select(F.regexp_replace("dir", "=[^/]*", "").alias("s")).distinct().collect()]
+    shapes = {"/".join(part.split("=", 1)[0] for part in d.split("/")) for d in dirs}
     cols: list[str] = []
     for shape in sorted(shapes, key=len, reverse=True):
         for c in shape.split("/"):
