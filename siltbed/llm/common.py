@@ -6,6 +6,7 @@ import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,14 +49,15 @@ def slices(batch, rows: int = 512):
         yield batch.slice(at, rows)
 
 
-def range_buckets(df: DataFrame, key: str, rows_per_bucket: int) -> Column:
+def range_buckets(df: DataFrame, key: str, rows_per_bucket: int = 20_000, most: int = 2_000) -> Column:
     """Bucket number of the numeric column ``key``, rising with it, of about ``rows_per_bucket`` rows each.
 
     The bounds are fixed once, as literals, from a quantile sketch; so every later use of the
-    column sees the same buckets whatever partitions it runs in. Nulls are in bucket -1.
+    column sees the same buckets whatever partitions it runs in. There are at most ``most``
+    buckets: beyond that they hold more rows. Nulls are in bucket -1.
     """
     n = df.select(F.count(key)).first()[0]
-    cuts = max(0, n // rows_per_bucket)
+    cuts = min(most, n // rows_per_bucket)
     if not cuts:
         return F.when(F.col(key).isNull(), -1).otherwise(0)
     marks = [i / (cuts + 1) for i in range(1, cuts + 1)]
@@ -63,6 +65,21 @@ def range_buckets(df: DataFrame, key: str, rows_per_bucket: int) -> Column:
     return bucket_of(F.col(key), bounds)
 
 
+def running_total(df: DataFrame, size: str, order: list[str], rows_per_bucket: int = 20_000) -> DataFrame:
+    """``df`` with ``before``: the sum of ``size`` over all rows that come earlier in ``order``.
+
+    Range buckets by the first order column, sums inside each bucket, and sums of the (bounded) buckets; no
+    task sees more than a bucket. Materialize ``df`` before, so that ties keep one order.
+    """
+    df = df.withColumn("bucket", range_buckets(df, order[0], rows_per_bucket))
+    totals = df.groupBy("bucket").agg(F.sum(size).alias("total"))
+    earlier = W.orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)  # a row for each bucket only
+    totals = materialize(totals.select("bucket", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("first")), "totals")
+    inside = W.partitionBy("bucket").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    df = df.withColumn("before", F.coalesce(F.sum(size).over(inside), F.lit(0)))
+    return df.join(totals, "bucket").withColumn("before", F.col("before") + F.col("first")).drop("bucket", "first")
+
+
 def bucket_of(value: Column, bounds: list) -> Column:
     """How many of the sorted ``bounds`` are below ``value``, as nested comparisons (log2 of their number deep)."""
 

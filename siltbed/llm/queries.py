@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltbed.llm import line_dedup, mixing, quality, simhash
+from siltbed.llm import line_dedup, mixing, packing, quality, simhash
 from siltbed.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,3 +47,8 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document with its repeated lines taken out."""
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_chars")
+
+
+@register("op3_packing")
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), length=2048, end=1)
