@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltbed.llm import line_dedup, mixing, packing, quality, simhash
+from siltbed.llm import fingerprints, line_dedup, mixing, packing, quality, simhash
 from siltbed.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,3 +52,8 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op3_packing")
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), length=2048, end=1)
+
+
+@register("op4_fingerprints")
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_and_next(table(spark, sf_dir, "documents"))
