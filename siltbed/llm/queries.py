@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltbed.llm import fingerprints, line_dedup, mixing, packing, pii, quality, simhash
+from siltbed.llm import fingerprints, line_dedup, mixing, packing, pii, quality, secret_scan, simhash
 from siltbed.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +62,8 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op8_pii")
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(table(spark, sf_dir, "documents"))
+
+
+@register("op5_secrets")
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(table(spark, sf_dir, "documents"))
