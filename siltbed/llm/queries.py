@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltbed.llm import fingerprints, line_dedup, mixing, packing, pii, quality, secret_scan, simhash
+from siltbed.llm import fingerprints, line_dedup, mixing, packing, pii, quality, secret_scan, simhash, toxicity
 from siltbed.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +67,8 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op5_secrets")
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(table(spark, sf_dir, "documents"))
+
+
+@register("op2_toxicity")
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
