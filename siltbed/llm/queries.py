@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltbed.llm import fingerprints, line_dedup, mixing, packing, pii, quality, secret_scan, simhash, toxicity
+from siltbed.llm import fingerprints, html_extract, line_dedup, mixing, packing, pii, quality, secret_scan, simhash, toxicity
 from siltbed.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +72,9 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op2_toxicity")
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op6_html_text")
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_extract.extract(pages, html_extract.train(pages))
