@@ -75,12 +75,22 @@ def _text(col: str = "value") -> Column:
     return F.col(col).cast("string")
 
 
+def meta_names(meta: list[str], payload: list[str]) -> dict[str, str]:
+    """Landed names of the envelope columns: a payload field of the same name keeps it, the envelope's gets a prefix."""
+    taken = {p.lower() for p in payload}
+    return {c: f"_meta_{c}" if c.lower() in taken else c for c in meta}
+
+
+def _is_object(text: Column) -> Column:
+    return text.rlike(r"^\s*\{")
+
+
 def json_reason(corrupt: Column, text: Column, raw: Column) -> Column:
     """Why a message failed to decode, or null when it decoded."""
     return (F.when(raw.isNull(), F.lit("null_value"))
             .when(corrupt.isNull(), F.lit(None).cast("string"))
             .when(F.try_parse_json(text).isNull(), F.lit("malformed"))
-            .when(~F.ltrim(text).startswith("{"), F.lit("not_object"))
+            .when(~_is_object(text), F.lit("not_object"))
             .otherwise(F.lit("schema_mismatch")))
 
 
@@ -104,97 +114,128 @@ def decode_json(env: DataFrame, schema: T.StructType, policy: str = "log",
     obs = Observation()
     counted = staged.observe(obs, F.count(F.lit(1)).alias("rows"),
                              F.count(F.col(REASON_COL)).alias("bad"))
+    names = meta_names(meta, [f.name for f in schema.fields])
     good = counted.where(F.col(REASON_COL).isNull()).select(
-        *[F.col(c) for c in meta], *[F.col(f"_d.`{f.name}`").alias(f.name) for f in schema.fields])
+        *[F.col(c).alias(names[c]) for c in meta], *[F.col(f"_d.`{f.name}`").alias(f.name) for f in schema.fields])
     bad = staged.where(F.col(REASON_COL).isNotNull()).select(*[F.col(c) for c in meta], "value", REASON_COL)
     if policy == "ignore":
         bad = bad.limit(0)
     return Decoded(good, bad, obs)
 
 
-_DECIMAL = re.compile(r"DECIMAL\(\d+,\s*\d+\)")
+def _settled(t: T.DataType) -> T.DataType:
+    """Inferred types as they land: decimals become double, mixed and never seen ones string."""
+    if isinstance(t, T.StructType):
+        return T.StructType([T.StructField(f.name, _settled(f.dataType)) for f in t.fields])
+    if isinstance(t, T.ArrayType):
+        return T.ArrayType(_settled(t.elementType))
+    if isinstance(t, T.DecimalType):
+        return T.DoubleType()
+    if isinstance(t, (T.VariantType, T.NullType)):
+        return T.StringType()
+    return t
 
 
 def variant_ddl_to_schema(ddl: str) -> T.StructType:
     """``OBJECT<a: BIGINT, ...>`` from schema_of_variant_agg -> StructType.
 
-    Decimals become double (as JSON inference does by default) and mixed types (VARIANT) become string.
+    Only the word that opens an object is rewritten, never a (quoted) key; types are then settled on the parsed schema.
     """
-    s = ddl.strip()
-    s = s.replace("OBJECT<", "STRUCT<")
-    s = _DECIMAL.sub("DOUBLE", s)
-    s = re.sub(r"\bVARIANT\b", "STRING", s)
-    if not s.startswith("STRUCT<"):
+    quoted_or_object = re.compile(r"`(?:[^`]|``)*`|\bOBJECT<")
+    s = quoted_or_object.sub(lambda m: "STRUCT<" if m.group() == "OBJECT<" else m.group(), ddl.strip())
+    parsed = T._parse_datatype_string(s)
+    if not isinstance(parsed, T.StructType):
         raise ValueError(f"payloads are not JSON objects: {ddl}")
-    inner = T._parse_datatype_string(s)
-    return inner
+    return _settled(parsed)
 
 
 def infer_json_schema(env: DataFrame) -> T.StructType:
-    """Schema of all JSON-object values: one partial-aggregated pass, keys unioned over every row."""
+    """Schema of all JSON-object values (none: no fields): one partial-aggregated pass, keys unioned over every row."""
     txt = _text()
     v = F.try_parse_json(txt)
-    objs = env.where(F.col("value").isNotNull() & F.ltrim(txt).startswith("{")).select(v.alias("v"))
+    objs = env.where(F.col("value").isNotNull() & _is_object(txt)).select(v.alias("v"))
     row = objs.where(F.col("v").isNotNull()).agg(F.schema_of_variant_agg("v").alias("s")).first()
-    if row is None or row["s"] is None:
+    if row is None or row["s"] is None or row["s"] == "VOID":
         return T.StructType([])
     return variant_ddl_to_schema(row["s"])
 
 
+def infer_json_schemas(env: DataFrame) -> dict[str | None, T.StructType]:
+    """Schema per source: one pass, a row per source (an untagged message's source is null)."""
+    txt = _text()
+    objs = _with_meta(env).where(F.col("value").isNotNull() & _is_object(txt)).select(SOURCE_COL, F.try_parse_json(txt).alias("v"))
+    rows = objs.where(F.col("v").isNotNull()).groupBy(SOURCE_COL).agg(F.schema_of_variant_agg("v").alias("s")).collect()
+    return {r[SOURCE_COL]: variant_ddl_to_schema(r["s"]) for r in rows}
+
+
+def decode_json_per_source(env: DataFrame, policy: str = "log") -> dict[str | None, tuple[Decoded, T.StructType]]:
+    """Infer and decode each source by itself, so that one source's types never depend on another's."""
+    env = _with_meta(env)
+    out = {}
+    for source, schema in infer_json_schemas(env).items():
+        out[source] = (decode_json(env.where(F.col(SOURCE_COL).eqNullSafe(F.lit(source))), schema, policy), schema)
+    return out
+
+
 def decode_json_inferred(env: DataFrame, policy: str = "log") -> tuple[Decoded, T.StructType]:
     """Infer once over the data, then decode with the pinned schema (never re-infer per batch)."""
     schema = infer_json_schema(env)
     return decode_json(env, schema, policy), schema
 
 
-def decode_arrow_ipc(env: DataFrame, schema: T.StructType) -> Decoded:
+def decode_arrow_ipc(env: DataFrame, schema: T.StructType, policy: str = "log") -> Decoded:
     """Every record batch of every Arrow IPC payload becomes rows; bad payloads are quarantined.
 
-    ``schema`` is the payload schema (declared: mapInArrow needs the output type up front).
+    ``schema`` is the payload schema (declared: mapInArrow needs the output type up front). A payload whose columns
+    can't be cast to it is bad as a whole. ``policy``: log = quarantine, ignore = drop, raise = fail.
     Decoding runs per message inside Arrow batches on the executors; rows never pass the driver.
     """
+    check_policy(policy)
     env = _with_meta(env).select(*META_COLS, F.col("value").alias(RAW_COL))
+    fields = list(schema.fields)
+    landed = meta_names(META_COLS, [f.name for f in fields])
+    env = env.select(*[F.col(c).alias(landed[c]) for c in META_COLS], RAW_COL)
+    meta = [landed[c] for c in META_COLS]
     out_schema = T.StructType(
-        [env.schema[c] for c in META_COLS] + list(schema.fields)
+        [T.StructField(c, env.schema[c].dataType) for c in meta] + [T.StructField(f.name, f.dataType) for f in fields]
         + [T.StructField(RAW_COL, T.BinaryType()), T.StructField(REASON_COL, T.StringType())])
-    names = [f.name for f in schema.fields]
-    meta = list(META_COLS)
 
     def decode(batches):
         import pyarrow as pa
 
         arrow_schema = _arrow_out_schema(out_schema)
+        kinds = {f.name: f.type for f in arrow_schema}
         for rb in batches:
-            cols = rb.to_pydict()
-            for i in range(rb.num_rows):
-                raw = cols[RAW_COL][i]
-                m = {c: cols[c][i] for c in meta}
+            raws = rb.column(rb.num_columns - 1).to_pylist()
+            tables = []
+            for i, raw in enumerate(raws):
+                own = {c: rb.column(k)[i] for k, c in enumerate(meta)}
                 try:
                     if raw is None:
                         raise ValueError("null_value")
-                    decoded = list(pa.ipc.open_stream(pa.py_buffer(raw)))
-                except Exception:  # noqa: BLE001 - any undecodable payload goes to quarantine
-                    row = {f.name: None for f in arrow_schema}
-                    row.update(m)
-                    row[RAW_COL] = raw
-                    row[REASON_COL] = "null_value" if raw is None else "bad_ipc"
-                    yield pa.RecordBatch.from_pylist([row], schema=arrow_schema)
+                    with pa.ipc.open_stream(pa.py_buffer(raw)) as reader:
+                        t = reader.read_all()
+                    n, reason = t.num_rows, None
+                    columns = [t.column(f.name).cast(kinds[f.name]) if f.name in t.schema.names else pa.nulls(n, kinds[f.name]) for f in fields]
+                except Exception:  # noqa: BLE001 - any payload that doesn't decode goes to quarantine
+                    if policy == "raise":
+                        raise
+                    n, reason = 1, "null_value" if raw is None else "bad_ipc"
+                    columns = [pa.nulls(1, kinds[f.name]) for f in fields]
+                if not n:
                     continue
-                for b in decoded:
-                    arrays = []
-                    for f in arrow_schema:
-                        if f.name in names:
-                            arrays.append(b.column(f.name).cast(f.type) if f.name in b.schema.names
-                                          else pa.nulls(b.num_rows, f.type))
-                        elif f.name in meta:
-                            arrays.append(pa.array([m[f.name]] * b.num_rows, type=f.type))
-                        else:
-                            arrays.append(pa.nulls(b.num_rows, f.type))
-                    yield pa.RecordBatch.from_arrays(arrays, schema=arrow_schema)
+                columns = [*(pa.repeat(own[c], n).cast(kinds[c]) if own[c].is_valid else pa.nulls(n, kinds[c]) for c in meta), *columns,
+                           pa.array([raw], pa.binary()) if reason else pa.nulls(n, kinds[RAW_COL]),
+                           pa.array([reason], pa.string()) if reason else pa.nulls(n, kinds[REASON_COL])]
+                tables.append(pa.table(columns, schema=arrow_schema))
+            if tables:  # one output table for an input batch, not a tiny one for each message
+                yield from pa.concat_tables(tables).combine_chunks().to_batches()
 
     staged = env.mapInArrow(decode, out_schema)
-    good = staged.where(F.col(REASON_COL).isNull()).select(*META_COLS, *names)
-    bad = staged.where(F.col(REASON_COL).isNotNull()).select(*META_COLS, F.col(RAW_COL).alias("value"), REASON_COL)
+    good = staged.where(F.col(REASON_COL).isNull()).select(*meta, *[f"`{f.name}`" for f in fields])
+    bad = staged.where(F.col(REASON_COL).isNotNull()).select(*[F.col(landed[c]).alias(c) for c in META_COLS], F.col(RAW_COL).alias("value"), REASON_COL)
+    if policy == "ignore":
+        bad = bad.limit(0)
     return Decoded(good, bad)
 
 

@@ -13,7 +13,7 @@ from siltbed.plans import fixtures as fx
 from siltbed.plans.catalog_decode import EVENT_SCHEMA
 from siltbed.plans.compact import CompactOptions, compact, plan as compact_plan, vacuum
 from siltbed.plans.land import LandOptions, land
-from siltbed.plans.read import read_dataset
+from siltbed.plans.read import dataset_state, read_dataset
 from siltbed.plans.registry import register
 from siltbed.session import scratch_path
 from siltbed.sources.envelope import ENVELOPE, SOURCE_COL, with_source
@@ -75,16 +75,17 @@ def event_counts_writeback(spark, sf_dir):
 
 
 @register("monthly_sorted_load", """
-SELECT strftime(ts, '%Y-%m') AS "month", event_id, ts, user_id FROM events""")
+SELECT strftime(ts, '%Y-%m') AS "month", event_id, ts, user_id, event_type, "value", props FROM events""")
 def monthly_sorted_load(spark, sf_dir):
     opts = _land_events(spark, sf_dir, "monthly_sorted_load")
     out = f"{opts.base}/tables/events_by_month"
-    rows = read_dataset(spark, opts.base).select("event_id", "ts", "user_id").withColumn(
-        "month", F.date_format("ts", "yyyy-MM"))
+    rows = read_dataset(spark, opts.base).select(
+        "event_id", "ts", "user_id", F.col(SOURCE_COL).alias("event_type"), "value", "props",
+        F.date_format("ts", "yyyy-MM").alias("month"))
     # cluster by month (range-split, so a big month is several tasks), order by (ts, user_id) inside files
     (rows.repartitionByRange("month", "ts", "user_id").sortWithinPartitions("month", "ts", "user_id")
      .write.mode("overwrite").partitionBy("month").parquet(out))
-    return spark.read.schema("event_id long, ts timestamp_ntz, user_id long, month string").parquet(out)
+    return spark.read.schema(rows.schema).parquet(out)
 
 
 @register("typed_load", """
@@ -168,7 +169,10 @@ def codec_roundtrip(spark, sf_dir):
     for codec in CODECS_TRIED:
         opts = LandOptions(base=scratch_path(spark, f"codec_{codec}"), compression=codec)
         land(good, opts, batch_seq=1)
-        frames.append(read_dataset(spark, opts.base).withColumn("codec", F.lit(codec)))
+        # a data file's name ends in its codec's extension, as the writer chose it
+        name = F.regexp_extract(F.input_file_name(), r"\.(snappy|gz|zstd)\.parquet$", 1)
+        stored = F.when(name == "gz", "gzip").when(name == "", "none").otherwise(name)
+        frames.append(read_dataset(spark, opts.base).withColumn("codec", stored))
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
@@ -212,11 +216,22 @@ SELECT '_source_id=' || event_type AS dir, pk AS period_key, count(*) AS n_files
        CASE WHEN count(*) >= 2 THEN 'merged' ELSE 'below_min_files' END AS status FROM files GROUP BY 1, 2"""
 
 
-@register("merge_compact", ROWS_SQL)
+def _merged(spark, opts):
+    """Rows, and whether compaction did its work: a manifest version, and landed files folded into fewer live ones."""
+    st = dataset_state(spark, opts.base)
+    folded = st.manifest.where("kind = 'folded'").count()
+    done = st.version > 0 and 0 < st.live_compacted.count() < folded
+    return read_dataset(spark, opts.base).withColumn("compacted", F.lit(done))
+
+
+MERGED_SQL = ROWS_SQL.replace("props FROM", "props, true AS compacted FROM")
+
+
+@register("merge_compact", MERGED_SQL)
 def merge_compact(spark, sf_dir):
     opts = _land_blocks(spark, "merge_compact", _decoded(spark, sf_dir), env=fx.events_envelope(spark, sf_dir))
     compact(spark, opts.base, CompactOptions(period="day", min_files=2))
-    return read_dataset(spark, opts.base).select(*ROW_COLS)
+    return _merged(spark, opts).select(*ROW_COLS, "compacted")
 
 
 @register("merge_report", _REPORT_SQL)
@@ -235,7 +250,7 @@ def merge_plan_files(spark, sf_dir):
                          F.when(F.col("status") == "merged", F.lit("planned")).otherwise(F.col("status")).alias("status"))
 
 
-@register("merge_twice", ROWS_SQL)
+@register("merge_twice", MERGED_SQL)
 def merge_twice(spark, sf_dir):
     good = _decoded(spark, sf_dir)
     opts = LandOptions(base=scratch_path(spark, "merge_twice"))
@@ -246,12 +261,12 @@ def merge_twice(spark, sf_dir):
     compact(spark, opts.base, month)
     land(second, opts, batch_col="_blk", flush_ts=F.col("arrival_ts"))
     compact(spark, opts.base, month)  # same month again: folds the first compaction in
-    return read_dataset(spark, opts.base).select(*ROW_COLS)
+    return _merged(spark, opts).select(*ROW_COLS, "compacted")
 
 
 @register("merge_schema_evolution", """
-SELECT event_type AS _source_id, event_id, CASE WHEN day(ts) > 15 THEN 'x' || CAST(event_id AS VARCHAR) END AS extra
-FROM events""")
+SELECT event_type AS _source_id, event_id, CASE WHEN day(ts) > 15 THEN 'x' || CAST(event_id AS VARCHAR) END AS extra,
+       true AS compacted FROM events""")
 def merge_schema_evolution(spark, sf_dir):
     good = _decoded(spark, sf_dir)
     opts = LandOptions(base=scratch_path(spark, "merge_schema_evolution"))
@@ -261,15 +276,17 @@ def merge_schema_evolution(spark, sf_dir):
     land(early, opts, batch_col="_blk", flush_ts=F.col("arrival_ts"))
     land(late, opts, batch_col="_blk", flush_ts=F.col("arrival_ts"))
     compact(spark, opts.base, CompactOptions(period="month", min_files=2))
-    return read_dataset(spark, opts.base).select(SOURCE_COL, "event_id", "extra")
+    return _merged(spark, opts).select(SOURCE_COL, "event_id", "extra", "compacted")
 
 
-@register("merge_publish", """SELECT event_type AS _source_id, count(*) AS n_events FROM events GROUP BY 1""")
+@register("merge_publish", """SELECT event_type AS _source_id, count(*) AS n_events, true AS vacuumed FROM events GROUP BY 1""")
 def merge_publish(spark, sf_dir):
     opts = _land_blocks(spark, "merge_publish", _decoded(spark, sf_dir))
     compact(spark, opts.base, CompactOptions(period="day", min_files=2))
-    vacuum(spark, opts.base)  # folded landed files are gone; the manifest still reads whole
-    return read_dataset(spark, opts.base).groupBy(SOURCE_COL).agg(F.count(F.lit(1)).alias("n_events"))
+    removed = vacuum(spark, opts.base)  # folded landed files are gone; the manifest still reads whole
+    st = dataset_state(spark, opts.base)
+    return read_dataset(spark, opts.base).groupBy(SOURCE_COL).agg(F.count(F.lit(1)).alias("n_events")).withColumn(
+        "vacuumed", F.lit(removed > 0 and st.live_compacted.count() > 0))
 
 
 # ---- streaming ---------------------------------------------------------------------------------
@@ -305,10 +322,10 @@ def one_shot_drain(spark, sf_dir):
     return read_dataset(spark, opts.base).groupBy(SOURCE_COL).agg(F.count(F.lit(1)).alias("n_events"))
 
 
-@register("merge_on_flush", ROWS_SQL)
+@register("merge_on_flush", MERGED_SQL)
 def merge_on_flush(spark, sf_dir):
     opts = _stream_land(spark, sf_dir, "merge_on_flush", compact_every=2)
-    return read_dataset(spark, opts.base).select(*ROW_COLS)
+    return _merged(spark, opts).select(*ROW_COLS, "compacted")
 
 
 # ---- Arrow IPC payloads ------------------------------------------------------------------------

@@ -10,7 +10,10 @@ from siltbed.operators.metrics import metrics_by_source
 from siltbed.operators.unions import union_widened
 from siltbed.plans import compact_plan as CP
 from siltbed.plans import fixtures as fx
+from siltbed.plans.land import LandOptions, land
+from siltbed.plans.read import read_dataset
 from siltbed.plans.registry import register
+from siltbed.session import scratch_path
 from siltbed.sources.envelope import SOURCE_COL, with_source
 
 BATCH_SIZE = 100
@@ -60,9 +63,13 @@ def flush_plan_batches(spark, sf_dir):
 SELECT (batch_no - 1) // {FLUSH_EVERY} AS flush_no, s AS _source_id, CAST(sum(n) AS BIGINT) AS n_rows
 FROM k GROUP BY 1, 2""")
 def flush_files(spark, sf_dir):
-    _env, _rows, ordered = _plan(spark, sf_dir)
-    f = ordered.withColumn("flush_no", F.floor((F.col("batch_no") - 1) / FLUSH_EVERY).cast("long"))
-    return f.groupBy("flush_no", SOURCE_COL).agg(F.sum("n_rows").cast("long").alias("n_rows"))
+    """The planned flushes are landed; the rows are counted in the files of each flush and source."""
+    env = with_source(fx.events_envelope(spark, sf_dir))
+    opts = LandOptions(base=scratch_path(spark, "flush_files"))
+    land(B.plan_flushes(env, BATCH_SIZE, FLUSH_EVERY), opts, batch_col="flush_no", flush_ts=F.col("arrival_ts"))
+    back = read_dataset(spark, opts.base, include_internal=True)
+    flush = F.substring_index("_batch_id", "-", -1).cast("long")
+    return back.groupBy(flush.alias("flush_no"), SOURCE_COL).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 @register("flush_plan_time", f"""

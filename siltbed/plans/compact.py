@@ -4,10 +4,10 @@
    batch's flush time); groups with at least ``min_files`` files qualify. A live
    compacted file of the same folder and period is folded in again, so a second
    compaction of a period keeps the first one's rows.
-2. write every qualifying group in one job to ``compacted/v=<new>/<folders>/_period=<key>``
+2. write the qualifying groups, those of equal schemas in one job, to ``compacted/v=<uuid>/<folders>/_period=<key>``
    (dictionary encoding off), rebalanced so a huge period becomes several files.
 3. check: rows read == rows in the new version (footer counts), else nothing is published.
-4. publish: a new manifest version (create-only) naming live compacted files and the
+4. publish: a new manifest version (one small file, created only if missing) naming live compacted files and the
    landed files now folded in. Old files are removed later by ``vacuum``.
 
 Groups whose batches disagree on a column type (not a plain numeric widening) are
@@ -17,6 +17,8 @@ reported as ``schema_conflict`` and left untouched.
 from __future__ import annotations
 
 import json
+import time
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
@@ -24,15 +26,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltbed.functions.periods import PERIODS, period_key
-from siltbed.operators.ordinal import BROADCAST_MAX_ROWS
 from siltbed.operators.unions import agreed_schema, union_widened
 from siltbed.plans import fs
-from siltbed.plans.land import BATCH_COL, FLUSH_TS_COL
-from siltbed.plans.read import (MANIFEST_SCHEMA, PERIOD_COL, VERSION_COL, dataset_state, manifest_dir)
+from siltbed.plans.land import BATCH_COL, FLUSH_TS_COL, bury, read_commits
+from siltbed.plans.read import PERIOD_COL, VERSION_COL, dataset_state, publish_manifest
 from siltbed.session import cut_lineage
 from siltbed.sources.envelope import SOURCE_COL
 
-REPORT_SCHEMA = "dir string, period_key string, n_files long, bytes long, status string"
+REPORT_SCHEMA = "dir string, period_key string, n_files long, bytes long, status string, n_rows long"
 
 
 @dataclass
@@ -42,7 +43,7 @@ class CompactOptions:
     week_year: str = "iso"
     compression: str = "snappy"
     enabled: bool = True
-    max_files: int = 100_000   # files folded per round (0 = all); oldest periods first, the rest wait
+    max_files: int = 0   # a limit on the files folded per round, if wanted; oldest periods first, the rest wait
     target_file_bytes: int = 128 * 1024 * 1024   # output size: a big period becomes several files
 
 
@@ -98,7 +99,10 @@ def plan(spark: SparkSession, base: str, opts: CompactOptions):
 
 
 def compact(spark: SparkSession, base: str, opts: CompactOptions | None = None) -> DataFrame:
-    """Run one compaction round; returns the report (dir, period_key, n_files, bytes, status)."""
+    """Run one compaction round; returns the report (dir, period_key, n_files, bytes, status, n_rows).
+
+    A group with a file that can't be read is reported as ``unreadable`` and left alone; the others are merged.
+    """
     opts = opts or CompactOptions()
     if not opts.enabled:
         return spark.createDataFrame([], REPORT_SCHEMA)
@@ -106,90 +110,127 @@ def compact(spark: SparkSession, base: str, opts: CompactOptions | None = None)
     # the plan must not be recomputed after publishing (its files then count as folded):
     # materialize it once with a reliable checkpoint; it is one row per group
     groups = cut_lineage(groups)
-    chosen = groups.where(F.col("status") == "merged").select("dir", "period_key")
-    in_land = landed.join(chosen, ["dir", "period_key"], "left_semi").cache()
-    same_period = F.col("period") == F.lit(opts.period)
-    old_comp = (st.live_compacted.where(same_period).join(chosen, ["dir", "period_key"], "left_semi").cache())
-    # the round's file list, collected once (bounded by max_files): paths per schema, the
-    # period of every batch and the input bytes all come from it
-    land_files = in_land.select("path", "schema_json", "length", BATCH_COL, "period_key", "dir").collect()
-    if not land_files:
-        in_land.unpersist()
-        old_comp.unpersist()
-        return groups
-    old = old_comp.select("path", "schema_json", "length").collect()
-
-    land_root = f"{base.rstrip('/')}/land"
-    comp_root = f"{base.rstrip('/')}/compacted"
-    version = st.version + 1
-    out_dir = f"{comp_root}/v={version:012d}"
-
-    frames, raw = [], []
-    by_schema: dict[str, list[str]] = {}
-    periods: dict[str, str] = {}
-    for r in land_files:
-        by_schema.setdefault(r["schema_json"], []).append(r["path"])
-        periods[r[BATCH_COL]] = r["period_key"]
-    # landed rows take the period of their batch (one row per batch: bounded by the file list)
-    batch_period = spark.createDataFrame(sorted(periods.items()), f"{BATCH_COL} string, period_key string")
-    bp = F.broadcast(batch_period) if len(periods) <= BROADCAST_MAX_ROWS else batch_period
-    for sj, paths in by_schema.items():
-        sch = T.StructType(list(T.StructType.fromJson(json.loads(sj)).fields)
-                           + [T.StructField(BATCH_COL, T.StringType())])
-        rows = spark.read.schema(sch).option("basePath", land_root).parquet(*paths)
-        raw.append(rows)
-        frames.append(rows.join(bp, BATCH_COL, "inner").withColumnRenamed("period_key", PERIOD_COL).drop(BATCH_COL))
-    old_paths = [r[0] for r in old]
-    input_schemas = [T.StructType.fromJson(json.loads(s)) for s in set(by_schema) | {r[1] for r in old if r[1]}]
-    target = agreed_schema(input_schemas)
-    target_json = json.dumps(target.jsonValue(), sort_keys=True)
-    if old_paths:
-        sch = T.StructType(list(target.fields) + [T.StructField(VERSION_COL, T.StringType()),
-                                                  T.StructField(PERIOD_COL, T.StringType())])
-        old_rows = spark.read.schema(sch).option("basePath", comp_root).parquet(*old_paths)
-        raw.append(old_rows)
-        frames.append(old_rows.drop(VERSION_COL))
-    rows = union_widened(frames) if len(frames) > 1 else frames[0]
+    try:
+        return _compact(spark, base, opts, st, landed, groups)
+    except RuntimeError:
+        raise
+    except Exception:
+        files = landed.join(groups.where(F.col("status") == "merged").select("dir", "period_key"), ["dir", "period_key"], "left_semi")
+        broken = cut_lineage(unreadable(spark, files).select("dir", "period_key").distinct().withColumn("_bad", F.lit(True)))
+        if broken.isEmpty():
+            raise
+        groups = groups.join(broken, ["dir", "period_key"], "left").withColumn(
+            "status", F.when(F.col("_bad"), F.lit("unreadable")).otherwise(F.col("status"))).drop("_bad")
+        return _compact(spark, base, opts, st, landed, cut_lineage(groups))
 
-    part_cols = _partition_cols([r["dir"] for r in land_files])
-    # rows per output file from the inputs' average row size (footer counts, no data read)
-    in_bytes = sum(int(r["length"] or 0) for r in land_files) + sum(int(r["length"] or 0) for r in old)
-    in_rows = sum(f.count() for f in raw)  # the reads' own file index: footers only
-    per_file = max(1, int(opts.target_file_bytes * in_rows / in_bytes)) if in_bytes and in_rows else 0
-    obs = Observation(f"compact_v{version}")
-    rows = rows.observe(obs, F.count(F.lit(1)).alias("rows"))
-    writer = (rows.hint("rebalance", *part_cols, PERIOD_COL).write.mode("errorifexists")
-              .option("compression", opts.compression).option("parquet.enable.dictionary", "false"))
-    if per_file:
-        writer = writer.option("maxRecordsPerFile", per_file)
-    writer.partitionBy(*part_cols, PERIOD_COL).parquet(out_dir)
-    rows_in = int(obs.get.get("rows", 0))
-    rows_out = spark.read.parquet(out_dir).count()
-    if rows_in != rows_out or (in_rows and rows_in != in_rows):
-        raise RuntimeError(f"compaction v{version}: read {rows_in} rows but wrote {rows_out}; not published")
 
+def unreadable(spark: SparkSession, files: DataFrame) -> DataFrame:
+    """Rows of ``files`` (path, schema_json, ...) whose file lacks a footer or breaks off while it is read."""
+    def rows_of(frame, value):
+        return frame.select(F.col("_metadata.file_path").alias("path"), value.alias("x")).groupBy("path").agg(F.count("x").alias("n"))
+
+    found = None
+    for sj, paths in _paths_by(files, "schema_json").items():
+        read = spark.read.option("ignoreCorruptFiles", "true").schema(T.StructType.fromJson(json.loads(sj))).parquet(*paths)
+        stored = [c for c in read.columns if f"/{c}=" not in paths[0]] or read.columns
+        one = rows_of(read, F.xxhash64(*stored)).join(rows_of(read, F.lit(1)).withColumnRenamed("n", "all"), "path").where("n = all").select("path")
+        found = one if found is None else found.unionByName(one)
+    return files.join(found, "path", "left_anti") if found is not None else files.limit(0)
+
+
+def _paths_by(files: DataFrame, key: str) -> dict[str, list[str]]:
+    out: dict[str, list[str]] = {}
+    for k, p in files.select(key, "path").collect():
+        out.setdefault(k, []).append(p)
+    return out
+
+
+def _compact(spark: SparkSession, base: str, opts: CompactOptions, st, landed: DataFrame, groups: DataFrame) -> DataFrame:
+    merged = groups.where(F.col("status") == "merged")
+    chosen = merged.select("dir", "period_key")
+    in_land = cut_lineage(landed.join(chosen, ["dir", "period_key"], "left_semi"))
+    report = groups.select("dir", "period_key", "n_files", "bytes", "status")
+    if in_land.isEmpty():
+        return report.withColumn("n_rows", F.lit(None).cast("long"))
+    # an earlier output of the period is folded in again, unless it has the target size already
+    old_comp = cut_lineage(st.live_compacted.where((F.col("period") == opts.period) & (F.col("length") < opts.target_file_bytes))
+                           .join(chosen, ["dir", "period_key"], "left_semi"))
+    land_root, comp_root = f"{base.rstrip('/')}/land", f"{base.rstrip('/')}/compacted"
+    out_dir = f"{comp_root}/v={uuid.uuid4().hex}"
+
+    # groups that hold the same schemas are rewritten together, in the schema those agree on: no
+    # source's types depend on another's. Distinct sets of schemas are few.
+    every = in_land.select("dir", "period_key", "schema_json").unionByName(old_comp.select("dir", "period_key", "schema_json"))
+    sets = every.groupBy("dir", "period_key").agg(F.array_sort(F.collect_set("schema_json")).alias("set"))
+    sets = cut_lineage(sets)
+    rows_total, targets = 0, []
+    for (schemas,) in sets.select("set").distinct().collect():
+        target = agreed_schema([T.StructType.fromJson(json.loads(x)) for x in schemas])
+        targets.append((schemas, json.dumps(target.jsonValue(), sort_keys=True)))
+        these = sets.where(F.col("set") == F.lit(schemas)).select("dir", "period_key")
+        rows_total += _rewrite(spark, opts, in_land.join(these, ["dir", "period_key"], "left_semi"),
+                               old_comp.join(these, ["dir", "period_key"], "left_semi"), target, land_root, comp_root, out_dir)
+    written = spark.read.option("mergeSchema", "false").parquet(out_dir)
+    rows_out = written.count()
+    if rows_total != rows_out:
+        raise RuntimeError(f"compaction: read {rows_total} rows but wrote {rows_out}; not published")
+
+    agreed = spark.createDataFrame(targets, "set array<string>, schema_json string")
+    agreed = sets.join(agreed, "set").select("dir", "period_key", "schema_json")
     new_files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
                  .option("pathGlobFilter", "*.parquet").load(out_dir).select("path", "length")
                  .withColumn("kind", F.lit("live")).withColumn("dir", _dir_of("path"))
                  .withColumn("period_key", F.regexp_extract("path", r"/_period=([^/]+)/[^/]+$", 1))
-                 .withColumn("period", F.lit(opts.period)).withColumn("schema_json", F.lit(target_json)))
-    replaced = old_comp.select("path")
-    keep_live = st.live_compacted.join(replaced, "path", "left_anti")
+                 .withColumn("period", F.lit(opts.period)).join(agreed, ["dir", "period_key"]))
+    keep_live = st.live_compacted.join(old_comp.select("path"), "path", "left_anti")
     replaced_rows = old_comp.withColumn("kind", F.lit("replaced"))
-    old_dead = st.manifest.where(F.col("kind") == "replaced")
     folded_now = in_land.select("path", "length", F.lit("folded").alias("kind"), "dir", "period_key",
-                                F.lit(opts.period).alias("period"), "schema_json")
+                                F.lit(opts.period).alias("period"), F.lit(None).cast("string").alias("schema_json"))
     # folded entries are kept only while their batch still has a commit record (vacuum drops both)
     old_folded = st.manifest.where(F.col("kind") == "folded").join(st.commits.select("path"), "path", "left_semi")
-    manifest = (keep_live.unionByName(new_files).unionByName(old_folded).unionByName(folded_now)
-                .unionByName(old_dead).unionByName(replaced_rows)
-                .select(*[c.split()[0] for c in MANIFEST_SCHEMA.split(", ")]))
-    # create-only: a concurrent compactor publishing the same version fails here
-    manifest.coalesce(1).write.mode("errorifexists").json(f"{manifest_dir(base)}/v={version:012d}")
-    report = groups.select("dir", "period_key", "n_files", "bytes", "status")
-    in_land.unpersist()
-    old_comp.unpersist()
-    return report
+    old_dead = st.manifest.where(F.col("kind") == "replaced")
+    manifest = keep_live
+    for part in (new_files, old_folded, folded_now, old_dead, replaced_rows):
+        manifest = manifest.unionByName(part.select(*manifest.columns))
+    publish_manifest(spark, base, st.version, manifest)
+    counts = (written.select(F.col("_metadata.file_path").alias("path")).select(
+        _dir_of("path").alias("dir"), F.regexp_extract("path", r"/_period=([^/]+)/[^/]+$", 1).alias("period_key"))
+        .groupBy("dir", "period_key").agg(F.count(F.lit(1)).alias("n_rows")))
+    return report.join(cut_lineage(counts), ["dir", "period_key"], "left").select(*[c.split()[0] for c in REPORT_SCHEMA.split(", ")])
+
+
+def _rewrite(spark: SparkSession, opts: CompactOptions, in_land: DataFrame, old_comp: DataFrame, target: T.StructType,
+             land_root: str, comp_root: str, out_dir: str) -> int:
+    """Write the rows of some groups' files in the schema ``target``; returns how many there are."""
+    frames, in_rows = [], 0
+    batch_period = in_land.select(BATCH_COL, F.col("period_key").alias(PERIOD_COL)).distinct()
+    for sj, paths in _paths_by(in_land, "schema_json").items():
+        sch = T.StructType(list(T.StructType.fromJson(json.loads(sj)).fields) + [T.StructField(BATCH_COL, T.StringType())])
+        rows = spark.read.schema(sch).option("basePath", land_root).parquet(*paths)
+        in_rows += rows.count()  # footers only
+        frames.append(rows.join(batch_period, BATCH_COL).drop(BATCH_COL))
+    for sj, paths in _paths_by(old_comp, "schema_json").items():
+        sch = T.StructType([*T.StructType.fromJson(json.loads(sj)).fields, T.StructField(VERSION_COL, T.StringType()),
+                            T.StructField(PERIOD_COL, T.StringType())])
+        rows = spark.read.schema(sch).option("basePath", comp_root).parquet(*paths)
+        in_rows += rows.count()
+        frames.append(rows.drop(VERSION_COL))
+    rows = union_widened(frames) if len(frames) > 1 else frames[0]
+    part_cols = _partition_cols([r[0] for r in in_land.select("dir").distinct().collect()])
+    in_bytes = sum(int(f.agg(F.sum("length")).first()[0] or 0) for f in (in_land, old_comp))
+    # rows per output file from the inputs' average row size
+    per_file = max(1, int(opts.target_file_bytes * in_rows / in_bytes)) if in_bytes and in_rows else 0
+    obs = Observation()
+    rows = rows.select(*[F.col(f"`{f.name}`") for f in target.fields], PERIOD_COL).observe(obs, F.count(F.lit(1)).alias("rows"))
+    writer = (rows.hint("rebalance", *part_cols, PERIOD_COL).write.mode("append")
+              .option("compression", opts.compression).option("parquet.enable.dictionary", "false"))
+    if per_file:
+        writer = writer.option("maxRecordsPerFile", per_file)
+    writer.partitionBy(*part_cols, PERIOD_COL).parquet(out_dir)
+    seen = int(obs.get.get("rows", 0))
+    if seen != in_rows:
+        raise RuntimeError(f"compaction: {in_rows} rows in the files but {seen} read; not published")
+    return in_rows
 
 
 def _partition_cols(dirs: list[str]) -> list[str]:
@@ -203,29 +244,39 @@ def _partition_cols(dirs: list[str]) -> list[str]:
     return cols or [SOURCE_COL]
 
 
-def vacuum(spark: SparkSession, base: str) -> int:
+def vacuum(spark: SparkSession, base: str, orphan_seconds: float = 86_400) -> int:
     """Remove what the newest manifest no longer needs; returns the number of files removed.
 
-    A landed batch whose every file is folded into a compaction loses its commit record first
-    (readers stop looking for it), then its folder, in one call each. Compacted files the
-    manifest replaced are deleted one by one. Run it when no reader still uses an older version.
+    A landed batch whose every file is folded into a compaction gets a tombstone (a replay of it is skipped), then loses its
+    commit record (readers stop looking for it), then its folder. Compacted files the manifest replaced are
+    deleted, and so are output folders no manifest names that are older than ``orphan_seconds`` (a crashed
+    round's). Run it when no reader still uses an older version.
     """
-    from siltbed.plans.land import BATCH_COL as B_COL
-
     st = dataset_state(spark, base)
-    if not st.version:
-        return 0
     root = base.rstrip("/")
-    folded = st.manifest.where(F.col("kind") == "folded").select("path")
-    per_batch = (st.commits.join(folded.withColumn("_f", F.lit(1)), "path", "left")
-                 .groupBy(B_COL).agg(F.count(F.lit(1)).alias("n"), F.count("_f").alias("n_folded")))
-    done = per_batch.where(F.col("n") == F.col("n_folded")).select(B_COL, "n").collect()  # one row per batch
     removed = 0
-    for b, n in done:
-        fs.delete(spark, f"{root}/_commits/{B_COL}={b}")
-        if fs.delete(spark, f"{root}/land/{B_COL}={b}"):
-            removed += int(n)
-    for (p,) in st.manifest.where(F.col("kind") == "replaced").select("path").collect():
-        if fs.exists(spark, p):
+    if st.version:
+        folded = st.manifest.where(F.col("kind") == "folded").select("path")
+        per_batch = (st.commits.join(folded.withColumn("_f", F.lit(1)), "path", "left")
+                     .groupBy(BATCH_COL).agg(F.count(F.lit(1)).alias("n"), F.count("_f").alias("n_folded")))
+        done = per_batch.where(F.col("n") == F.col("n_folded")).select(BATCH_COL, "n").collect()  # one row per batch
+        if done:
+            bury(spark, base, [r[0] for r in done])
+        for b, n in done:
+            fs.delete(spark, f"{root}/_commits/{BATCH_COL}={b}")
+            if fs.delete(spark, f"{root}/land/{BATCH_COL}={b}"):
+                removed += int(n)
+        replaced = [r[0] for r in st.manifest.where(F.col("kind") == "replaced").select("path").collect()]
+        for p in replaced:
             removed += int(fs.delete(spark, p))
+        if replaced or done:
+            left = read_commits(spark, base).select("path")
+            rest = st.live_compacted.unionByName(st.manifest.where(F.col("kind") == "folded").join(left, "path", "left_semi").select(*st.manifest.columns))
+            publish_manifest(spark, base, st.version, cut_lineage(rest))
+    used = {r[0] for r in dataset_state(spark, base).live_compacted.select(F.regexp_extract("path", r"/compacted/(v=[^/]+)/", 1)).distinct().collect()}
+    old = int((time.time() - orphan_seconds) * 1000)
+    for name in fs.list_dirs(spark, f"{root}/compacted"):
+        if name not in used and fs.modified_before(spark, f"{root}/compacted/{name}", old):
+            removed += len(fs.list_files(spark, f"{root}/compacted/{name}"))
+            fs.delete(spark, f"{root}/compacted/{name}")
     return removed

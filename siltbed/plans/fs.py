@@ -50,3 +50,59 @@ def glob_names(spark: SparkSession, pattern: str) -> set[str]:
     fs, p = _fs(spark, pattern)
     st = fs.globStatus(p)
     return {s.getPath().getName() for s in st} if st is not None else set()
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file that must not exist yet; False if it does (another writer was first).
+
+    The text ends in a line feed, so that a reader can tell a complete file (:func:`read_text`).
+    """
+    fs, p = _fs(spark, path)
+    try:
+        out = fs.create(p, False)
+    except Exception as e:  # noqa: BLE001
+        if fs.exists(p):
+            return False
+        raise e
+    out.write(bytearray(text.rstrip("\n").encode() + b"\n"))
+    out.close()
+    return True
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """Text of a small file; None if it is missing or was not completed."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    jvm = spark.sparkContext._jvm
+    stream = fs.open(p)
+    try:
+        text = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return text[:-1] if text.endswith("\n") else None
+
+
+def newest(spark: SparkSession, folder: str, prefix: str) -> tuple[int, str | None]:
+    """Number and text of the newest complete file ``<prefix><number>`` in a folder; (0, None) without one."""
+    numbers = [int(n[len(prefix):]) for n in glob_names(spark, f"{folder}/{prefix}*") if n[len(prefix):].isdigit()]
+    for n in sorted(numbers, reverse=True):
+        text = read_text(spark, f"{folder}/{prefix}{n:012d}")
+        if text is not None:
+            return n, text
+    return 0, None
+
+
+def publish(spark: SparkSession, folder: str, prefix: str, after: int, text: str) -> int:
+    """Create the next numbered file; numbers of writers that died half-way are passed over, a complete one is a conflict."""
+    n = after + 1
+    while not create_text(spark, f"{folder}/{prefix}{n:012d}", text):
+        if read_text(spark, f"{folder}/{prefix}{n:012d}") is not None:
+            raise RuntimeError(f"{folder}/{prefix}{n:012d} was published by another writer")
+        n += 1
+    return n
+
+
+def modified_before(spark: SparkSession, path: str, millis: int) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p) and fs.getFileStatus(p).getModificationTime() < millis

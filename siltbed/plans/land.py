@@ -83,8 +83,8 @@ def check_codec_available(spark, codec: str) -> None:
 
 
 def batch_id_col(opts: LandOptions, seq: Column) -> Column:
-    """``<query>-<zero padded sequence>``: sortable, unique per query."""
-    return F.concat(F.lit(f"{opts.query}-"), F.format_string("%012d", seq.cast("long")))
+    """``<query>-<zero padded sequence>``: sortable, unique per query; null without a sequence number."""
+    return F.when(seq.isNotNull(), F.concat(F.lit(f"{opts.query}-"), F.format_string("%012d", seq.cast("long"))))
 
 
 def batch_id_str(opts: LandOptions, seq: int) -> str:
@@ -123,12 +123,10 @@ def land(df: DataFrame, opts: LandOptions, *, batch_seq: int | None = None, batc
 
     if batch_seq is not None:
         bid = batch_id_str(opts, batch_seq)
-        if not replace and fs.exists(spark, f"{opts.commits_dir}/{BATCH_COL}={bid}"):
-            return read_commits(spark, opts.base).where(F.col(BATCH_COL) == bid)  # already durable
+        if not replace and bid in done_batches(spark, opts, [bid]):
+            return read_commits(spark, opts.base, bid)  # already durable
         batch_ids = [bid]
         data = out.withColumn(BATCH_COL, F.lit(bid))
-        obs = Observation(f"land_{bid}")
-        data = data.observe(obs, F.count(F.lit(1)).alias("rows"))
     else:
         data = out.withColumn(BATCH_COL, batch_id_col(opts, F.col(batch_col)))
         if batches is not None:
@@ -142,9 +140,11 @@ def land(df: DataFrame, opts: LandOptions, *, batch_seq: int | None = None, batc
         # one row per batch of this write (bounded by the batch count); checkpointed, not recomputed
         flushes = cut_lineage(plan)
         batch_ids = [r[0] for r in flushes.select(BATCH_COL).collect()]
-        done = set() if replace else _committed(spark, opts, batch_ids)
+        if None in batch_ids:
+            raise ValueError(f"rows without a batch number in {batch_col!r}")
+        done = set() if replace else done_batches(spark, opts, batch_ids)
         if done:
-            data = data.where(~F.col(BATCH_COL).isin(sorted(done)))
+            data = data.where(F.col(BATCH_COL).isNull() | ~F.col(BATCH_COL).isin(sorted(done)))
             flushes = flushes.where(~F.col(BATCH_COL).isin(sorted(done)))
             batch_ids = [b for b in batch_ids if b not in done]
         data = data.drop(batch_col)
@@ -154,9 +154,12 @@ def land(df: DataFrame, opts: LandOptions, *, batch_seq: int | None = None, batc
         for name in _existing(spark, root, batch_ids):
             fs.delete(spark, f"{root}/{name}")
     if not batch_ids:
-        return read_commits(spark, opts.base).where(F.lit(False))
+        return spark.createDataFrame([], COMMIT_SCHEMA)
+    obs = Observation()
+    data = data.observe(obs, F.count(F.lit(1)).alias("rows"))
 
     part_cols = [BATCH_COL, SOURCE_COL, *cols]
+    spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")  # whatever the session had
     # rebalance: AQE splits a hot (source, partition) into several tasks and merges small ones
     writer = (data.hint("rebalance", *part_cols).write.mode("append")
               .option("compression", opts.compression)
@@ -164,21 +167,28 @@ def land(df: DataFrame, opts: LandOptions, *, batch_seq: int | None = None, batc
     if opts.max_records_per_file:
         writer = writer.option("maxRecordsPerFile", int(opts.max_records_per_file))
     writer.partitionBy(*part_cols).parquet(opts.land_dir)
+    rows_in = int(obs.get.get("rows", 0))
 
     if batch_seq is not None:
         now = datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None)
-        flushes = spark.createDataFrame([(bid, now, int(obs.get.get("rows", 0)))],
+        flushes = spark.createDataFrame([(bid, now, rows_in)],
                                         f"{BATCH_COL} string, {FLUSH_TS_COL} timestamp_ntz, batch_rows long") \
             .withColumn(FLUSH_TS_COL, F.col(FLUSH_TS_COL).cast("timestamp"))
 
-    # the files of this write, listed once (bounded by what this write produced)
+    # nothing is committed unless the files of the planned batches hold every row (footers only)
     files = written_files(spark, opts, batch_ids)
-    flush_rows = {r[BATCH_COL]: (r[FLUSH_TS_COL], r["batch_rows"]) for r in flushes.collect()}
-    rows = [(path, length, flush_rows[b][0], None if flush_rows[b][1] is None else int(flush_rows[b][1]),
-             schema_json, b) for path, length, b in files if b in flush_rows]
-    commits = spark.createDataFrame(rows, COMMIT_SCHEMA)
-    commits.coalesce(1).write.mode("append").partitionBy(BATCH_COL).json(opts.commits_dir)
-    return read_commits(spark, opts.base).where(F.col(BATCH_COL).isin(batch_ids))
+    rows_out = 0 if files is None else spark.read.schema("_nothing int").option("basePath", opts.land_dir).parquet(*_batch_dirs(spark, opts, batch_ids)).count()
+    if rows_out != rows_in:
+        fs.delete(spark, f"{opts.land_dir}/{BATCH_COL}=__HIVE_DEFAULT_PARTITION__")
+        raise RuntimeError(f"{rows_in} rows written but {rows_out} in the planned batches: rows lack a batch of the plan; nothing was committed")
+    if files is None:
+        return spark.createDataFrame([], COMMIT_SCHEMA)
+    commits = (files.join(flushes, BATCH_COL).withColumn("schema_json", F.lit(schema_json))
+               .select(*[c.split()[0] for c in COMMIT_SCHEMA.split(", ")]))
+    commits.write.mode("append").partitionBy(BATCH_COL).json(opts.commits_dir)
+    if batch_seq is not None:
+        return read_commits(spark, opts.base, bid)
+    return read_commits(spark, opts.base).join(flushes.select(BATCH_COL), BATCH_COL, "left_semi")
 
 
 def _existing(spark, root: str, batch_ids: list[str], chunk: int = 500) -> set[str]:
@@ -191,48 +201,74 @@ def _existing(spark, root: str, batch_ids: list[str], chunk: int = 500) -> set[s
     return found
 
 
-def _committed(spark, opts: LandOptions, batch_ids: list[str]) -> set[str]:
-    return {n.split("=", 1)[1] for n in _existing(spark, opts.commits_dir, batch_ids)}
+TOMBSTONES = "t="
+
+
+def tombstones(spark, base: str) -> tuple[int, dict[str, list[list[int]]]]:
+    """Batches whose commit records ``vacuum`` has removed, as ranges of sequence numbers per query."""
+    n, text = fs.newest(spark, f"{base.rstrip('/')}/_tombstones", TOMBSTONES)
+    return n, json.loads(text) if text else {}
+
+
+def bury(spark, base: str, batch_ids: list[str]) -> None:
+    """Add batches to the tombstones; neighbouring numbers share a range."""
+    n, known = tombstones(spark, base)
+    for query in {b.rpartition("-")[0] for b in batch_ids}:
+        spans = [*known.get(query, []), *([int(b.rpartition("-")[2])] * 2 for b in batch_ids if b.rpartition("-")[0] == query)]
+        merged: list[list[int]] = []
+        for lo, hi in sorted(spans):
+            if merged and lo <= merged[-1][1] + 1:
+                merged[-1][1] = max(merged[-1][1], hi)
+            else:
+                merged.append([lo, hi])
+        known[query] = merged
+    fs.publish(spark, f"{base.rstrip('/')}/_tombstones", TOMBSTONES, n, json.dumps(known, sort_keys=True))
 
 
-def written_files(spark, opts: LandOptions, batch_ids: list[str]) -> list[tuple[str, int, str]]:
-    """(path, length, batch id) of the files in the given batch folders (no content read).
+def done_batches(spark, opts: LandOptions, batch_ids: list[str]) -> set[str]:
+    """Those of the given batches that are committed, or were and have been vacuumed."""
+    done = {n.split("=", 1)[1] for n in _existing(spark, opts.commits_dir, batch_ids)
+            if fs.exists(spark, f"{opts.commits_dir}/{n}")}
+    spans = tombstones(spark, opts.base)[1].get(opts.query, [])
+    return done | {b for b in batch_ids if any(lo <= int(b.rpartition("-")[2]) <= hi for lo, hi in spans)}
+
+
+def _batch_dirs(spark, opts: LandOptions, batch_ids: list[str]) -> list[str]:
+    return [f"{opts.land_dir}/{name}" for name in sorted(_existing(spark, opts.land_dir, batch_ids))]
+
+
+def written_files(spark, opts: LandOptions, batch_ids: list[str]) -> DataFrame | None:
+    """(path, length, batch id) of the files in the given batch folders; None without one.
 
     One ``binaryFile`` listing of the batch folders: Spark lists them (in parallel when many)
     and only path and length are selected, so file content is never read.
     """
-    present = _existing(spark, opts.land_dir, batch_ids)
-    dirs = [f"{opts.land_dir}/{name}" for name in sorted(present)]
+    dirs = _batch_dirs(spark, opts, batch_ids)
     if not dirs:
-        return []
-    listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-               .option("pathGlobFilter", "*.parquet").load(dirs)
-               .select("path", "length", F.regexp_extract("path", r"/_batch_id=([^/]+)/", 1).alias(BATCH_COL)))
-    return [(r[0], int(r[1]), r[2]) for r in listing.collect()]
+        return None
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+            .option("pathGlobFilter", "*.parquet").load(dirs)
+            .select("path", "length", F.regexp_extract("path", r"/_batch_id=([^/]+)/", 1).alias(BATCH_COL)))
 
 
-def read_commits(spark, base: str) -> DataFrame:
-    """All commit rows of a dataset (empty frame when nothing was committed yet)."""
-    path = f"{base.rstrip('/')}/_commits"
+def read_commits(spark, base: str, batch_id: str | None = None) -> DataFrame:
+    """Commit rows of a dataset, or of one batch (empty frame when nothing was committed)."""
+    root = f"{base.rstrip('/')}/_commits"
+    path = root if batch_id is None else f"{root}/{BATCH_COL}={batch_id}"
     if not fs.exists(spark, path):
         return spark.createDataFrame([], COMMIT_SCHEMA)
-    return spark.read.schema(COMMIT_SCHEMA).json(path)
+    return spark.read.schema(COMMIT_SCHEMA).option("basePath", root).json(path)
 
 
 def land_quarantine(bad: DataFrame, opts: LandOptions, batch_seq: int | None = None,
-                    batch_col: str | None = None, known_count: int | None = None) -> None:
+                    batch_col: str | None = None) -> None:
     """Bad messages with their reason, kept raw for replay or inspection.
 
-    ``known_count`` (e.g. observed while the good rows were written) skips an empty write.
+    A replay replaces what it wrote before: partitions (batch, reason) are overwritten, none is appended to.
     """
-    if known_count == 0:
-        return
     bid = F.lit(batch_id_str(opts, batch_seq)) if batch_seq is not None else batch_id_col(opts, F.col(batch_col))
     q = bad.withColumn(BATCH_COL, bid)
     if batch_col:
         q = q.drop(batch_col)
-    if batch_seq is not None:
-        d = f"{opts.quarantine_dir}/{BATCH_COL}={batch_id_str(opts, batch_seq)}"
-        if fs.exists(spark := bad.sparkSession, d):
-            fs.delete(spark, d)
-    q.write.mode("append").partitionBy(BATCH_COL, "reason").parquet(opts.quarantine_dir)
+    (q.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(BATCH_COL, "reason").parquet(opts.quarantine_dir))

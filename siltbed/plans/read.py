@@ -10,6 +10,7 @@ they had when landed (a ``date`` string stays a string).
 from __future__ import annotations
 
 import json
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,16 +46,30 @@ def manifest_dir(base: str) -> str:
     return f"{base.rstrip('/')}/_manifest"
 
 
+VERSIONS = "v="
+
+
 def latest_version(spark: SparkSession, base: str) -> int:
-    names = [n for n in fs.list_dirs(spark, manifest_dir(base)) if n.startswith("v=")]
-    return max((int(n[2:]) for n in names), default=0)
+    """The newest complete manifest version.
+
+    A version is one small file ``_manifest/v=<n>``, created only if missing, that names the folder of its rows; the rows are
+    all written before. A writer that dies leaves no version, or an empty file, which is passed over.
+    """
+    return fs.newest(spark, manifest_dir(base), VERSIONS)[0]
+
+
+def publish_manifest(spark: SparkSession, base: str, after: int, rows: DataFrame) -> int:
+    """Write the rows to a folder of their own, then publish the version that names it."""
+    name = f"rows-{uuid.uuid4().hex}"
+    rows.select(*[c.split()[0] for c in MANIFEST_SCHEMA.split(", ")]).write.mode("errorifexists").json(f"{manifest_dir(base)}/{name}")
+    return fs.publish(spark, manifest_dir(base), VERSIONS, after, name)
 
 
 def dataset_state(spark: SparkSession, base: str) -> DatasetState:
-    version = latest_version(spark, base)
+    version, name = fs.newest(spark, manifest_dir(base), VERSIONS)
     commits = read_commits(spark, base)
     if version:
-        manifest = spark.read.schema(MANIFEST_SCHEMA).json(f"{manifest_dir(base)}/v={version:012d}")
+        manifest = spark.read.schema(MANIFEST_SCHEMA).json(f"{manifest_dir(base)}/{name}")
     else:
         manifest = spark.createDataFrame([], MANIFEST_SCHEMA)
     folded = manifest.where(F.col("kind") == "folded").select("path")

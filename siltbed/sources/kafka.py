@@ -4,10 +4,11 @@ The connector jar is not bundled here; ``read_kafka`` works wherever
 ``spark-sql-kafka`` is on the classpath. Offsets live in the query checkpoint, so the
 consumer's own auto-commit has no role: delivery comes from checkpoint + idempotent landing.
 
-Budget per micro-batch (one flush) = ``batch_size`` records × ``flush_interval_batches``
-(``maxOffsetsPerTrigger``). With both a batch and a time interval, the trigger fires on
-whichever comes first: at least that many records, or after the interval
-(``minOffsetsPerTrigger`` + ``maxTriggerDelay``).
+One micro-batch is one flush. A count flush waits for ``batch_size`` records x ``flush_interval_batches``
+(``minOffsetsPerTrigger``); with a time interval too, it takes place on whichever comes first
+(``maxTriggerDelay``), under the default trigger, which looks again as soon as a batch is done. A time flush alone
+takes all that has arrived on each tick. ``maxOffsetsPerTrigger`` is set only if the caller gives
+``max_records_per_flush``. A run goes on until it is stopped; ``once`` drains what is there and ends.
 """
 
 from __future__ import annotations
@@ -39,6 +40,8 @@ class KafkaSourceOptions:
     batch_size: int = DEFAULT_BATCH_SIZE
     flush_interval_batches: int | None = None
     flush_interval_seconds: int | None = None
+    max_records_per_flush: int | None = None
+    once: bool = False
 
     def __post_init__(self):
         if not self.bootstrap_servers or not self.topics:
@@ -60,25 +63,30 @@ def kafka_options(o: KafkaSourceOptions) -> dict[str, str]:
         "kafka.group.id": o.group_id,
         "failOnDataLoss": "true",
     }
-    per_flush = o.batch_size * (o.flush_interval_batches or 1)
-    if o.flush_interval_seconds and o.flush_interval_batches:
-        opts["minOffsetsPerTrigger"] = str(per_flush)
-        opts["maxTriggerDelay"] = f"{int(o.flush_interval_seconds)}s"
-        opts["maxOffsetsPerTrigger"] = str(per_flush)
-    else:
-        opts["maxOffsetsPerTrigger"] = str(per_flush)
+    if o.flush_interval_batches and not o.once:
+        opts["minOffsetsPerTrigger"] = str(o.batch_size * o.flush_interval_batches)
+        if o.flush_interval_seconds:
+            opts["maxTriggerDelay"] = f"{int(o.flush_interval_seconds)}s"
+    if o.max_records_per_flush:
+        opts["maxOffsetsPerTrigger"] = str(o.max_records_per_flush)
     for k, v in o.consumer_config.items():
+        if k == "auto.offset.reset":  # the connector's name for it; the caller wins
+            if v not in OFFSET_RESETS:
+                raise ValueError(f"auto.offset.reset must be one of {sorted(OFFSET_RESETS)}")
+            opts["startingOffsets"] = OFFSET_RESETS[v]
         if k in MANAGED:
-            continue  # handled by startingOffsets / the checkpoint
+            continue  # the connector refuses them: offsets live in the checkpoint
         opts[f"kafka.{k}"] = str(v)
     return opts
 
 
 def trigger_for(o: KafkaSourceOptions) -> dict:
-    """Continuous cadence from the flush interval; without one, drain what is there and stop."""
-    if o.flush_interval_seconds:
+    """A tick for a time flush alone; the default trigger otherwise; ``once`` drains and stops."""
+    if o.once:
+        return {"availableNow": True}
+    if o.flush_interval_seconds and not o.flush_interval_batches:
         return {"processingTime": f"{int(o.flush_interval_seconds)} seconds"}
-    return {"availableNow": True}
+    return {"processingTime": "0 seconds"}
 
 
 def read_kafka(spark: SparkSession, o: KafkaSourceOptions, streaming: bool = True) -> DataFrame:

@@ -2,11 +2,11 @@
 
 Streams are read through a consumer group, replay-safe:
 * the group is created at id 0 (``MKSTREAM``; an existing group is fine);
-* a micro-batch covers ``(last delivered id, newest id]`` per stream key; the entries are
-  read with ``XRANGE`` on executors, one input partition per key, in pages of ``batch_size``;
+* a micro-batch covers up to ``batch_size`` entries after the last planned id of each stream key; they are
+  read with ``XRANGE`` on executors, an input partition for each 1000 entries;
 * ``commit()`` (after the batch has landed) moves the group to the batch end with
   ``XGROUP SETID``; nothing is acknowledged before the data is durable.
-Lists are destructive queues, so each trigger moves up to ``batch_size`` items (lists in
+Lists are destructive queues, so each trigger moves as many items as the streams leave of ``batch_size`` (lists in
 key order, first non-empty key first) into a per-group pending list, server side (a Lua
 ``LMOVE`` loop: items never pass through the driver); a micro-batch reads pending items by
 index on executors and ``commit()`` trims them. A failed batch is read again.
@@ -33,16 +33,26 @@ DEFAULT_HOST = "localhost"
 DEFAULT_PORT = 6379
 DEFAULT_DB = 0
 DEFAULT_BATCH_SIZE = 1000
+PAGE = 1000  # entries or items of one input partition
 
 
 def _split(v: str | None) -> list[str]:
     return [x.strip() for x in (v or "").split(",") if x.strip()]
 
 
-def entry_seq(entry_id: str) -> int:
-    """Order-preserving number for a stream id ``<ms>-<n>``."""
+def entry_pair(entry_id: str) -> tuple[int, int]:
+    """(ms, n) of a stream id ``<ms>-<n>``: the order of entries."""
     ms, _, n = entry_id.partition("-")
-    return (int(ms) << 20) | int(n or 0)
+    return int(ms), int(n or 0)
+
+
+def entry_seq(entry_id: str) -> int:
+    """A number that rises with the id as long as a millisecond has fewer than 2^20 entries.
+
+    It is the envelope's offset, for people to look at; reading compares the pairs, and ``entry_id`` keeps both parts.
+    """
+    ms, n = entry_pair(entry_id)
+    return (ms << 20) + min(n, (1 << 20) - 1)
 
 
 def id_time(entry_id: str) -> dt.datetime:
@@ -86,31 +96,46 @@ class RedisOps:
     def set_group_id(self, key, group, entry_id):
         self.c.xgroup_setid(key, group, entry_id)
 
-    # server-side move of up to n items (items never travel through the driver)
+    def nth_id_after(self, key, after, n):
+        """Id of the n-th entry after an id (the last one if there are fewer; ``after`` itself if there is none)."""
+        r = self.c.xrange(key, f"({after}" if after != "0-0" else "-", "+", count=int(n))
+        if not r:
+            return after
+        v = r[-1][0]
+        return v.decode() if isinstance(v, bytes) else v
+
+    # server-side move of up to n items and the count of all moved so far, in one atomic step
+    # (items never travel through the driver)
     MOVE_SCRIPT = (
-        "local moved = 0 "
+        "local moved = tonumber(redis.call('GET', KEYS[3]) or redis.call('GET', KEYS[4]) or '0') "
         "for i = 1, tonumber(ARGV[1]) do "
         "  if not redis.call('LMOVE', KEYS[1], KEYS[2], 'LEFT', 'RIGHT') then break end "
         "  moved = moved + 1 "
         "end "
+        "redis.call('SET', KEYS[3], moved) "
         "return moved")
 
     def move_items(self, key, pending, n):
-        return int(self.c.eval(self.MOVE_SCRIPT, 2, key, pending, int(n)))
+        """Move up to n items to the pending list; the count of items moved since the beginning."""
+        return int(self.c.eval(self.MOVE_SCRIPT, 4, key, pending, pending + ":moved", pending + ":base", int(n)))
+
+    # trim what a batch has read and move the base, in one atomic step: a crash can't lose or repeat items
+    COMMIT_SCRIPT = (
+        "local base = tonumber(redis.call('GET', KEYS[2]) or '0') "
+        "local upto = tonumber(ARGV[1]) "
+        "if upto > base then redis.call('LTRIM', KEYS[1], upto - base, -1) redis.call('SET', KEYS[2], upto) end "
+        "return 1")
+
+    def commit_items(self, pending, upto):
+        self.c.eval(self.COMMIT_SCRIPT, 2, pending, pending + ":base", int(upto))
 
     def lrange(self, key, start, stop):
         return self.c.lrange(key, start, stop)
 
-    def ltrim(self, key, start, stop):
-        self.c.ltrim(key, start, stop)
-
     def get_int(self, key):
         v = self.c.get(key)
         return int(v) if v is not None else 0
 
-    def set_int(self, key, value):
-        self.c.set(key, int(value))
-
 
 def default_client(options: dict):
     import redis  # gated: only needed against a real server
@@ -143,6 +168,7 @@ class RedisStreamReader(DataSourceStreamReader):
             raise ValueError("consumer_group is required when stream_keys are set")
         if not self.streams and not self.lists:
             raise ValueError("give stream_keys and/or list_keys")
+        self._planned: dict = {}
         ops = make_client(self.options)
         for k in self.streams:
             ops.ensure_group(k, self.group)
@@ -156,31 +182,45 @@ class RedisStreamReader(DataSourceStreamReader):
                 "lists": {k: ops.get_int(self._pending(k) + ":base") for k in self.lists}}
 
     def latestOffset(self):
+        """Up to ``batch_size`` entries of each stream; the lists share what the streams leave of ``batch_size``.
+
+        A stream's end is the id of its batch_size-th entry after the last planned one (an XRANGE with COUNT); a list's
+        items are moved to its pending list, first non-empty key first, as a blocking pop over the keys would.
+        """
         ops = make_client(self.options)
-        streams = {k: ops.last_id(k) for k in self.streams}
+        streams, left = {}, self.batch_size
+        for k in self.streams:
+            after = self._planned.get(k) or ops.group_last_id(k, self.group)
+            page = ops.xrange_after(k, after, "+", self.batch_size)
+            streams[k] = self._planned[k] = page[-1][0] if page else after
+            left -= len(page)
         lists = {}
-        budget = self.batch_size
-        for k in self.lists:  # first non-empty key first, as a blocking pop over the keys would
-            moved_key = self._pending(k) + ":moved"
-            moved = ops.get_int(moved_key) or ops.get_int(self._pending(k) + ":base")
-            if budget > 0:
-                n = ops.move_items(k, self._pending(k), budget)
-                budget -= n
-                moved += n
-                ops.set_int(moved_key, moved)
-            lists[k] = moved
+        for k in self.lists:
+            was = max(ops.get_int(self._pending(k) + ":moved"), ops.get_int(self._pending(k) + ":base"))
+            lists[k] = ops.move_items(k, self._pending(k), left) if left > 0 else was
+            left -= lists[k] - was
         return {"streams": streams, "lists": lists}
 
     def partitions(self, start, end):
         parts = []
         for k in self.streams:
             a, b = start["streams"].get(k, "0-0"), end["streams"].get(k, "0-0")
-            if entry_seq(b) > entry_seq(a):
-                parts.append(_Part("stream", k, a, b))
+            if entry_pair(b) > entry_pair(a):
+                parts += self._split_stream(k, a, b)
         for k in self.lists:
             a, b = int(start["lists"].get(k, 0)), int(end["lists"].get(k, 0))
-            if b > a:
-                parts.append(_Part("list", k, a, b))
+            parts += [_Part("list", k, at, min(at + PAGE, b)) for at in range(a, b, PAGE)]
+        return parts
+
+    def _split_stream(self, key, start, end):
+        """Partitions of PAGE entries each, so that a hot stream is read by many tasks."""
+        ops = make_client(self.options)
+        parts = []
+        while entry_pair(start) < entry_pair(end):
+            page = ops.nth_id_after(key, start, PAGE)
+            stop = min(page, end, key=entry_pair) if entry_pair(page) > entry_pair(start) else end
+            parts.append(_Part("stream", key, start, stop))
+            start = stop
         return parts
 
     def read(self, p):
@@ -197,8 +237,9 @@ class RedisStreamReader(DataSourceStreamReader):
         else:
             base = ops.get_int(self._pending(p.key) + ":base")
             items = ops.lrange(self._pending(p.key), p.start - base, p.end - base - 1)
+            now = dt.datetime.now(dt.timezone.utc)  # items carry no time: their arrival is the read
             for i, item in enumerate(items):
-                yield ("redis_list", p.key, p.start + i, str(p.start + i), None, {"value": item})
+                yield ("redis_list", p.key, p.start + i, str(p.start + i), now, {"value": item})
 
     def commit(self, end):
         ops = make_client(self.options)
@@ -207,12 +248,7 @@ class RedisStreamReader(DataSourceStreamReader):
             if e and e != "0-0":
                 ops.set_group_id(k, self.group, e)
         for k in self.lists:
-            e = int(end["lists"].get(k, 0))
-            base_key = self._pending(k) + ":base"
-            base = ops.get_int(base_key)
-            if e > base:
-                ops.ltrim(self._pending(k), e - base, -1)
-                ops.set_int(base_key, e)
+            ops.commit_items(self._pending(k), int(end["lists"].get(k, 0)))
 
 
 class RedisBatchReader(DataSourceReader):
@@ -239,8 +275,11 @@ class RedisBatchReader(DataSourceReader):
                     break
                 after = page[-1][0]
         else:
-            for i, item in enumerate(ops.lrange(p.key, 0, -1)):
-                yield ("redis_list", p.key, i, str(i), None, {"value": item})
+            now, at = dt.datetime.now(dt.timezone.utc), 0
+            while items := ops.lrange(p.key, at, at + PAGE - 1):  # a page at a time, never the whole list
+                for i, item in enumerate(items):
+                    yield ("redis_list", p.key, at + i, str(at + i), now, {"value": item})
+                at += len(items)
 
 
 class RedisDataSource(DataSource):

@@ -53,9 +53,9 @@ def hadoop_conf(o: SinkOptions) -> dict[str, str]:
     conf: dict[str, str] = {}
     if o.type == "s3":
         if o.endpoint_url:
-            u = urlparse(o.endpoint_url)
-            conf["spark.hadoop.fs.s3a.endpoint"] = u.netloc or o.endpoint_url
-            conf["spark.hadoop.fs.s3a.connection.ssl.enabled"] = str(u.scheme == "https").lower()
+            plain = o.endpoint_url.lower().startswith("http://")  # a bare host:port is secure
+            conf["spark.hadoop.fs.s3a.endpoint"] = o.endpoint_url.split("://", 1)[-1].rstrip("/")
+            conf["spark.hadoop.fs.s3a.connection.ssl.enabled"] = str(not plain).lower()
             conf["spark.hadoop.fs.s3a.path.style.access"] = "true"
         if o.region_name:
             conf["spark.hadoop.fs.s3a.endpoint.region"] = o.region_name
@@ -64,3 +64,13 @@ def hadoop_conf(o: SinkOptions) -> dict[str, str]:
             conf["spark.hadoop.fs.s3a.secret.key"] = o.secret_key
     conf.update({f"spark.hadoop.{k}" if not k.startswith("spark.") else k: str(v) for k, v in o.extra.items()})
     return conf
+
+
+def apply_conf(spark, o: SinkOptions) -> None:
+    """Make the sink's settings known to a running session: to its readers and writers and to our own file-system calls."""
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    for k, v in hadoop_conf(o).items():
+        if k.startswith("spark.hadoop."):
+            hadoop.set(k[len("spark.hadoop."):], v)
+        else:
+            spark.conf.set(k, v)

@@ -1,13 +1,11 @@
-"""Land an envelope stream: readStream -> foreachBatch(decode, land, quarantine[, compact]).
-
-* one micro-batch = one flush; its size is the trigger's budget (``maxOffsetsPerTrigger``
-  for Kafka, ``maxFilesPerTrigger`` for files), its cadence the trigger
-  (``processingTime`` = continuous, ``availableNow`` = drain what is there and stop).
-* the micro-batch is persisted while it is decoded once and written twice (good rows and
-  quarantine), then released; its size is bounded by the trigger budget.
-* batch ids come from the checkpoint, so a replayed micro-batch overwrites its own folders.
-* the JSON schema is declared, or inferred once from the first non-empty micro-batch and
-  pinned in a sidecar file next to the checkpoint; later batches never re-infer.
+"""Land an envelope stream: readStream -> foreachBatch(decode, quarantine, land[, compact]).
+
+* one micro-batch = one flush; its size and cadence are the trigger's and the source's.
+* the micro-batch is persisted while it is read several times, then released.
+* batch ids come from the checkpoint: a replayed micro-batch that is already committed is skipped. Bad rows are
+  written before the commit record, replacing an earlier attempt's, so a committed batch has both.
+* the JSON schema is declared, or inferred: each micro-batch is inferred in one pass, and what is new in it widens the
+  schema kept beside the checkpoint. A key first seen late, or null until then, gets its column and type.
 * empty micro-batches write nothing.
 """
 
@@ -20,9 +18,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from siltbed.operators.decode import check_format, check_policy, decode_arrow_ipc, decode_json, infer_json_schema
+from siltbed.operators.unions import agreed_schema
 from siltbed.plans import fs
 from siltbed.plans.compact import CompactOptions, compact
-from siltbed.plans.land import LandOptions, land, land_quarantine
+from siltbed.plans.land import LandOptions, batch_id_str, done_batches, land, land_quarantine
 from siltbed.sources.envelope import with_source
 
 SIDE_CAR = "_pinned_schema"
@@ -43,49 +42,60 @@ class StreamOptions:
         check_policy(self.policy)
 
 
+SCHEMAS = "schema="
+
+
+def _schema_dir(checkpoint: str) -> str:
+    return f"{checkpoint.rstrip('/')}/{SIDE_CAR}"
+
+
 def pinned_schema(spark: SparkSession, checkpoint: str) -> T.StructType | None:
-    path = f"{checkpoint.rstrip('/')}/{SIDE_CAR}"
-    if not fs.exists(spark, path):
-        return None
-    return T.StructType.fromJson(json.loads(spark.read.text(path).first()[0]))
+    text = fs.newest(spark, _schema_dir(checkpoint), SCHEMAS)[1]
+    return T.StructType.fromJson(json.loads(text)) if text else None
 
 
 def pin_schema(spark: SparkSession, checkpoint: str, schema: T.StructType) -> None:
-    path = f"{checkpoint.rstrip('/')}/{SIDE_CAR}"
-    spark.createDataFrame([(json.dumps(schema.jsonValue()),)], "value string").coalesce(1) \
-        .write.mode("overwrite").text(path)
+    """Keep ``schema`` as the newest; earlier ones stay."""
+    n = fs.newest(spark, _schema_dir(checkpoint), SCHEMAS)[0]
+    fs.publish(spark, _schema_dir(checkpoint), SCHEMAS, n, json.dumps(schema.jsonValue()))
+
+
+def widened_schema(known: T.StructType | None, seen: T.StructType) -> T.StructType:
+    """``known`` with the columns and types that ``seen`` adds; the order of known columns stays."""
+    return agreed_schema([s for s in (known, seen) if s is not None])
 
 
 def make_batch_writer(land_opts: LandOptions, sopts: StreamOptions, schema: T.StructType | None):
     if sopts.value_format == "arrow_ipc" and schema is None:
         raise ValueError("arrow_ipc payloads need a declared schema")
-    state = {"schema": schema, "n": 0}
+    state = {"n": 0}
 
     def write(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
+        bid = batch_id_str(land_opts, epoch_id)
+        if bid in done_batches(spark, land_opts, [bid]):
+            return  # a replay of a batch that is durable
         batch = batch.persist()
         try:
             if batch.isEmpty():
                 return
-            if state["schema"] is None:
-                state["schema"] = pinned_schema(spark, sopts.checkpoint)
-            if state["schema"] is None:
-                state["schema"] = infer_json_schema(batch)
-                pin_schema(spark, sopts.checkpoint, state["schema"])
+            use = schema
+            if use is None:
+                known = pinned_schema(spark, sopts.checkpoint)
+                use = widened_schema(known, infer_json_schema(batch))
+                if use != known:
+                    pin_schema(spark, sopts.checkpoint, use)
             if sopts.value_format == "arrow_ipc":
-                decoded = decode_arrow_ipc(with_source(batch), state["schema"])
-                if sopts.policy == "ignore":
-                    decoded.quarantine = decoded.quarantine.limit(0)
+                decoded = decode_arrow_ipc(with_source(batch), use, sopts.policy)
             else:
-                decoded = decode_json(with_source(batch), state["schema"], sopts.policy)
+                decoded = decode_json(with_source(batch), use, sopts.policy)
             good = decoded.good
             if sopts.time_partitions_from:
                 from siltbed.functions.timeparts import with_time_partitions
                 good = with_time_partitions(good, sopts.time_partitions_from)
+            if sopts.policy == "log" and not decoded.quarantine.isEmpty():
+                land_quarantine(decoded.quarantine, land_opts, batch_seq=epoch_id)
             land(good, land_opts, batch_seq=epoch_id)
-            if sopts.policy == "log":
-                land_quarantine(decoded.quarantine, land_opts, batch_seq=epoch_id,
-                                known_count=decoded.bad_count())
             state["n"] += 1
             if sopts.compact_every and state["n"] % sopts.compact_every == 0:
                 compact(spark, land_opts.base, sopts.compact or CompactOptions())

@@ -59,14 +59,14 @@ class FileRedis:
             return s[-1][0] if s else "0-0"
 
     def xrange_after(self, key, after, until, count):
-        from siltbed.sources.redis import entry_seq
+        from siltbed.sources.redis import entry_pair
 
-        lo = entry_seq(after)
-        hi = None if until == "+" else entry_seq(until)
+        lo = entry_pair(after)
+        hi = None if until == "+" else entry_pair(until)
         out = []
         with self._state() as st:
             for eid, fields in st["streams"].get(key, []):
-                s = entry_seq(eid)
+                s = entry_pair(eid)
                 if s > lo and (hi is None or s <= hi):
                     out.append((eid, {k: base64.b64decode(v) for k, v in fields.items()}))
                     if len(out) >= count:
@@ -77,12 +77,25 @@ class FileRedis:
         with self._state(True) as st:
             st["groups"][f"{key}|{group}"] = entry_id
 
+    def nth_id_after(self, key, after, n):
+        page = self.xrange_after(key, after, "+", n)
+        return page[-1][0] if page else after
+
     def move_items(self, key, pending, n):
         with self._state(True) as st:
             src = st["lists"].setdefault(key, [])
             take, st["lists"][key] = src[:n], src[n:]
             st["lists"].setdefault(pending, []).extend(take)
-            return len(take)
+            moved = int(st["kv"].get(pending + ":moved", st["kv"].get(pending + ":base", 0))) + len(take)
+            st["kv"][pending + ":moved"] = moved
+            return moved
+
+    def commit_items(self, pending, upto):
+        with self._state(True) as st:
+            base = int(st["kv"].get(pending + ":base", 0))
+            if upto > base:
+                st["lists"][pending] = st["lists"].get(pending, [])[upto - base:]
+                st["kv"][pending + ":base"] = upto
 
     def lrange(self, key, start, stop):
         with self._state() as st:
@@ -90,19 +103,10 @@ class FileRedis:
             stop = len(xs) - 1 if stop == -1 else stop
             return [base64.b64decode(x) for x in xs[start:stop + 1]]
 
-    def ltrim(self, key, start, stop):
-        with self._state(True) as st:
-            xs = st["lists"].get(key, [])
-            st["lists"][key] = xs[start:] if stop == -1 else xs[start:stop + 1]
-
     def get_int(self, key):
         with self._state() as st:
             return int(st["kv"].get(key, 0))
 
-    def set_int(self, key, value):
-        with self._state(True) as st:
-            st["kv"][key] = int(value)
-
 
 def client(options: dict) -> FileRedis:
     return FileRedis(options["fake_path"])

@@ -11,7 +11,7 @@ from siltbed.plans.catalog_decode import EVENT_SCHEMA
 from siltbed.session import scratch_path
 from siltbed.sources import redis as R
 from siltbed.sources.envelope import TS_NTZ_MICROS, from_redis, with_source
-from siltbed.sources.fake_redis import FileRedis
+from fake_redis import FileRedis
 
 
 @pytest.fixture()
@@ -34,7 +34,7 @@ def store(spark, sf_dir, tmp_path):
 
 def _options(path, keys, group="g1"):
     return {"stream_keys": ",".join(keys), "list_keys": "conversations", "consumer_group": group,
-            "batch_size": "50", "client": "siltbed.sources.fake_redis:client", "fake_path": path}
+            "batch_size": "50", "client": "fake_redis:client", "fake_path": path}
 
 
 def _drain(spark, opts, out, checkpoint):
@@ -95,7 +95,7 @@ def test_entry_ids_order_and_time():
 
 
 def test_read_failure_is_an_error_not_an_empty_poll(spark, tmp_path):
-    opts = {"list_keys": "q", "client": "siltbed.sources.fake_redis:client",
+    opts = {"list_keys": "q", "client": "fake_redis:client",
             "fake_path": str(tmp_path / "missing" / "x.json")}
     R.register(spark)
     with pytest.raises(Exception):
