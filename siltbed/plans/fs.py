@@ -106,3 +106,10 @@ def publish(spark: SparkSession, folder: str, prefix: str, after: int, text: str
 def modified_before(spark: SparkSession, path: str, millis: int) -> bool:
     fs, p = _fs(spark, path)
     return fs.exists(p) and fs.getFileStatus(p).getModificationTime() < millis
+
+
+def rename(spark: SparkSession, path: str, target: str) -> None:
+    fs, p = _fs(spark, path)
+    to = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+    if not fs.rename(p, to):
+        raise OSError(f"could not move {path} to {target}")
