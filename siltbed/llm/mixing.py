@@ -47,17 +47,16 @@ def target_shares(cells: DataFrame, margin: str, wanted: dict | float) -> DataFr
     else:
         weight = F.pow("t", F.lit(float(wanted)))
     shares = shares.select(margin, F.when(F.col("t") > 0, weight).otherwise(0.0).alias("w"))
-    total = shares.agg(F.sum("w").alias("all"))
-    return shares.crossJoin(total).select(margin, (F.col("w") / F.nullif("all", F.lit(0.0))).alias("share"))  # one row of totals
+    total = shares.agg(F.sum("w")).first()[0] or 1.0  # one number
+    return shares.select(margin, (F.col("w") / total).alias("share"))
 
 
 def rake(cells: DataFrame, targets: dict, budget: float, rounds: int = ROUNDS) -> DataFrame:
     """Cells with ``p``: fitted tokens over tokens, after ``rounds`` rounds over the margins."""
-    size = cells.select(F.sum("tokens").cast("double").alias("all"))
+    size = float(cells.agg(F.sum("tokens")).first()[0] or 0)  # one number
     fitted = cells.withColumn("fit", F.col("tokens").cast("double"))
-    wanted = {m: materialize(target_shares(cells, m, targets[m]).crossJoin(size)  # the one total
-                             .select(F.col(m).alias(f"{m}_"), (F.col("share") * F.col("all") * budget).alias("goal")), f"goal-{m}")
-              for m in MARGINS}
+    wanted = {m: materialize(target_shares(cells, m, targets[m]).select(
+        F.col(m).alias(f"{m}_"), (F.col("share") * size * budget).alias("goal")), f"goal-{m}") for m in MARGINS}
     for _ in range(rounds):
         for m in MARGINS:
             now = fitted.groupBy(m).agg(F.sum("fit").alias("now")).select(F.col(m).alias(f"{m}_"), "now")
