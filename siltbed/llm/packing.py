@@ -12,6 +12,7 @@ an empty table gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
+import os
 import zlib
 
 import numpy as np
@@ -41,43 +42,88 @@ class _Numbers(dict):
 class WordCache:
     """Token ids word by word: the tokenizer drops white space, so a text's ids are those of its words in turn.
 
+    A word of letters and one full stop or comma after it are encoded apart, as the tokenizer's own pattern splits them.
     ``most`` words are kept; then it starts afresh. Word 0 is the end token.
     """
 
-    def __init__(self, path: str, end: int, most: int = 1_000_000):
+    def __init__(self, path: str, end: int, most: int = 500_000):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; more threads would only hold more memory
         from tokenizers import Tokenizer
 
         self.tokenizer, self.end, self.most = Tokenizer.from_file(path), end, most
         special = [(i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and not (t.lstrip or t.rstrip)]
         self.mark = special[-1] if special else None  # put between words that are encoded together
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        names = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.last = np.zeros(1 + max([end, *self.tokenizer.get_vocab().values()]), bool)  # ids that close a word of letters
+        if suffix:
+            self.last[[i for t, i in names.items() if t.endswith(suffix)]] = True
+        self.points = {c: self._ids([c.decode()])[0] for c in (b".", b",")}
         self.clear()
 
     def clear(self) -> None:
         self.index = _Numbers()
-        self.flat, self.start, self.size = [np.array([self.end], np.int64)], np.array([0]), np.array([1])
+        self.flat, self.start, self.size = np.array([self.end], np.int32), np.array([0]), np.array([1])
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.int64) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _marked(self, words: list[str]) -> list[np.ndarray]:
+        """Ids of any words, a special token between them; words that may hold one are encoded alone."""
+        alone = [i for i, w in enumerate(words) if not self.mark or "<|" in w]
+        rest = sorted({*range(len(words))} - {*alone})
+        out: list = [None] * len(words)
+        groups = [rest[at:at + 200] for at in range(0, len(rest), 200)]
+        for some, ids in zip(groups, self._ids([self.mark[1].join(words[i] for i in g) for g in groups]), strict=True):
+            for i, part in zip(some, np.split(ids, np.flatnonzero(ids == self.mark[0])), strict=True):
+                out[i] = part[part != self.mark[0]]
+        for i, ids in zip(alone, self._ids([words[i] for i in alone]), strict=True):
+            out[i] = ids
+        return out
+
+    def _letters(self, words: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(ids, how many each word has) of groups of words of letters, between spaces; a word ends where an id closes it."""
+        out = []
+        groups = [words[at:at + 500] for at in range(0, len(words), 500)]
+        for some, ids in zip(groups, self._ids([" ".join(g) for g in groups]), strict=True):
+            ends = np.flatnonzero(self.last[ids])
+            if len(ends) != len(some) or ends[-1] != len(ids) - 1:  # a letter that lower case takes apart
+                each = self._marked(some)
+                ids, ends = np.concatenate(each), np.cumsum([len(x) for x in each]) - 1
+            out.append((ids, np.diff(ends, prepend=-1)))
+        return out
 
     def learn(self) -> None:
         words, self.index.new = self.index.new, []
-        sizes = np.zeros(len(words), np.int64)
-        parts: list[np.ndarray] = []
-        plain = [i for i, w in enumerate(words) if self.mark and b"<|" not in w]
-        odd = sorted({*range(len(words))} - {*plain})
-        groups = [plain[at:at + 200] for at in range(0, len(plain), 200)]
-        for some, ids in zip(groups, self._ids([self.mark[1].join(words[i].decode("utf-8") for i in g) for g in groups]), strict=True):
-            marks = np.flatnonzero(ids == self.mark[0])
-            sizes[some] = np.diff(marks, prepend=-1, append=len(ids)) - 1
-            parts.append(np.delete(ids, marks))
-        for i, ids in zip(odd, self._ids([words[i].decode("utf-8") for i in odd]), strict=True):
-            sizes[i] = len(ids)
-            parts.append(ids)
-        order = np.array([*plain, *odd], np.int64)  # as the ids lie in parts
-        start = np.zeros(len(words), np.int64)
-        start[order] = sum(map(len, self.flat)) + np.cumsum(sizes[order]) - sizes[order]
-        self.start, self.size = np.concatenate([self.start, start]), np.concatenate([self.size, sizes])
-        self.flat = [np.concatenate([*self.flat, *parts])]
+        stems: dict[str, int] = {}
+        odd: list[int] = []
+        stem, point = np.full(len(words), -1), np.zeros(len(words), np.int32)
+        for i, w in enumerate(words):
+            text = w.decode("utf-8")
+            if text.isalpha():
+                stem[i] = stems.setdefault(text.lower() if text.isascii() else text, len(stems))
+            elif text[-1] in ".," and text[:-1].lower().isalpha() and len(self.points[w[-1:]]) == 1:
+                text = text[:-1]
+                stem[i] = stems.setdefault(text.lower() if text.isascii() else text, len(stems))
+                point[i] = self.points[w[-1:]][0]
+            else:
+                odd.append(i)
+        got = self._letters(list(stems))
+        others = self._marked([words[i].decode("utf-8") for i in odd])
+        flat = np.concatenate([np.zeros(0, np.int32), *(ids for ids, _ in got), *others])
+        count = np.concatenate([np.zeros(0, np.int64), *(n for _, n in got), np.array([len(x) for x in others], np.int64)])
+        first = np.cumsum(count) - count
+        stem[odd] = len(stems) + np.arange(len(odd))
+        sizes = count[stem] + (point > 0)
+        ends = np.cumsum(sizes)
+        new = np.zeros(ends[-1] if len(ends) else 0, np.int32)
+        own = count[stem]
+        inner = np.arange(own.sum()) - np.repeat(np.cumsum(own) - own, own)
+        new[np.repeat(ends - sizes, own) + inner] = flat[np.repeat(first[stem], own) + inner]
+        new[ends[point > 0] - 1] = point[point > 0]
+        self.start = np.concatenate([self.start, len(self.flat) + ends - sizes])
+        self.size = np.concatenate([self.size, sizes])
+        self.flat = np.concatenate([self.flat, new])
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, each text's closed by the end token, and how many each has."""
@@ -95,7 +141,7 @@ class WordCache:
         at = np.array(at, np.int64)
         sizes = self.size[at]
         ends = np.cumsum(sizes)
-        ids = self.flat[0][np.repeat(self.start[at] - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)]
+        ids = self.flat[np.repeat(self.start[at] - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)]
         return ids, np.diff(ends[last], prepend=0)
 
 
@@ -154,7 +200,7 @@ def tokenized(docs: DataFrame, tokenizer: str, end: int = 1) -> DataFrame:
         kind = "<u2" if max(end, cache.tokenizer.get_vocab_size()) < 65_536 else "<u4"
         directions = projection()
         for batch in batches:
-            for part in slices(batch, 1024):
+            for part in slices(batch):
                 ids, sizes = cache.encode(part.column(1).to_pylist())
                 if not len(sizes):
                     continue
