@@ -78,8 +78,7 @@ def _down(rows: DataFrame, depth: int, bits: int) -> DataFrame:
                    lambda c: (F.col("diff") + apart(c) <= budget) & (~F.col("home") | (c <= F.col("own"))))
     rows = rows.withColumn("own", own)
     rows = rows.withColumn("child", F.explode(met))
-    return rows.select("trie", (F.col("node") * 16 + F.col("child")).alias("node") if depth < 60 else F.col("fp").alias("node"),
-                       "fp", (F.col("home") & (F.col("child") == F.col("own"))).alias("home"),
+    return rows.select("trie", F.shiftleft("node", STEP).bitwiseOR(F.col("child")).alias("node"), "fp", (F.col("home") & (F.col("child") == F.col("own"))).alias("home"),
                        (F.col("diff") + apart(F.col("child"))).cast("int").alias("diff"))
 
 
@@ -170,6 +169,7 @@ def links(fps: DataFrame, bits: int = 4, most: int = 4096) -> DataFrame:
     first half needs bits < 32.
     """
     n = fps.count()
+    fps = fps.repartition("fp")  # the table is small, its walk is not
     rows = fps.select(F.explode(F.array(F.struct(F.lit(0).alias("trie"), F.col("fp")), F.struct(F.lit(1).alias("trie"), _turned(F.col("fp")).alias("fp")))).alias("x"))
     rows = rows.select("x.trie", F.lit(0).cast("long").alias("node"), "x.fp", F.lit(True).alias("home"), F.lit(0).alias("diff"))
     depth = 0
