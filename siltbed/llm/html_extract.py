@@ -392,7 +392,9 @@ def marked_blocks(source: str) -> list[str] | None:
 
 def train(pages: DataFrame, sample: int = 150, templates: int = 400) -> Model:
     """The model from ``templates`` made pages and at most ``sample`` pages of the input that mark their article."""
-    chosen = pages.where(F.col("html").contains("<article") & (F.length("html") < 20_000)).select("page_id", "html").orderBy(F.xxhash64("html"), "page_id").limit(sample).collect()
+    marked = pages.where(F.col("html").contains("<article") & (F.length("html") < 20_000))
+    ids = marked.select("page_id").orderBy(F.xxhash64("page_id"), "page_id").limit(sample)  # ids alone are sorted for the sample
+    chosen = marked.select("page_id", "html").join(F.broadcast(ids.distinct()), "page_id", "left_semi").limit(sample).collect()
     own = [(r.html, marked_blocks(r.html)) for r in chosen]
     return fit([*template_pages(templates), *((h, w) for h, w in own if w is not None)])
 
