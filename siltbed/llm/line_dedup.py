@@ -2,13 +2,13 @@
 
 A line that equals an earlier one, or is within one word edit (a word put in, left out or changed) of an
 earlier one, goes. Two lines are within one edit exactly if deleting one word at the same place makes them
-equal, or deleting one word of the longer makes the shorter. So every line emits its variants, itself and the line
-without its i-th word, as hashed keys; equal keys meet, and the earliest line of a key is all that has to be
+equal, or deleting one word of the longer makes the shorter. So lines emit their variants, themselves and the line
+without one of its words, as hashed keys; equal keys meet, and the earliest line of a key is all that has to be
 known of it: no pairs are made, however many lines share a key. Each edit is then verified on the words.
 
-Variants are only emitted for lines that share the first or the last half of their words with another line,
-which every two lines within one edit do; the rest can have no neighbour. Hashes of all variants of a line come
-from running sums of its words' hashes, so a long line costs no more than its words.
+Variants that can have no partner are not emitted. An edit changes one place only, so two lines within one share their first or
+their last words, nearly half of them: lines that share neither with another line are out (:func:`with_ends`). Cut into segments,
+they share all but one segment: a word is deleted only in a segment whose rest another line has too (:func:`_rests`).
 
 "Earlier" is by (doc_id, line number). Short lines (under ``near_words`` words) go only if equal to an earlier one.
 Whether the earlier line itself goes doesn't matter, so the result depends on no order of work.
@@ -20,8 +20,7 @@ gives no rows; extra columns are kept, whatever their names.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,41 +29,58 @@ from siltbed.llm.common import materialize, private, word_list
 LAST = 2**63 - 1
 
 
-def _lines(docs: DataFrame, near_words: int) -> DataFrame:
-    """One row per line with a word: place (doc_id, line number), hash h, and ``keys`` of its halves.
+def _lines(docs: DataFrame) -> DataFrame:
+    """One row per line with a word: place (doc_id, line number), the line and its hash h."""
+    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("no", "line"))
+    lines = lines.where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
+    return lines.select(F.struct(F.coalesce("doc_id", F.lit(LAST)).alias("doc"), "no").alias("place"), "line", F.xxhash64("line").alias("h"))
+
 
-    Two lines of n and m words within one edit agree in the first floor(L / 2) words or in the last L - floor(L / 2),
-    where L is the lesser of n and m; so a line has both keys for L = n and L = n - 1.
+def with_ends(lines: DataFrame, near_words: int) -> DataFrame:
+    """``lines`` with ``ends``: hashes of the first and of the last words, up to half of them; null for short lines.
+
+    Their number is the same for lines of nearly equal length: a power of 1.25 below half of n or of n - 1
+    words, the shorter line's; mostly these two agree and there are two keys. Words are cut off as strings, single spaces between them.
     """
-    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("no", "line"))
-    lines = lines.where(F.col("line").rlike(r"[^\x20\x09-\x0D]")).withColumn("words", word_list(F.col("line")))
-    lines = lines.withColumn("n", F.size("words"))
-    n = F.col("n")
-    half = lambda m: F.floor(m / 2).cast("int")
-    keys = []
-    for m in (n, n - 1):
-        keys.append(F.xxhash64(F.lit("head"), m, F.slice("words", 1, half(m))))
-        keys.append(F.xxhash64(F.lit("tail"), m, F.slice("words", n - (m - half(m)) + 1, m - half(m))))
-    return lines.select(F.struct(F.coalesce("doc_id", F.lit(LAST)).alias("doc"), "no").alias("place"), "line",
-                        F.xxhash64("line").alias("h"), "words",
-                        F.when(n >= max(2, near_words - 1), F.array(*keys)).alias("keys"))
-
-
-def _variants(lines: DataFrame) -> DataFrame:
-    """(h, place, i, size, key) of each line's variants of ``size`` words; i: the deleted word's number, 0 for the whole line.
-
-    A variant's key is the XOR of the hashes of (word, its number in the variant), from running XORs over the words.
+    plain, n, most, fewer = (private(x) for x in ("plain", "n", "most", "fewer"))
+    line = F.col("line")
+    spaced = line.contains("  ") | line.startswith(" ") | line.endswith(" ")
+    for c in "\t\x0b\x0c\r":
+        spaced = spaced | line.contains(c)
+    lines = lines.withColumn(plain, F.when(spaced, F.array_join(word_list(F.col("line")), " ")).otherwise(F.col("line")))
+    lines = lines.withColumn(n, F.length(plain) - F.length(F.replace(F.col(plain), F.lit(" "), F.lit(""))) + 1)
+
+    def count(words):
+        half = F.greatest(F.floor(words / 2), F.lit(1)).cast("double")
+        return F.floor(F.pow(F.lit(1.25), F.floor(F.log(half) / F.log(F.lit(1.25)) + 1e-9)) + 1e-9).cast("int")
+
+    lines = lines.withColumn(most, count(F.col(n))).withColumn(fewer, count(F.col(n) - 1))
+    cut = lambda q: F.call_function("substring_index", F.col(plain), F.lit(" "), q)
+    keys = [F.xxhash64(F.lit(side), F.col(q), cut(F.col(q) * sign)) for q in (most, fewer) for side, sign in (("first", 1), ("last", -1))]
+    return lines.withColumn("ends", F.when(F.col(n) >= max(2, near_words - 1), F.array_distinct(F.array(*keys)))).drop(plain, n, most, fewer)
+
+
+def _rests(words: Column, size: Column) -> Column:
+    """(size, low, high, key) for each segment of a line of ``size`` words, after an edit or before: the hash of the words around it.
+
+    ``low`` and ``high`` are the numbers of the words that may go to leave ``size - 1`` (n = size) or ``size`` words (n = size + 1).
+    There are 8 segments, or the root of the number of words if that is more, so that the work on a long line stays small.
     """
-    words = lines.select("h", "place", F.size("words").alias("n"), F.posexplode("words").alias("i", "word"))
-    words = words.select("h", "place", "n", (F.col("i") + 1).alias("i"), F.xxhash64("word", F.col("i") + 1).alias("here"),
-                         F.xxhash64("word", "i").alias("moved"))
-    line = W.partitionBy("h")
-    upto = line.orderBy("i").rowsBetween(W.unboundedPreceding, 0)
-    key = (F.bit_xor("here").over(upto).bitwiseXOR(F.col("here")).bitwiseXOR(F.bit_xor("moved").over(line))
-           .bitwiseXOR(F.bit_xor("moved").over(upto)))
-    gaps = words.select("h", "place", "i", (F.col("n") - 1).alias("size"), key.alias("key"))
-    whole = words.groupBy("h").agg(F.first("place").alias("place"), F.first("n").alias("size"), F.bit_xor("here").alias("key"))
-    return gaps.unionByName(whole.select("h", "place", F.lit(0).alias("i"), "size", "key"))
+    n = F.size(words)
+
+    def cut(parts):
+        edge = lambda j: F.floor(size * j / parts).cast("int")
+        return F.transform(F.sequence(F.lit(0), parts - 1), lambda j: F.struct(
+            size.alias("size"), (edge(j) + 1).alias("low"), (edge(j + 1) + (n - size)).alias("high"),
+            F.xxhash64(size, j, F.slice(words, F.lit(1), edge(j)), F.slice(words, edge(j + 1) + (n - size) + 1, size - edge(j + 1))).alias("key")))
+
+    return F.transform(F.array(F.greatest(F.lit(8), F.floor(F.sqrt(size))).cast("int")), cut)[0]
+
+
+def _shared(keys: DataFrame) -> DataFrame:
+    """The rows of ``keys`` whose key another line has too (a line has a key once)."""
+    several = keys.groupBy("key").agg(F.count("*").alias("lines")).where("lines > 1").select("key")
+    return keys.join(several, "key", "left_semi")
 
 
 def _without(words, i):
@@ -73,34 +89,41 @@ def _without(words, i):
 
 
 def near_lines(docs: DataFrame, first: DataFrame, near_words: int) -> DataFrame:
-    """Hashes of the distinct lines that are within an edit of an earlier one; first: (h, place, keys) of each distinct line."""
-    spread = first.where("keys is not null").select("h", F.explode("keys").alias("key"))
-    shared = spread.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    chosen = spread.join(shared, "key", "left_semi").select("h").distinct()
-    chosen = materialize(first.select("h", "place").join(chosen, "h", "left_semi"), "chosen")
-    texts = _lines(docs, near_words).where("keys is not null").select("h", "place", "words")
-    chosen = materialize(texts.join(chosen, ["h", "place"], "left_semi").dropDuplicates(["h"]), "candidates")
-    variants = materialize(_variants(chosen), "variants")
-    # equal keys with an equal gap: a changed word; with gap 0 on one side: a word more or less
+    """Hashes of the distinct lines that are within an edit of an earlier one; first: (h, place, ends) of each distinct line."""
+    alike = _shared(first.where("ends is not null").select("h", F.explode("ends").alias("key"))).select("h").distinct()
+    chosen = materialize(first.select("h", "place").join(alike, "h", "left_semi"), "chosen")
+    # hash tables of the few chosen lines; the many lines need not be sorted
+    lines = _lines(docs).join(chosen.hint("shuffle_hash"), ["h", "place"], "left_semi").dropDuplicates(["h"])
+    lines = materialize(lines.select("h", "place", word_list(F.col("line")).alias("words")), "candidates")
+    n = F.size("words")
+    rests = lines.select("h", F.explode(F.concat(_rests(F.col("words"), n), _rests(F.col("words"), n - 1))).alias("x")).select("h", "x.*")
+    rests = materialize(_shared(rests).select("h", "size", "low", "high"), "rests")
+
+    spots = rests.join(lines, "h")
+    gaps = spots.withColumn("i", F.explode(F.sequence("low", "high"))).where(F.col("low") <= F.col("high"))
+    gaps = gaps.select("h", "place", "i", n.alias("n"), "size", F.xxhash64(n - 1, _without(F.col("words"), F.col("i"))).alias("key"))
+    gaps = materialize(gaps.distinct(), "gaps")
     mate = F.struct("place", "h", "i").alias("mate")
-    gaps, whole = variants.where("i > 0"), variants.where("i = 0")
-    best = gaps.groupBy("key", "size", "i").agg(F.min(mate).alias("mate"))
-    longest = gaps.groupBy("key", "size").agg(F.min(mate).alias("mate"))
-    found = [gaps.join(best, ["key", "size", "i"]), gaps.join(whole.select("key", "size", mate), ["key", "size"]),
-             whole.join(longest, ["key", "size"])]
-    found = [x.where("mate.place < place").select("h", "i", F.col("mate.h").alias("h2"), F.col("mate.i").alias("i2")) for x in found]
+    # a changed word: both lines lack the word of the same number
+    same = gaps.where("n = size").withColumn("key", F.xxhash64("key", "i")).select("h", "place", "i", "key")
+    changed = same.join(same.groupBy("key").agg(F.min(mate).alias("mate")), "key")
+    # a word more: the longer line without it is the shorter one, each distinct line once
+    longer = gaps.where("n > size").select("h", "place", "i", "key")
+    shorter = spots.where(n == F.col("size")).select("h", "place", F.lit(0).alias("i"), F.xxhash64(n, "words").alias("key")).distinct()
+    under = longer.join(shorter.select("key", mate), "key")
+    over = shorter.join(longer.groupBy("key").agg(F.min(mate).alias("mate")), "key")
+    found = [x.where("mate.place < place").select("h", "i", F.col("mate.h").alias("h2"), F.col("mate.i").alias("i2")) for x in (changed, under, over)]
     pairs = found[0].unionByName(found[1]).unionByName(found[2]).distinct()
-    mine = chosen.select("h", F.col("words").alias("a"))
-    theirs = chosen.select(F.col("h").alias("h2"), F.col("words").alias("b"))
-    pairs = pairs.join(mine, "h").join(theirs, "h2")  # the edit is verified on the words themselves
+    pairs = pairs.join(lines.select("h", F.col("words").alias("a")), "h").join(lines.select(F.col("h").alias("h2"), F.col("words").alias("b")), "h2")
+    # the edit is verified on the words themselves
     near = (F.greatest(F.size("a"), F.size("b")) >= near_words) & (_without(F.col("a"), F.col("i")) == _without(F.col("b"), F.col("i2")))
     return pairs.where(near).select("h").distinct()
 
 
 def dropped_lines(docs: DataFrame, near_words: int = 8) -> DataFrame:
     """The places of the lines that equal an earlier line or are within an edit of one."""
-    lines = _lines(docs, near_words)
-    first = materialize(lines.groupBy("h").agg(F.min("place").alias("place"), F.first("keys").alias("keys")), "first-lines")
+    lines = materialize(with_ends(_lines(docs), near_words).select("place", "h", "ends"), "lines")
+    first = materialize(lines.groupBy("h").agg(F.min("place").alias("place"), F.first("ends").alias("ends")), "first-lines")
     near = near_lines(docs, first, near_words).withColumn("near", F.lit(True))
     known = first.select("h", F.col("place").alias("first")).join(near, "h", "left")
     return lines.select("place", "h").join(known, "h").where("near or place > first").select("place")
@@ -110,22 +133,23 @@ def dedup_lines(docs: DataFrame, near_words: int = 8, length: str | None = "n_ch
     """``docs`` with the repeated lines taken out of ``text``; ``length``: a column to set to the new length, if there."""
     gone = (dropped_lines(docs, near_words).groupBy(F.col("place.doc").alias("doc"))
             .agg(F.sort_array(F.collect_set("place.no")).alias("gone")))  # at most the lines of one document
-    row, doc, new = private("row"), private("doc"), private("text")
+    row, doc, gap, parts, new = (private(x) for x in ("row", "doc", "gap", "parts", "new"))
     packed = docs.select(F.struct("*").alias(row), F.coalesce("doc_id", F.lit(LAST)).alias(doc))
-    joined = packed.join(gone.select(F.col("doc").alias(doc), F.col("gone").alias(new)), doc, "left")
-    lines = F.split(f"{row}.text", "\n", -1)
-    # the kept runs between two dropped lines, so that the work is linear in the lines
-    edges = F.concat(F.array(F.lit(-1)), F.col(new), F.array(F.size(lines)))
-    runs = F.zip_with(F.slice(edges, 1, F.size(edges) - 1), F.slice(edges, 2, F.size(edges)),
-                      lambda a, b: F.slice(lines, a + 2, b - a - 1))
-    text = F.when(F.col(new).isNull(), F.col(f"{row}.text")).otherwise(F.array_join(F.flatten(runs), "\n"))
+    gone = gone.select(F.col("doc").alias(doc), F.col("gone").alias(gap)).hint("shuffle_hash")  # numbers of lines only
+    joined = packed.join(gone, doc, "left")
+    # each step a column of its own, so that it is computed once: the lines, then the kept runs between two dropped ones
+    joined = joined.withColumn(parts, F.when(F.col(gap).isNotNull(), F.split(f"{row}.text", "\n", -1)))
+    edges = F.concat(F.array(F.lit(-1)), F.col(gap), F.array(F.size(parts)))
+    runs = F.transform(F.array(edges), lambda e: F.zip_with(F.slice(e, 1, F.size(e) - 1), F.slice(e, 2, F.size(e)),
+                                                            lambda a, b: F.slice(F.col(parts), a + 2, b - a - 1)))[0]
+    joined = joined.withColumn(new, F.when(F.col(gap).isNotNull(), F.array_join(F.flatten(runs), "\n")))
     fields = []
     for f in docs.schema.fields:
         value = F.col(f"{row}.`{f.name}`")
         if f.name == "text":
-            value = text
+            value = F.coalesce(new, value)
         elif f.name == length and f.dataType in (T.LongType(), T.IntegerType()):
-            value = F.when(F.col(new).isNull(), value).otherwise(F.length(text).cast(f.dataType))
+            value = F.when(F.col(new).isNull(), value).otherwise(F.length(new).cast(f.dataType))
         fields.append(value.alias(f.name))
     return joined.select(*fields)
 
