@@ -1,0 +1,84 @@
+"""Parsing, sum-product against enumeration, accuracy on pages of fresh templates and on the given pages; odd rows."""
+
+import html
+import itertools
+import math
+import re
+
+import numpy as np
+import pytest
+
+from siltbed.llm import html_extract as H
+
+
+@pytest.fixture(scope="module")
+def model():
+    return H.fit(H.template_pages(300))
+
+
+def blocks(source):
+    p = H.Page(source)
+    return [p.text[i] for i in range(len(p.tag)) if p.tag[i] == "#"]
+
+
+def test_blocks():
+    assert blocks("<p>a<p>b <b>c</b>&amp;d<br>e</p>f<ul><li>x<li>y</ul><!-- no --><script>var t='</p>';</script><style>p{}</style>") == ["a", "b c&d e", "f", "x", "y"]
+    assert blocks("<table><tr><td>1<td>2<tr><td>3</table>tail") == ["1", "2", "3", "tail"]
+    assert blocks("a &lt;b&gt; &#233; &nbsp; c<div>d</div> e") == ["a <b> é c", "d", "e"]
+    assert blocks("x < y and <unclosed") == ["x < y and <unclosed"] and blocks("<p") == ["<p"] and blocks("") == []
+    assert blocks("<title>t</title><p>x</p><script>never closed") == ["x"]
+    assert blocks("<div>" * 3000 + "deep") == ["deep"]
+
+
+def test_sum_product_matches_enumeration(model):
+    page = H.Page('<div class="content"><h1>Title</h1><p>Some text here.</p></div><div class="ad">Buy.</div>')
+    u, _, leaf = model.potentials(page)
+    n = len(leaf)
+    total, node, edge = 0.0, np.zeros((n, 3)), np.zeros((n, 3, 3))
+    for s in itertools.product(range(3), repeat=n):
+        w = math.exp(sum(u[i, s[i]] for i in range(n)) + sum(model.pair[leaf[i], s[page.parent[i]], s[i]] for i in range(1, n)))
+        total += w
+        for i in range(n):
+            node[i, s[i]] += w
+            if i:
+                edge[i, s[page.parent[i]], s[i]] += w
+    got, pairs, log_z, *_ = model.marginals(page)
+    assert np.allclose(np.array(got), node / total) and abs(log_z - math.log(total)) < 1e-9
+    assert all(np.allclose(np.array(pairs[i]), edge[i] / total) for i in range(1, n))
+
+
+def test_fresh_templates(model):
+    right = 0
+    pages = H.template_pages(200, seed=99)
+    for source, wanted in pages:
+        right += model.text(source) == "\n".join(w for w in wanted if w)
+    assert right >= 0.97 * len(pages)
+
+
+def test_names_alone_tell_the_article(model):
+    page = ('<div id=page><div class=menu><a href=/>Home</a> <a href=/b>About us</a></div><div class="cookie-banner"><p>We use cookies. Accept all of them now.</p></div>'
+            '<div class="post-content"><h1>Title here</h1><p>First para with &amp; and <a href=x>link</a>.</p><div class="advertisement">Buy this thing now.</div><p>On.</p>'
+            '<ul><li>One<li>Two</ul></div><div id="comments"><h3>Comments</h3><p>I really liked this article. Thanks for writing it.</p></div>'
+            '<div class=sidebar><p>Related stories are here for you to read.</p></div><form><p>Sign up here.</p><button>Go</button></form><div class="site-footer">&copy; 2020 All rights reserved.</div></div>')
+    assert model.text(page) == "Title here\nFirst para with & and link.\nOn.\nOne\nTwo"
+
+
+def test_given_pages(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    got = {r.page_id: r for r in H.extract(pages, H.train(pages)).collect()}
+    for p in pages.collect():
+        article = re.search(r"<article>(.*?)(?:</article>|$)", p.html, re.S)[1]
+        parts = [" ".join(html.unescape(re.sub(r"<[^>]*>", " ", x)).split()) for x in re.split(r"</?(?:p|h1)\b[^>]*>", article)]
+        assert got[p.page_id].text == "\n".join(x for x in parts if x) and got[p.page_id].n_chars == len(got[p.page_id].text)
+
+
+def test_odd_rows(spark, model):
+    rows = [(1, "u", "<p>Hello there, this is text.</p>"), (1, "u", "<p>Hello there, this is text.</p>"), (2, None, None), (3, "u", ""), (None, "u", "<nav>x</nav>"), (4, "u", "<article><p>" + "word " * 200_000 + "</p></article>"), (5, "u", "no tags")]
+    df = spark.createDataFrame([(*r, "extra") for r in rows], "page_id long, url string, html string, text string")
+    got = {}
+    for r in H.extract(df, model).collect():
+        got.setdefault(r.page_id, []).append(r)
+    assert len(got[1]) == 2 and got[1][0].text == got[1][1].text and got[2][0].text == "" and got[3][0].n_chars == 0
+    assert got[4][0].n_chars == 999_999 and None in got
+    assert H.extract(df.limit(0), model).collect() == []
+    assert H.train(df.limit(0), templates=5).text("<article><p>x</p></article>") is not None
