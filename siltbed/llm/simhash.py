@@ -110,7 +110,8 @@ def walk(homes: np.ndarray, visitors: np.ndarray, spent: np.ndarray, depth: int,
     which a visitor's path differs from the node's so far. A stack of blocks of node pairs bounds memory.
     """
     a = np.sort(homes)
-    order = np.lexsort((visitors, spent))
+    # visitors come from several nodes: they are sorted by the bits below the node alone
+    order = np.lexsort((visitors & np.uint64(2 ** (64 - depth) - 1), spent))
     b, cost = visitors[order], spent[order]
     n = len(a)
     values = np.concatenate([a, b])
@@ -142,7 +143,14 @@ def walk(homes: np.ndarray, visitors: np.ndarray, spent: np.ndarray, depth: int,
         one = one[near(one[:, 0], one[:, 2])]
         forest.link(one[:, 0], one[:, 2])
         pairs = pairs[~leaf]
-        if not len(pairs) or d >= 64:
+        if not len(pairs):
+            continue
+        if d >= 64:  # a home, and visitors that differ in their paths only
+            many = pairs[:, 3] - pairs[:, 2]
+            i = np.repeat(pairs[:, 0], many)
+            j = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(pairs[:, 2], many)
+            close = near(i, j)
+            forest.link(i[close], j[close])
             continue
         if d not in zeros:
             zeros[d] = np.concatenate([[0], np.cumsum((values >> np.uint64(63 - d)) & np.uint64(1) == 0)])
