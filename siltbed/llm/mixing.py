@@ -52,7 +52,10 @@ def target_shares(cells: DataFrame, margin: str, wanted: dict | float) -> DataFr
 
 
 def rake(cells: DataFrame, targets: dict, budget: float, rounds: int = ROUNDS) -> DataFrame:
-    """Cells with ``p``: fitted tokens over tokens, after ``rounds`` rounds over the margins."""
+    """Cells with ``p``: fitted tokens over tokens, after ``rounds`` rounds over the margins.
+
+    The small joins are merge joins: so many broadcasts would pile up in the driver's memory.
+    """
     size = float(cells.agg(F.sum("tokens")).first()[0] or 0)  # one number
     fitted = cells.withColumn("fit", F.col("tokens").cast("double"))
     wanted = {m: materialize(target_shares(cells, m, targets[m]).select(
@@ -60,8 +63,8 @@ def rake(cells: DataFrame, targets: dict, budget: float, rounds: int = ROUNDS) -
     for _ in range(rounds):
         for m in MARGINS:
             now = fitted.groupBy(m).agg(F.sum("fit").alias("now")).select(F.col(m).alias(f"{m}_"), "now")
-            scale = now.join(wanted[m], now[f"{m}_"].eqNullSafe(wanted[m][f"{m}_"])).select(now[f"{m}_"], (F.col("goal") / F.nullif("now", F.lit(0.0))).alias("scale"))
-            fitted = (fitted.join(scale, F.col(m).eqNullSafe(F.col(f"{m}_")), "left").drop(f"{m}_")
+            scale = now.hint("merge").join(wanted[m], now[f"{m}_"].eqNullSafe(wanted[m][f"{m}_"])).select(now[f"{m}_"], (F.col("goal") / F.nullif("now", F.lit(0.0))).alias("scale"))
+            fitted = (fitted.join(scale.hint("merge"), F.col(m).eqNullSafe(F.col(f"{m}_")), "left").drop(f"{m}_")
                       .withColumn("fit", F.least(F.col("tokens").cast("double"), F.col("fit") * F.coalesce("scale", F.lit(0.0)))).drop("scale"))
         fitted = materialize(fitted, "raked")
     return fitted.withColumn("p", F.when(F.col("tokens") == 0, 1.0).otherwise(F.col("fit") / F.col("tokens")))
