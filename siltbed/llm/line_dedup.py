@@ -10,12 +10,12 @@ Variants that can have no partner are not emitted. An edit changes one place onl
 their last words, nearly half of them: lines that share neither with another line are out (:func:`with_ends`). Cut into segments,
 they share all but one segment: a word is deleted only in a segment whose rest another line has too (:func:`_rests`).
 
-"Earlier" is by (doc_id, line number). Short lines (under ``near_words`` words) go only if equal to an earlier one.
+"Earlier" is by (doc_id, hash of the text, line number). Short lines (under ``near_words`` words) go only if equal to an earlier one.
 Whether the earlier line itself goes doesn't matter, so the result depends on no order of work.
 
-Defined cases: a null text stays null and an empty one empty; lines without a word always stay; rows that repeat a doc_id are one
-document (their lines of equal number are ties, which both stay); a null doc_id comes after all others; an empty table
-gives no rows; extra columns are kept, whatever their names.
+Defined cases: a null text stays null and an empty one empty; lines without a word always stay; rows that share a doc_id, or
+have none, are documents of their own if their texts differ, in the order of the texts' hashes (rows equal in both are ties, whose lines
+of equal number both stay); a null doc_id comes after all others; an empty table gives no rows; extra columns are kept, whatever their names.
 """
 
 from __future__ import annotations
@@ -30,10 +30,10 @@ LAST = 2**63 - 1
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """One row per line with a word: place (doc_id, line number), the line and its hash h."""
-    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("no", "line"))
+    """One row per line with a word: place (doc_id, hash of the text, line number), the line and its hash h."""
+    lines = docs.select("doc_id", F.xxhash64("text").alias("whole"), F.posexplode(F.split("text", "\n", -1)).alias("no", "line"))
     lines = lines.where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
-    return lines.select(F.struct(F.coalesce("doc_id", F.lit(LAST)).alias("doc"), "no").alias("place"), "line", F.xxhash64("line").alias("h"))
+    return lines.select(F.struct(F.coalesce("doc_id", F.lit(LAST)).alias("doc"), "whole", "no").alias("place"), "line", F.xxhash64("line").alias("h"))
 
 
 def with_ends(lines: DataFrame, near_words: int) -> DataFrame:
@@ -131,12 +131,12 @@ def dropped_lines(docs: DataFrame, near_words: int = 8) -> DataFrame:
 
 def dedup_lines(docs: DataFrame, near_words: int = 8, length: str | None = "n_chars") -> DataFrame:
     """``docs`` with the repeated lines taken out of ``text``; ``length``: a column to set to the new length, if there."""
-    gone = (dropped_lines(docs, near_words).groupBy(F.col("place.doc").alias("doc"))
-            .agg(F.sort_array(F.collect_set("place.no")).alias("gone")))  # at most the lines of one document
-    row, doc, gap, parts, new = (private(x) for x in ("row", "doc", "gap", "parts", "new"))
-    packed = docs.select(F.struct("*").alias(row), F.coalesce("doc_id", F.lit(LAST)).alias(doc))
-    gone = gone.select(F.col("doc").alias(doc), F.col("gone").alias(gap)).hint("shuffle_hash")  # numbers of lines only
-    joined = packed.join(gone, doc, "left")
+    gone = (dropped_lines(docs, near_words).groupBy(F.col("place.doc").alias("doc"), F.col("place.whole").alias("whole"))
+            .agg(F.sort_array(F.collect_set("place.no")).alias("gone")))  # at most the lines of one text
+    row, doc, whole, gap, parts, new = (private(x) for x in ("row", "doc", "whole", "gap", "parts", "new"))
+    packed = docs.select(F.struct("*").alias(row), F.coalesce("doc_id", F.lit(LAST)).alias(doc), F.xxhash64("text").alias(whole))
+    gone = gone.select(F.col("doc").alias(doc), F.col("whole").alias(whole), F.col("gone").alias(gap)).hint("shuffle_hash")  # numbers of lines only
+    joined = packed.join(gone, [doc, whole], "left")
     # each step a column of its own, so that it is computed once: the lines, then the kept runs between two dropped ones
     joined = joined.withColumn(parts, F.when(F.col(gap).isNotNull(), F.split(f"{row}.text", "\n", -1)))
     edges = F.concat(F.array(F.lit(-1)), F.col(gap), F.array(F.size(parts)))

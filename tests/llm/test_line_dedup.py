@@ -104,3 +104,17 @@ def test_ends_and_rests_hold_for_every_pair(spark):
         F.transform(F.concat(L._rests(F.col(c), F.size(c)), L._rests(F.col(c), F.size(c) - 1)), lambda x: x["key"]).alias(f"r{c}") for c in "ab"))
     for x in both.select("k", "ends", F.arrays_overlap("ra", "rb").alias("rests")).collect():
         assert x.ends and x.rests, x
+
+
+def test_rows_of_one_id_or_none_with_different_texts(make):
+    """A line goes from the row that repeats it, and from no other row of the same id."""
+    rows = [(1, "first"), (9, "first"), (9, "second text"), (None, "first\nalpha"), (None, "beta one\nomega"), (None, "gamma"),
+            (7, "left\nshared here"), (7, "right\nshared here"), (None, "up\nboth have it"), (None, "down\nboth have it")]
+    got = {}
+    for x in L.dedup_lines(make([(i, t, "en", "s") for i, t in rows])).collect():
+        assert x.n_chars == len(x.text)
+        got.setdefault(x.doc_id, []).append(x.text)
+    assert got[1] == ["first"] and sorted(got[9]) == ["", "second text"]
+    assert sorted(got[7]) in (["left", "right\nshared here"], ["left\nshared here", "right"])
+    assert {"alpha", "beta one\nomega", "gamma"} <= set(got[None])
+    assert sorted(x for x in got[None] if x.startswith(("up", "down"))) in (["down", "up\nboth have it"], ["down\nboth have it", "up"])
