@@ -6,7 +6,7 @@ up and down the tree give each leaf's marginal, and the leaves that are likelier
 weights are trained by maximum likelihood on labelled pages: made by templates of many layouts, and a bounded
 sample of the input's own pages that mark their article, labelled by that mark.
 
-Defined cases: null or empty html gives an empty text; a page without blocks too; pages are judged one by one, so repeated
+Defined cases: null or empty html gives an empty text; a page without blocks too; a tag that never closes is text; pages are judged one by one, so repeated
 rows get equal texts; null ids and urls stay null; an empty table gives no rows; extra columns are ignored.
 """
 
@@ -16,6 +16,7 @@ import html
 import math
 import random
 import re
+from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,9 @@ CLOSERS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "t
 BARRIERS = {"li": {"ul", "ol", "menu", "dir"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}, "tbody": {"table"}, "tfoot": {"table"}, "option": {"select"}}
 KEEPS_P = set("a b i em strong span u s small sub sup code font br img label input mark abbr cite q time".split())
 
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']+|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
+#: Tags and comments; possessive, so that each try is linear. The last kind is the beginning of one without an end.
+TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[!?][^>]*+>|<(?=/?[A-Za-z]|[!?])", re.S)
+OPENING = re.compile(r"<(?:/?[A-Za-z]|[!?])")
 ATTR = re.compile(r"""(class|id|role|style|hidden|aria-label|itemprop)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 SHOWN = re.compile(r"(?<![\w-])(?:class|id|role|style|hidden|aria-label|itemprop)(?![\w-])", re.I)
 
@@ -58,6 +61,70 @@ TAG_GROUPS = {"nav": "nav", "menu": "nav", "header": "head", "footer": "foot", "
 CONTENT, BOILER, MIXED = 0, 1, 2
 
 
+class Tags:
+    """The tags of a page in order. One that never closes, or has a quote that doesn't, is text.
+
+    Such tags are rare; after the first one of a page the marks that end no tag (``dead``) are remembered, as every later
+    try that comes to one of them fails too, so that the whole page takes time in proportion to its length.
+    """
+
+    def __init__(self, source: str):
+        self.source, self.marks, self.dead, self.name_end, self.lost = source, None, set(), -1, -1
+
+    def after(self, at: int) -> tuple[int, int, str, str, str] | None:
+        """Start, end, slash, name (none for comments) and attributes of the first tag from ``at`` on."""
+        while self.marks is None:
+            m = TAG.search(self.source, at)
+            if not m:
+                return None
+            if m.end() > m.start() + 1:
+                return m.start(), m.end(), m[1] or "", m[2] or "", m[3] or ""
+            at = m.start()
+            self.marks = [x.start() for x in re.finditer("[>\"']", self.source)]
+            self.last = self.source.rfind(">")
+        for m in OPENING.finditer(self.source, at):
+            if found := self._tag(m.start()):
+                return found
+        return None
+
+    def _tag(self, start: int) -> tuple[int, int, str, str, str] | None:
+        source = self.source
+        if source.startswith("<!--", start):
+            end = source.find("-->", start + 4)
+            return start, end + 3 if end >= 0 else len(source), "", "", ""
+        if start > self.last:
+            return None
+        if source[start + 1] in "!?":
+            return start, source.find(">", start) + 1, "", "", ""
+        first = start + 1 + (source[start + 1] == "/")
+        if first < self.lost:  # inside a name from which no tag closes
+            return None
+        if first >= self.name_end:
+            m = re.compile(r"[\s/>]").search(source, first)
+            self.name_end = m.start() if m else len(source)
+        quotes = self.marks[bisect_left(self.marks, first):bisect_left(self.marks, self.name_end)]
+        for cut in (self.name_end, *reversed(quotes)):  # a quote belongs to the name, or else begins the attributes
+            end = self._closing(cut)
+            if end >= 0:
+                return start, end + 1, source[start + 1:first], source[first:cut], source[cut:end]
+        self.lost = self.name_end
+        return None
+
+    def _closing(self, at: int) -> int:
+        """Where the tag closes whose attributes begin at ``at``; -1: nowhere."""
+        path, i = [], bisect_left(self.marks, at)
+        while i < len(self.marks) and (p := self.marks[i]) not in self.dead:
+            if self.source[p] == ">":
+                return p
+            path.append(p)
+            partner = self.source.find(self.source[p], p + 1)
+            if partner < 0:
+                break
+            i = bisect_left(self.marks, partner + 1)
+        self.dead.update(path)
+        return -1
+
+
 class Page:
     """Nodes in page order: ``parent`` (-1: root), ``tag`` ("#" for a text block), ``groups`` of own names, ``text`` of a block, ``linked`` characters."""
 
@@ -91,20 +158,20 @@ class Page:
                     if names.pop() == name:
                         return
 
-        at, size = 0, len(source)
+        at, size, tags = 0, len(source), Tags(source)
         while at < size:
-            m = TAG.search(source, at)
-            piece = source[at:m.start()] if m else source[at:]
+            m = tags.after(at)
+            piece = source[at:m[0]] if m else source[at:]
             if piece:
                 words.append(piece)
                 linked += len(piece) if links else 0
             if not m:
                 break
-            at = m.end()
-            name = (m[2] or "").lower()
+            _, at, slash, name, attributes = m
+            name = name.lower()
             if not name:
                 continue
-            if m[1]:
+            if slash:
                 if name == "a":
                     links = max(0, links - 1)
                 elif name in BLOCKS:
@@ -112,7 +179,7 @@ class Page:
                 continue
             if name in UNSEEN:
                 end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(source, at)
-                if name != "head" and not m[3].rstrip().endswith("/"):
+                if name != "head" and not attributes.rstrip().endswith("/"):
                     at = end.end() if end else size
                 elif name == "head" and end:
                     at = end.end()
@@ -135,7 +202,7 @@ class Page:
                     break
             if name in VOID or name in ("html", "body"):
                 continue
-            stack.append(self._add(stack[-1], name, self._named(name, m[3])))
+            stack.append(self._add(stack[-1], name, self._named(name, attributes)))
             names.append(name)
         close_block()
 

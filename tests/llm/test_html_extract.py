@@ -82,3 +82,33 @@ def test_odd_rows(spark, model):
     assert got[4][0].n_chars == 999_999 and None in got
     assert H.extract(df.limit(0), model).collect() == []
     assert H.train(df.limit(0), templates=5).text("<article><p>x</p></article>") is not None
+
+
+def test_tags_that_never_close_are_text_in_linear_time():
+    """Before, the first page alone would have taken hours, as its time doubled with every letter."""
+    import time
+
+    began = time.time()
+    assert blocks("<p>cut</p><a class=x " + "y" * 60) == ["cut", "<a class=x " + "y" * 60]
+    assert blocks("<p>a <b and it's " + "y" * 60 + "</p><p>next</p>") == ["a <b and it's " + "y" * 60, "next"]
+    for bit in ("<a ", "<a", "<a '", "<a'", "<a \"'", "<!", "<p title='x' ", "it's <b "):
+        n = 200_000 // len(bit)
+        for end in ("", " '", "\"", " ' >", ">"):
+            H.Page(bit * n + end)
+    assert time.time() - began < 20
+
+
+def test_tags_match_plain_backtracking():
+    """On short pages the tags are those of the plain expression."""
+    import random
+
+    plain = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
+    r = random.Random(4)
+    for _ in range(20_000):
+        page = "".join(r.choice(["<", "<a", "</p", ">", "'", '"', " ", "x", "/", "<!", "<!--", "-->", "="]) for _ in range(r.randint(1, 14)))
+        want = [(m.start(), m.end(), m[1] or "", m[2] or "", m[3] or "") for m in plain.finditer(page)]
+        tags, got, at = H.Tags(page), [], 0
+        while x := tags.after(at):
+            got.append(x)
+            at = x[1]
+        assert got == want, page
