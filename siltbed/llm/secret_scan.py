@@ -3,12 +3,15 @@
 Besides the fixed rules for keys and passwords, every long token of one of the usual alphabets is tested for
 randomness: chi-squared uniformity over its alphabet, a runs test about the alphabet's middle and a serial correlation of
 neighbours. The three p-values are combined by their Cauchy mean, so that a token which any test rejects scores low.
+The alphabet is the smallest that holds the token, whatever its case: hex, single-case letters, base32, base36, else base64.
 What score a secret needs is a matter of false discoveries: in each class of length and alphabet the scores of ordinary tokens
 (letters of one case pattern, as words have) are the null distribution, and the Benjamini-Hochberg rule over all
-candidates of the class sets its threshold. Short classes, whose tests have little power, thereby need more.
+candidates of the class sets its threshold. Short classes, whose tests have little power, thereby need more. Letters of
+one case are candidates among letters, where words with a capital or joined by signs are the null, and part of the null of the
+larger alphabets. Ordinary tokens are taken too, from the score on where they are few among all that are taken.
 
 Texts are read once, in Arrow batches, into candidates with their scores; the histogram of scores (at most
-7 x 3 x 2 x 65 rows, whatever the input) gives the thresholds, and the accepted spans are chosen in SQL.
+7 x 5 x 2 x 65 rows, whatever the input) gives the thresholds, and the accepted spans are chosen in SQL.
 
 Defined cases: a null text is an empty one; empty texts have no spans; repeated rows get equal results; a null doc_id stays null; an
 empty table gives no rows and thresholds that accept nothing; extra columns are ignored.
@@ -35,12 +38,18 @@ TOKEN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
 WORDLIKE = re.compile(r"(?:[A-Z]?[a-z]+|[A-Z]+)(?:[-_/](?:[A-Z]?[a-z]+|[A-Z]+))*")
 
 ALPHABETS = {"hex": "0123456789abcdef", "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
-             "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"}
+             "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
+             "letters": "abcdefghijklmnopqrstuvwxyz", "base36": "abcdefghijklmnopqrstuvwxyz0123456789"}
 ENCODINGS = list(ALPHABETS)
+SINGLE_CASE = ["letters", "base32", "base36"]  # by size; letters come first in each
 LENGTHS = [16, 20, 24, 32, 40, 48, 64]
 SCORES = 64
 _CODES = {k: {c: i for i, c in enumerate(v)} for k, v in ALPHABETS.items()}
+for _name in ("hex", *SINGLE_CASE):
+    _CODES[_name] = {x: i for c, i in _CODES[_name].items() for x in (c.lower(), c.upper())}
 _CODES["base64"] |= {"-": 62, "_": 63}
+#: Logarithms of the shares of a to z in English text, in thousandths.
+COMMON = np.log([82, 15, 28, 43, 127, 22, 20, 61, 70, 1.5, 7.7, 40, 24, 67, 75, 19, 1, 60, 63, 91, 28, 9.8, 24, 1.5, 20, 0.7])
 
 
 def encoding(token: str) -> str | None:
@@ -48,7 +57,8 @@ def encoding(token: str) -> str | None:
     body = token.rstrip("=")
     if body.isdigit():
         return None
-    for name in ENCODINGS:
+    one_case = body in (body.lower(), body.upper())
+    for name in ["hex", *(SINGLE_CASE if one_case else []), "base64"]:
         if all(c in _CODES[name] for c in body):
             return name
     return None
@@ -80,6 +90,16 @@ def battery(token: str, name: str) -> list[float]:
         kinds = np.bincount((code >= 26).astype(int) + (code >= 52), minlength=3)
         share = np.array([26, 26, 12]) / 64
         out[0] = min(1.0, 2 * min(out[0], _chi2_tail(float(((kinds - n * share) ** 2 / (n * share)).sum()), 2)))
+    if name in SINGLE_CASE:  # the share of digits, and whether the letters are those that words have
+        letters = code[code < 26]
+        more = []
+        if size > 26:
+            share = np.array([26, size - 26]) / size
+            more.append(_chi2_tail(float(((np.array([len(letters), n - len(letters)]) - n * share) ** 2 / (n * share)).sum()), 1))
+        if len(letters):
+            z = float((COMMON[letters] - COMMON.mean()).sum() / (COMMON.std() * math.sqrt(len(letters))))
+            more.append(0.5 * math.erfc(z / math.sqrt(2)))
+        out[0] = min(1.0, (1 + len(more)) * min(out[0], *more))
     high = code >= size / 2
     ups = int(high.sum())
     downs = n - ups
@@ -112,7 +132,10 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int, int, bool]]:
-    """(start, end, encoding number, length class, score 0..64, ordinary) of the long tokens beside the base spans."""
+    """(start, end, encoding number, length class, score 0..64, ordinary) of the long tokens beside the base spans.
+
+    Words are scored in each alphabet whose null distribution they belong to.
+    """
     out = []
     for m in TOKEN.finditer(text):
         token = m.group()
@@ -120,9 +143,16 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
         if name is None or any(a < m.end() and m.start() < b for a, _, b in base):
             continue
         ordinary = bool(WORDLIKE.fullmatch(token))
-        size = sum(len(token) >= x for x in LENGTHS) - 1
-        score = math.ceil(SCORES * combined(battery(token, name)))
-        out.append((m.start(), m.end(), ENCODINGS.index(name), size, score, ordinary))
+        if name == "letters":
+            tries = [(name, token, False), *((x, token, True) for x in ("base32", "base36", "base64") if ordinary)]
+        else:
+            tries = [(name, token, ordinary)]
+            if ordinary and name == "base64":
+                tries.append(("letters", re.sub("[-_/]", "", token), True))
+        for enc, body, null in tries:
+            size = sum(len(body) >= x for x in LENGTHS) - 1
+            if size >= 0:
+                out.append((m.start(), m.end(), ENCODINGS.index(enc), size, math.ceil(SCORES * combined(battery(body, enc))), null))
     return out
 
 
@@ -143,12 +173,13 @@ def _scan(batches):
 
 
 def thresholds(histogram: list[tuple[int, int, int, bool, int]], rate: float) -> list[list[int]]:
-    """The least score that is accepted, by encoding and length class (SCORES + 1: none).
+    """The least score that is accepted, by encoding and length class (SCORES + 1: none); after these, the same of ordinary tokens.
 
     ``histogram``: (encoding, class, score, ordinary, count). A candidate's p-value is the share of the class's ordinary
     tokens that score as much; where a class has few of them, its encoding's shorter classes lend theirs.
+    Ordinary tokens are accepted where they are no more than ``rate`` of all that are accepted, all of them counted as false.
     """
-    out = [[SCORES + 1] * len(LENGTHS) for _ in ENCODINGS]
+    out = [[SCORES + 1] * len(LENGTHS) for _ in range(2 * len(ENCODINGS))]
     for e in range(len(ENCODINGS)):
         null = np.zeros(SCORES + 1)
         for c in range(len(LENGTHS)):
@@ -165,6 +196,9 @@ def thresholds(histogram: list[tuple[int, int, int, bool, int]], rate: float) ->
             fine = np.flatnonzero((p * tried.sum() <= rate * accepted) & (accepted > 0) & (np.arange(SCORES + 1) >= 4))
             if len(fine):
                 out[e][c] = int(fine[0])
+                few = np.flatnonzero((above(own) <= rate * (above(own) + accepted)) & (np.arange(SCORES + 1) >= fine[0]))
+                if len(few):
+                    out[e + len(ENCODINGS)][c] = int(few[0])
     return out
 
 
@@ -176,9 +210,10 @@ def scan(docs: DataFrame, rate: float = 0.1) -> DataFrame:
     each = found.select(F.explode("more").alias("x")).select("x.*").groupBy("enc", "len", "score", "ordinary").count()
     least = thresholds(sorted(tuple(r) for r in each.collect()), rate)  # bounded, see above
     table = F.lit([x for row in least for x in row])
-    accepted = F.filter("more", lambda x: ~x["ordinary"] & (x["score"] >= F.get(table, x["enc"] * len(LENGTHS) + x["len"])))
+    row = lambda x: x["enc"] + x["ordinary"].cast("int") * len(ENCODINGS)
+    accepted = F.filter("more", lambda x: x["score"] >= F.get(table, row(x) * len(LENGTHS) + x["len"]))
     added = F.transform(accepted, lambda x: F.struct(x["start"].alias("start"), F.lit(3).alias("k"), x["end"].alias("end")))
-    return found.select("doc_id", "base", F.array_sort(F.concat("base", added)).alias("spans"))
+    return found.select("doc_id", "base", F.array_sort(F.concat("base", F.array_distinct(added))).alias("spans"))
 
 
 def joined(spans: Column) -> Column:

@@ -71,3 +71,33 @@ def test_odd_rows(odd, none):
         got.setdefault(x.doc_id, []).append(x)
     assert got[2][0].spans == "" and got[2][0].n_hex == 0 and len(got[5]) == 2 and None in got
     assert S.digest(none).collect() == []
+
+
+ALPHABETS = {"upper hex": "0123456789ABCDEF", "lower base32": "abcdefghijklmnopqrstuvwxyz234567", "base36": "abcdefghijklmnopqrstuvwxyz0123456789",
+             "upper base36": "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "letters": "abcdefghijklmnopqrstuvwxyz", "upper letters": "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
+
+
+def test_random_tokens_of_every_alphabet_pass_the_floor():
+    r = random.Random(12)
+    for letters in ALPHABETS.values():
+        for n in (16, 24, 32, 64):
+            tokens = ["".join(r.choice(letters) for _ in range(n)) for _ in range(300)]
+            scores = [next(x[4] for x in S.candidates(t, []) if not x[5]) for t in tokens]
+            assert sum(x < 4 for x in scores) <= 0.12 * len(scores), (letters, n)
+    words = ["internationalization", "responsibilities", "characteristically", "misunderstandings", "INTERDISCIPLINARY", "telecommunications"]
+    assert all(next(x[4] for x in S.candidates(w, []) if not x[5]) < 4 for w in words)
+
+
+def test_secrets_in_one_case_are_found_among_words(make):
+    r = random.Random(13)
+    word = lambda: "".join(r.choice(["ta", "ri", "mo", "len", "sa"]) for _ in range(9))
+    rows = [(i, " ".join(f"{word()} {word()}-{word()} {word().capitalize()}" for _ in range(10)), "en", "s") for i in range(100)]
+    keys = {}
+    for letters in ALPHABETS.values():
+        for n in (16, 32):
+            for _ in range(20):
+                keys[1000 + len(keys)] = "".join(r.choice(letters) for _ in range(n))
+    rows += [(i, f"see {k} {word()}", "en", "s") for i, k in keys.items()]
+    got = {x.doc_id: x.spans for x in S.digest(make(rows)).collect()}
+    hits = sum(f"random:4:{4 + len(k)}" in got[i] for i, k in keys.items())
+    assert hits >= 0.8 * len(keys) and sum(got[i] != "" for i in range(100)) <= 4
