@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltbed.llm import fingerprints, html_extract, line_dedup, mixing, packing, pii, quality, secret_scan, simhash, toxicity
+from siltbed.llm import fingerprints, html_extract, line_dedup, merkle, mixing, packing, pii, quality, secret_scan, simhash, toxicity
 from siltbed.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +78,8 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return html_extract.extract(pages, html_extract.train(pages))
+
+
+@register("op13_merkle", merkle.ORACLE)
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit(table(spark, sf_dir, "documents"))
