@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltbed.llm import decontaminate, fingerprints, html_extract, line_dedup, merkle, mixing, packing, pii, quality, secret_scan, simhash, toxicity
+from siltbed.llm import decontaminate, fingerprints, html_extract, line_dedup, merkle, mixing, packing, pii, quality, secret_scan, simhash, spelling, toxicity
 from siltbed.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,3 +88,8 @@ def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op12_decontaminate", decontaminate.ORACLE)
 def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op11_spelling", spelling.ORACLE)
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.forms(spelling.vocabulary(table(spark, sf_dir, "documents")))

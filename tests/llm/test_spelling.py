@@ -1,0 +1,146 @@
+"""Spelling variants against brute force: the sorted-list scan, blocks, forms and roots, the vocabulary."""
+
+import random
+import re
+import string
+import zlib
+from collections import Counter
+
+from pyspark.sql import functions as F
+
+from siltbed.llm import spelling as S
+
+
+def one_edit(a, b):
+    if abs(len(a) - len(b)) > 1 or a == b:
+        return False
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    if len(a) < len(b):
+        a, b = b, a
+    return any(a[:i] + a[i + 1:] == b for i in range(len(a)))
+
+
+def vocabulary(seed, n, letters="abé", low=6, high=11):
+    """Words of few letters with edits of each other, many with a shared half."""
+    r = random.Random(seed)
+    words = {"".join(r.choice(letters) for _ in range(r.randint(low, high))) for _ in range(n)}
+    for w in sorted(words)[: n // 2]:
+        i = r.randrange(len(w))
+        words.add(r.choice([w[:i] + w[i + 1:], w[:i] + r.choice("xyz") + w[i:], w[:i] + r.choice("xyz") + w[i + 1:], w + "q", "q" + w]))
+    return sorted(w for w in words if len(w) >= low)
+
+
+def test_rows_hold_the_edit_distances():
+    for a, b in [("kitten", "kittn"), ("abcdef", "abxdef"), ("abcdef", "xabcdef"), ("aaaaaa", "aaaaaaa"), ("abcdef", "badcfe"), ("ééabcd", "éabcd")]:
+        row = S.START
+        for d, c in enumerate(b):
+            row = S.next_row(a, row, d, c)
+        k = len(a) - len(b) + 1
+        assert (0 <= k <= 2 and row[k] == 1) == one_edit(a, b)
+
+
+def test_scan_finds_all_that_share_the_half_and_skips_the_rest():
+    words = vocabulary(3, 400)
+    scan = S.Scan(words)
+    for w in words:
+        for shared in (len(w) // 2, 0, len(w) - 1, len(w)):
+            want = [i for i, x in enumerate(words) if x.startswith(w[:shared]) and one_edit(w, x)]
+            assert scan.near(w, shared) == want, (w, shared)
+    calls = 0
+    plain = S.next_row
+
+    def counted(*a):
+        nonlocal calls
+        calls += 1
+        return plain(*a)
+
+    S.next_row = counted
+    try:
+        big = S.Scan(sorted({"".join(p) for p in zip(*[random.Random(i).choices(string.ascii_lowercase, k=5000) for i in range(8)])}))
+        for w in big.words[:100]:
+            big.near(w, 0)
+    finally:
+        S.next_row = plain
+    assert calls < 100 * 5000  # of some 35,000 rows a word without skips and shared prefixes
+
+
+def test_every_near_pair_is_routed():
+    words = vocabulary(5, 300)
+    for backwards in (False, True):
+        keys = sorted(w[::-1] if backwards else w for w in words)
+        cuts = [keys[i:i + 7] for i in range(0, len(keys), 7)]
+        firsts, lasts = [c[0] for c in cuts], [c[-1] for c in cuts]
+        for w in keys:
+            shared = S.shared_part(w, backwards)
+            to = S.route(w, shared, firsts, lasts)
+            for b, cut in enumerate(cuts):
+                if any(x.startswith(w[:shared]) and one_edit(w, x) for x in cut):
+                    assert b in to
+
+
+def plain_forms(counts, ratio=5):
+    out = {}
+    for w, n in counts.items():
+        near = [x for x in counts if one_edit(w, x)]
+        best = min(near, key=lambda x: (-counts[x], x), default=None)
+        out[w] = (best if best and counts[best] >= ratio * n else None, len(near))
+    return out
+
+
+def test_forms_and_roots_against_all_pairs(spark):
+    """Blocks of 40 words and 30 visits: many words share a half, so ranges span blocks and visits are dealt out."""
+    r = random.Random(9)
+    words = vocabulary(7, 500, "ab") + ["straße", "strase", "stráse", "strasse"]
+    counts = {w: r.choice([5, 6, 25, 30, 125, 150, 900, 5000]) for w in words}
+    want = plain_forms(counts)
+    got = S.forms(spark.createDataFrame(list(counts.items()), "word string, n long"), block_words=40, visits=30).collect()
+    assert len(got) == len(counts)
+    chains = 0
+    for x in got:
+        form, n_near = want[x.word]
+        assert (x.form, x.n_near, x.n, x.form_n) == (form, n_near, counts[x.word], counts.get(form)), x
+        root, steps = x.word, 0
+        while want[root][0]:
+            root, steps = want[root][0], steps + 1
+        chains = max(chains, steps)
+        assert x.root == root
+    assert chains >= 2
+
+
+def plain_vocabulary(rows):
+    total = Counter()
+    for doc_id, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = "".join(c.lower() if c in string.ascii_uppercase else c for c in run)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if h % 199 == 0:
+                run = run[:h % len(run)] + run[h % len(run) + 1:]
+            if len(run) >= 6:
+                total[run] += 1
+    return {w: n for w, n in total.items() if n >= 5}
+
+
+def test_vocabulary_odd_rows_and_empty_tables(spark, odd, none, sample_docs, monkeypatch):
+    docs = sample_docs.select("doc_id", "text").unionByName(odd.select("doc_id", "text"))
+    assert {r.word: r.n for r in S.vocabulary(docs).collect()} == plain_vocabulary([tuple(r) for r in docs.collect()])
+    long = "Grüßen ÉTÉété×÷ " * 3000
+    monkeypatch.setattr(S, "LONG", 100)
+    monkeypatch.setattr(S, "HELD", 50)
+    assert S.text_words(4, long, None, 6) == {"grüßen": 3000, "ÉtÉété×÷": 3000}
+    assert S.forms(S.vocabulary(none)).count() == 0
+    assert S.forms(S.vocabulary(odd)).columns == ["word", "form", "root", "n", "n_near", "form_n"]
+    alone = S.forms(spark.createDataFrame([("abcdef", 7)], "word string, n long")).collect()
+    assert [tuple(r) for r in alone] == [("abcdef", None, "abcdef", 7, 0, None)]
+
+
+def test_query_against_its_sql(spark):
+    import __spark_entry__ as E
+    from tools.oracle_check import digest, duck
+
+    sf = "/root/testdata/sf0.001"
+    df = E.queries()["op11_spelling"](spark, sf)
+    rel = duck(sf).sql(E.oracle_sql()["op11_spelling"])
+    rows = [tuple(r) for r in df.collect()]
+    assert sorted(df.columns) == sorted(rel.columns) and any(r[1] for r in rows)
+    assert digest(df.columns, rows)[0] == digest(rel.columns, rel.fetchall())[0]
