@@ -27,6 +27,6 @@ def open_source(spark: SparkSession, kind: str, options: dict, streaming: bool =
         return from_redis(reader.format("siltbed_redis").options(**options).load())
     path = options.get("path")
     if not path:
-        raise ValueError("files source requires path")
+        raise ValueError("no path given to read files from")
     reader = spark.readStream if streaming else spark.read
     return reader.schema(ENVELOPE).options(**{k: v for k, v in options.items() if k != "path"}).parquet(path)

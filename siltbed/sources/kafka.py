@@ -44,8 +44,9 @@ class KafkaSourceOptions:
     once: bool = False
 
     def __post_init__(self):
-        if not self.bootstrap_servers or not self.topics:
-            raise ValueError("Kafka source requires bootstrap_servers and topics")
+        for name in ("bootstrap_servers", "topics"):
+            if not getattr(self, name):
+                raise ValueError(f"no {name} given to read from Kafka")
         check_format(self.value_format)
         if self.auto_offset_reset not in OFFSET_RESETS:
             raise ValueError(f"auto_offset_reset must be one of {sorted(OFFSET_RESETS)}")

@@ -10,6 +10,7 @@ from dataclasses import dataclass, field
 from urllib.parse import urlparse
 
 SINK_TYPES = ("local", "s3", "hdfs")
+NEEDED = {"local": ["base_path"], "s3": ["bucket"], "hdfs": ["url", "base_path"]}
 
 
 @dataclass
@@ -28,12 +29,9 @@ class SinkOptions:
     def __post_init__(self):
         if self.type not in SINK_TYPES:
             raise ValueError(f"unsupported sink type {self.type!r}; expected one of {SINK_TYPES}")
-        if self.type == "s3" and not self.bucket:
-            raise ValueError("S3 sink requires bucket")
-        if self.type == "hdfs" and (not self.url or not self.base_path):
-            raise ValueError("HDFS sink requires url and base_path")
-        if self.type == "local" and not self.base_path:
-            raise ValueError("Local sink requires base_path")
+        for name in NEEDED[self.type]:
+            if not getattr(self, name):
+                raise ValueError(f"option {name!r} of a {self.type} sink is not set")
 
 
 def base_uri(o: SinkOptions) -> str:
