@@ -87,7 +87,7 @@ def test_odd_rows(odd, none, make):
 
 
 def test_ends_and_rests_hold_for_every_pair(spark):
-    """Two lines within an edit share an end, and a rest that has the edit in its segment."""
+    """Two lines within an edit share an end, and a rest that has the edit in its segment; lines too short for the near rule have no ends."""
     from pyspark.sql import functions as F
 
     r = random.Random(8)
@@ -102,8 +102,14 @@ def test_ends_and_rests_hold_for_every_pair(spark):
     ends = {c: L.with_ends(df.select("k", F.array_join(c, r.choice([" ", " \t ", "  "])).alias("line")), 8).select("k", F.col("ends").alias(f"e{c}")) for c in "ab"}
     both = df.join(ends["a"], "k").join(ends["b"], "k").select("k", F.arrays_overlap("ea", "eb").alias("ends"), *(
         F.transform(F.concat(L._rests(F.col(c), F.size(c)), L._rests(F.col(c), F.size(c) - 1)), lambda x: x["key"]).alias(f"r{c}") for c in "ab"))
+    sizes = {k: (len(a), len(b)) for k, a, b in rows}
+    assert min(max(s) for s in sizes.values()) == 7  # some pairs are outside the near rule: their longer line has under 8 words
     for x in both.select("k", "ends", F.arrays_overlap("ra", "rb").alias("rests")).collect():
-        assert x.ends and x.rests, x
+        if max(sizes[x.k]) >= 8:
+            assert x.ends and x.rests, x
+    for c, side in (("a", 0), ("b", 1)):
+        none = {r.k for r in ends[c].where(f"e{c} is null").collect()}
+        assert none == {k for k, s in sizes.items() if s[side] < 7}
 
 
 def test_rows_of_one_id_or_none_with_different_texts(make):
