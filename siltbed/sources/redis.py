@@ -2,12 +2,18 @@
 
 Streams are read through a consumer group, replay-safe:
 * the group is created at id 0 (``MKSTREAM``; an existing group is fine);
-* a micro-batch covers up to ``batch_size`` entries after the last planned id of each stream key; they are
-  read with ``XRANGE`` on executors, an input partition for each 1000 entries;
+* a micro-batch covers up to ``batch_size`` entries after the last planned id of each stream key. That id is kept in Redis
+  beside the group (``<key>:planned:<group>``), so a new reader on the same checkpoint plans on from where the last one
+  ended, though the group itself only moves once a batch is known to have landed;
+* with option ``drain`` a micro-batch covers everything up to the ids that were the last when the run began, as
+  ``availableNow`` promises (that trigger asks for the end once): one run lands all, however small ``batch_size`` is;
+* entries are read with ``XRANGE`` on executors, an input partition for each 1000 entries (more, if a batch would have over
+  ``MOST_PARTITIONS``). The driver learns the ids that end the partitions, from a script that runs in Redis; entries don't pass it;
 * ``commit()`` (after the batch has landed) moves the group to the batch end with
-  ``XGROUP SETID``; nothing is acknowledged before the data is durable.
+  ``XGROUP SETID``; nothing is acknowledged before the data is durable. Spark commits a batch when it plans the next one, so the
+  last batch of a run is acknowledged by :func:`acknowledge`, or else by the next run.
 Lists are destructive queues, so each trigger moves as many items as the streams leave of ``batch_size`` (lists in
-key order, first non-empty key first) into a per-group pending list, server side (a Lua
+key order, first non-empty key first; ``drain``: all that were there when the run began) into a per-group pending list, server side (a Lua
 ``LMOVE`` loop: items never pass through the driver); a micro-batch reads pending items by
 index on executors and ``commit()`` trims them. A failed batch is read again.
 
@@ -24,6 +30,7 @@ from __future__ import annotations
 
 import datetime as dt
 import importlib
+import json
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
@@ -34,6 +41,8 @@ DEFAULT_PORT = 6379
 DEFAULT_DB = 0
 DEFAULT_BATCH_SIZE = 1000
 PAGE = 1000  # entries or items of one input partition
+MOST_PARTITIONS = 20_000  # of one key and batch; beyond it they hold more entries
+MOVED = 10_000  # list items that one call moves
 
 
 def _split(v: str | None) -> list[str]:
@@ -96,14 +105,37 @@ class RedisOps:
     def set_group_id(self, key, group, entry_id):
         self.c.xgroup_setid(key, group, entry_id)
 
-    def nth_id_after(self, key, after, n):
-        """Id of the n-th entry after an id (the last one if there are fewer; ``after`` itself if there is none)."""
-        r = self.c.xrange(key, f"({after}" if after != "0-0" else "-", "+", count=int(n))
-        if not r:
-            return after
-        v = r[-1][0]
+    # ends of the next pages of a stream, found by the server: the caller gets ids and counts, no entries
+    PAGES_SCRIPT = (
+        "local out, after = {}, ARGV[1] "
+        "for i = 1, tonumber(ARGV[4]) do "
+        "  local r = redis.call('XRANGE', KEYS[1], '(' .. after, ARGV[2], 'COUNT', ARGV[3]) "
+        "  if #r == 0 then break end "
+        "  after = r[#r][1] "
+        "  out[#out + 1] = after "
+        "  out[#out + 1] = #r "
+        "  if #r < tonumber(ARGV[3]) then break end "
+        "end "
+        "return out")
+
+    def page_ends(self, key, after, until, size, most):
+        """(id of the last entry, number of entries) of up to ``most`` pages of ``size`` entries after an id, up to ``until``."""
+        r = self.c.eval(self.PAGES_SCRIPT, 1, key, after, until, int(size), int(most))
+        return [((i.decode() if isinstance(i, bytes) else i), int(n)) for i, n in zip(r[::2], r[1::2])]
+
+    def length(self, key):
+        return int(self.c.xlen(key))
+
+    def list_length(self, key):
+        return int(self.c.llen(key))
+
+    def get_text(self, key):
+        v = self.c.get(key)
         return v.decode() if isinstance(v, bytes) else v
 
+    def set_text(self, key, value):
+        self.c.set(key, value)
+
     # server-side move of up to n items and the count of all moved so far, in one atomic step
     # (items never travel through the driver)
     MOVE_SCRIPT = (
@@ -168,7 +200,8 @@ class RedisStreamReader(DataSourceStreamReader):
             raise ValueError("consumer_group is required when stream_keys are set")
         if not self.streams and not self.lists:
             raise ValueError("give stream_keys and/or list_keys")
-        self._planned: dict = {}
+        self.drain = str(options.get("drain", "false")).lower() == "true"
+        self._target: dict | None = None
         ops = make_client(self.options)
         for k in self.streams:
             ops.ensure_group(k, self.group)
@@ -176,6 +209,13 @@ class RedisStreamReader(DataSourceStreamReader):
     def _pending(self, key):
         return f"{key}:pending:{self.group or 'lists'}"
 
+    def _planned(self, ops, key):
+        """The end of what has been planned so far, by this reader or one before; never behind the group."""
+        return max(ops.get_text(f"{key}:planned:{self.group}") or "0-0", ops.group_last_id(key, self.group), key=entry_pair)
+
+    def _moved(self, ops, key):
+        return max(ops.get_int(self._pending(key) + ":moved"), ops.get_int(self._pending(key) + ":base"))
+
     def initialOffset(self):
         ops = make_client(self.options)
         return {"streams": {k: ops.group_last_id(k, self.group) for k in self.streams},
@@ -188,19 +228,41 @@ class RedisStreamReader(DataSourceStreamReader):
         items are moved to its pending list, first non-empty key first, as a blocking pop over the keys would.
         """
         ops = make_client(self.options)
+        if self.drain:
+            return self._drained(ops)
         streams, left = {}, self.batch_size
         for k in self.streams:
-            after = self._planned.get(k) or ops.group_last_id(k, self.group)
-            page = ops.xrange_after(k, after, "+", self.batch_size)
-            streams[k] = self._planned[k] = page[-1][0] if page else after
-            left -= len(page)
+            after = self._planned(ops, k)
+            page = ops.page_ends(k, after, "+", self.batch_size, 1)
+            streams[k] = page[0][0] if page else after
+            if page:
+                ops.set_text(f"{k}:planned:{self.group}", streams[k])
+                left -= page[0][1]
         lists = {}
         for k in self.lists:
-            was = max(ops.get_int(self._pending(k) + ":moved"), ops.get_int(self._pending(k) + ":base"))
+            was = self._moved(ops, k)
             lists[k] = ops.move_items(k, self._pending(k), left) if left > 0 else was
             left -= lists[k] - was
         return {"streams": streams, "lists": lists}
 
+    def _drained(self, ops):
+        """The same end whenever it is asked: the last ids, and the items there, when it was first asked."""
+        if self._target is None:
+            streams = {k: max(ops.last_id(k), self._planned(ops, k), key=entry_pair) for k in self.streams}
+            lists = {}
+            for k in self.lists:
+                lists[k] = self._moved(ops, k)
+                upto = lists[k] + ops.list_length(k)
+                while lists[k] < upto:
+                    now = ops.move_items(k, self._pending(k), min(MOVED, upto - lists[k]))
+                    if now == lists[k]:
+                        break
+                    lists[k] = now
+            for k, e in streams.items():
+                ops.set_text(f"{k}:planned:{self.group}", e)
+            self._target = {"streams": streams, "lists": lists}
+        return self._target
+
     def partitions(self, start, end):
         parts = []
         for k in self.streams:
@@ -209,18 +271,22 @@ class RedisStreamReader(DataSourceStreamReader):
                 parts += self._split_stream(k, a, b)
         for k in self.lists:
             a, b = int(start["lists"].get(k, 0)), int(end["lists"].get(k, 0))
-            parts += [_Part("list", k, at, min(at + PAGE, b)) for at in range(a, b, PAGE)]
+            size = max(PAGE, -(-(b - a) // MOST_PARTITIONS))
+            parts += [_Part("list", k, at, min(at + size, b)) for at in range(a, b, size)]
         return parts
 
     def _split_stream(self, key, start, end):
-        """Partitions of PAGE entries each, so that a hot stream is read by many tasks."""
+        """Partitions of a page or more each, so that a hot stream is read by many tasks."""
         ops = make_client(self.options)
+        size = max(PAGE, -(-ops.length(key) // MOST_PARTITIONS))
         parts = []
         while entry_pair(start) < entry_pair(end):
-            page = ops.nth_id_after(key, start, PAGE)
-            stop = min(page, end, key=entry_pair) if entry_pair(page) > entry_pair(start) else end
-            parts.append(_Part("stream", key, start, stop))
-            start = stop
+            pages = ops.page_ends(key, start, end, size, max(1, 100_000 // size))  # each call goes over some 100,000 entries
+            for stop, _ in pages:
+                parts.append(_Part("stream", key, start, stop))
+                start = stop
+            if not pages:  # what is left was deleted from the stream
+                break
         return parts
 
     def read(self, p):
@@ -236,16 +302,17 @@ class RedisStreamReader(DataSourceStreamReader):
                 after = page[-1][0]
         else:
             base = ops.get_int(self._pending(p.key) + ":base")
-            items = ops.lrange(self._pending(p.key), p.start - base, p.end - base - 1)
             now = dt.datetime.now(dt.timezone.utc)  # items carry no time: their arrival is the read
-            for i, item in enumerate(items):
-                yield ("redis_list", p.key, p.start + i, str(p.start + i), now, {"value": item})
+            for at in range(p.start, p.end, PAGE):
+                items = ops.lrange(self._pending(p.key), at - base, min(at + PAGE, p.end) - base - 1)
+                for i, item in enumerate(items):
+                    yield ("redis_list", p.key, at + i, str(at + i), now, {"value": item})
 
     def commit(self, end):
         ops = make_client(self.options)
         for k in self.streams:
             e = end["streams"].get(k)
-            if e and e != "0-0":
+            if e and entry_pair(e) > entry_pair(ops.group_last_id(k, self.group)):
                 ops.set_group_id(k, self.group, e)
         for k in self.lists:
             ops.commit_items(self._pending(k), int(end["lists"].get(k, 0)))
@@ -297,5 +364,14 @@ class RedisDataSource(DataSource):
         return RedisBatchReader(self.options)
 
 
+def acknowledge(options: dict, end: dict | str) -> None:
+    """Move the groups to ``end`` and trim the pending lists: for the last batch of a run, once it has landed.
+
+    ``end``: that batch's end offset, as JSON or not. It is safe to repeat: neither goes back.
+    """
+    reader = RedisStreamReader({**options, "drain": "false"})
+    reader.commit(json.loads(end) if isinstance(end, str) else end)
+
+
 def register(spark) -> None:
     spark.dataSource.register(RedisDataSource)

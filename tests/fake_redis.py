@@ -77,9 +77,33 @@ class FileRedis:
         with self._state(True) as st:
             st["groups"][f"{key}|{group}"] = entry_id
 
-    def nth_id_after(self, key, after, n):
-        page = self.xrange_after(key, after, "+", n)
-        return page[-1][0] if page else after
+    def page_ends(self, key, after, until, size, most):
+        out = []
+        for _ in range(most):
+            page = self.xrange_after(key, after, until, size)
+            if not page:
+                break
+            after = page[-1][0]
+            out.append((after, len(page)))
+            if len(page) < size:
+                break
+        return out
+
+    def length(self, key):
+        with self._state() as st:
+            return len(st["streams"].get(key, []))
+
+    def list_length(self, key):
+        with self._state() as st:
+            return len(st["lists"].get(key, []))
+
+    def get_text(self, key):
+        with self._state() as st:
+            return st["kv"].get(key)
+
+    def set_text(self, key, value):
+        with self._state(True) as st:
+            st["kv"][key] = value
 
     def move_items(self, key, pending, n):
         with self._state(True) as st:
