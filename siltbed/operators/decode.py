@@ -76,9 +76,26 @@ def _text(col: str = "value") -> Column:
 
 
 def meta_names(meta: list[str], payload: list[str]) -> dict[str, str]:
-    """Landed names of the envelope columns: a payload field of the same name keeps it, the envelope's gets a prefix."""
+    """Landed names of the envelope columns: a payload field of the same name keeps it, the envelope's gets a prefix.
+
+    The source tag keeps its name, as rows are routed by it; a payload field of that name is landed by :func:`payload_names`.
+    """
     taken = {p.lower() for p in payload}
-    return {c: f"_meta_{c}" if c.lower() in taken else c for c in meta}
+    return {c: f"_meta_{c}" if c.lower() in taken and c != SOURCE_COL else c for c in meta}
+
+
+def payload_names(payload: list[str]) -> dict[str, str]:
+    """Landed names of the payload's fields: their own, but for one that is called like the source tag."""
+    clash = re.compile(f"(_field_)*{SOURCE_COL}")
+    return {p: f"_field_{p}" if clash.fullmatch(p.lower()) else p for p in payload}
+
+
+def _free_name(name: str, payload: T.StructType) -> str:
+    """``name``, with underscores before it until no payload field is called so."""
+    taken = {f.name.lower() for f in payload.fields}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
 
 
 def _is_object(text: Column) -> Column:
@@ -100,11 +117,12 @@ def decode_json(env: DataFrame, schema: T.StructType, policy: str = "log",
     check_policy(policy)
     env = _with_meta(env)
     meta = keep_meta if keep_meta is not None else META_COLS
-    parse_schema = T.StructType(list(schema.fields) + [T.StructField(CORRUPT_COL, T.StringType())])
+    corrupt = _free_name(CORRUPT_COL, schema)
+    parse_schema = T.StructType(list(schema.fields) + [T.StructField(corrupt, T.StringType())])
     parsed = F.from_json(_text(), parse_schema,
-                         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COL})
+                         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt})
     staged = env.select(*[F.col(c) for c in meta], F.col("value"), parsed.alias("_d"))
-    staged = staged.withColumn(REASON_COL, json_reason(F.col(f"_d.{CORRUPT_COL}"), _text(), F.col("value")))
+    staged = staged.withColumn(REASON_COL, json_reason(F.col(f"_d.{corrupt}"), _text(), F.col("value")))
     if policy == "raise":
         staged = staged.withColumn(
             REASON_COL, F.when(F.col(REASON_COL).isNotNull(),
@@ -114,9 +132,9 @@ def decode_json(env: DataFrame, schema: T.StructType, policy: str = "log",
     obs = Observation()
     counted = staged.observe(obs, F.count(F.lit(1)).alias("rows"),
                              F.count(F.col(REASON_COL)).alias("bad"))
-    names = meta_names(meta, [f.name for f in schema.fields])
+    names, fields = meta_names(meta, [f.name for f in schema.fields]), payload_names([f.name for f in schema.fields])
     good = counted.where(F.col(REASON_COL).isNull()).select(
-        *[F.col(c).alias(names[c]) for c in meta], *[F.col(f"_d.`{f.name}`").alias(f.name) for f in schema.fields])
+        *[F.col(c).alias(names[c]) for c in meta], *[F.col(f"_d.`{f.name}`").alias(fields[f.name]) for f in schema.fields])
     bad = staged.where(F.col(REASON_COL).isNotNull()).select(*[F.col(c) for c in meta], "value", REASON_COL)
     if policy == "ignore":
         bad = bad.limit(0)
@@ -193,11 +211,12 @@ def decode_arrow_ipc(env: DataFrame, schema: T.StructType, policy: str = "log")
     check_policy(policy)
     env = _with_meta(env).select(*META_COLS, F.col("value").alias(RAW_COL))
     fields = list(schema.fields)
+    named = payload_names([f.name for f in fields])
     landed = meta_names(META_COLS, [f.name for f in fields])
     env = env.select(*[F.col(c).alias(landed[c]) for c in META_COLS], RAW_COL)
     meta = [landed[c] for c in META_COLS]
     out_schema = T.StructType(
-        [T.StructField(c, env.schema[c].dataType) for c in meta] + [T.StructField(f.name, f.dataType) for f in fields]
+        [T.StructField(c, env.schema[c].dataType) for c in meta] + [T.StructField(named[f.name], f.dataType) for f in fields]
         + [T.StructField(RAW_COL, T.BinaryType()), T.StructField(REASON_COL, T.StringType())])
 
     def decode(batches):
@@ -216,12 +235,12 @@ def decode_arrow_ipc(env: DataFrame, schema: T.StructType, policy: str = "log")
                     with pa.ipc.open_stream(pa.py_buffer(raw)) as reader:
                         t = reader.read_all()
                     n, reason = t.num_rows, None
-                    columns = [t.column(f.name).cast(kinds[f.name]) if f.name in t.schema.names else pa.nulls(n, kinds[f.name]) for f in fields]
+                    columns = [t.column(f.name).cast(kinds[named[f.name]]) if f.name in t.schema.names else pa.nulls(n, kinds[named[f.name]]) for f in fields]
                 except Exception:  # noqa: BLE001 - any payload that doesn't decode goes to quarantine
                     if policy == "raise":
                         raise
                     n, reason = 1, "null_value" if raw is None else "bad_ipc"
-                    columns = [pa.nulls(1, kinds[f.name]) for f in fields]
+                    columns = [pa.nulls(1, kinds[named[f.name]]) for f in fields]
                 if not n:
                     continue
                 columns = [*(pa.repeat(own[c], n).cast(kinds[c]) if own[c].is_valid else pa.nulls(n, kinds[c]) for c in meta), *columns,
@@ -232,7 +251,7 @@ def decode_arrow_ipc(env: DataFrame, schema: T.StructType, policy: str = "log")
                 yield from pa.concat_tables(tables).combine_chunks().to_batches()
 
     staged = env.mapInArrow(decode, out_schema)
-    good = staged.where(F.col(REASON_COL).isNull()).select(*meta, *[f"`{f.name}`" for f in fields])
+    good = staged.where(F.col(REASON_COL).isNull()).select(*meta, *[f"`{named[f.name]}`" for f in fields])
     bad = staged.where(F.col(REASON_COL).isNotNull()).select(*[F.col(landed[c]).alias(c) for c in META_COLS], F.col(RAW_COL).alias("value"), REASON_COL)
     if policy == "ignore":
         bad = bad.limit(0)

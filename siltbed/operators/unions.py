@@ -42,7 +42,7 @@ def common_type(types: list[T.DataType]) -> T.DataType:
     return T.StringType()
 
 
-def _cast(c: Column, src: T.DataType, dst: T.DataType) -> Column:
+def cast_column(c: Column, src: T.DataType, dst: T.DataType) -> Column:
     if src == dst:
         return c
     if isinstance(dst, T.StringType) and isinstance(src, (T.StructType, T.ArrayType, T.MapType)):
@@ -74,7 +74,7 @@ def union_widened(frames: list[DataFrame]) -> DataFrame:
         cols = []
         for f in target.fields:
             if f.name in have:
-                cols.append(_cast(F.col(f"`{f.name}`"), have[f.name], f.dataType).alias(f.name))
+                cols.append(cast_column(F.col(f"`{f.name}`"), have[f.name], f.dataType).alias(f.name))
             else:
                 cols.append(F.lit(None).cast(f.dataType).alias(f.name))
         aligned.append(df.select(*cols))

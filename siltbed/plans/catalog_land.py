@@ -16,7 +16,7 @@ from siltbed.plans.land import LandOptions, land
 from siltbed.plans.read import dataset_state, read_dataset
 from siltbed.plans.registry import register
 from siltbed.session import scratch_path
-from siltbed.sources.envelope import ENVELOPE, SOURCE_COL, with_source
+from siltbed.sources.envelope import ENVELOPE, SOURCE_COL, from_table, with_source
 from siltbed.streaming.landing import StreamOptions, start_landing
 
 ROW_COLS = [SOURCE_COL, "offset", "event_id", "ts", "user_id", "value", "props"]
@@ -264,6 +264,31 @@ def merge_twice(spark, sf_dir):
     return _merged(spark, opts).select(*ROW_COLS, "compacted")
 
 
+#: Payload fields called like the layout's own columns, or like what those are stored under.
+CLASHING = {"event_id": "event_id", "v": "user_id", "_period": "event_type", "_batch_id": "value", "_Version": "props", "_payload__period": "user_id"}
+
+
+@register("payload_internal_names", """
+SELECT event_type AS _source_id, event_id, user_id AS v, event_type AS _period, "value" AS _batch_id, props AS "_Version",
+       user_id AS _payload__period, event_type AS _field__source_id, true AS compacted, true AS vacuumed FROM events""")
+def payload_internal_names(spark, sf_dir):
+    """Such fields through landing, two compactions of the same period and the removal of the files they came from."""
+    ev = fx.table(spark, sf_dir, "events").withColumn("tag", F.col("event_type"))
+    payload = ev.select("event_type", F.col("ts").alias("at"), *[F.col(c).alias(name) for name, c in CLASHING.items()], F.col("tag").alias(SOURCE_COL))
+    env = from_table(payload, topic=F.col("event_type"), offset=F.col("event_id"), arrival_ts=F.col("at"), payload=[*CLASHING, SOURCE_COL])
+    fields = [T.StructField(name, ev.schema[c].dataType) for name, c in CLASHING.items()] + [T.StructField(SOURCE_COL, T.StringType())]
+    good = decode_json(with_source(env), T.StructType(fields)).good.withColumn("_blk", _block())
+    opts = LandOptions(base=scratch_path(spark, "payload_internal_names"))
+    month = CompactOptions(period="month", min_files=2)
+    for half in (F.dayofmonth("arrival_ts") <= 15, F.dayofmonth("arrival_ts") > 15):
+        land(good.where(half), opts, batch_col="_blk", flush_ts=F.col("arrival_ts"))
+        compact(spark, opts.base, month)
+    st = dataset_state(spark, opts.base)
+    done = st.version > 1 and 0 < st.live_compacted.count() < st.manifest.where("kind = 'folded'").count()
+    removed = vacuum(spark, opts.base)
+    return read_dataset(spark, opts.base).select(SOURCE_COL, *CLASHING, f"_field_{SOURCE_COL}", F.lit(done).alias("compacted"), F.lit(removed > 0).alias("vacuumed"))
+
+
 @register("merge_schema_evolution", """
 SELECT event_type AS _source_id, event_id, CASE WHEN day(ts) > 15 THEN 'x' || CAST(event_id AS VARCHAR) END AS extra,
        true AS compacted FROM events""")

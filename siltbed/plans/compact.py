@@ -4,9 +4,10 @@
    batch's flush time); groups with at least ``min_files`` files qualify. A live
    compacted file of the same folder and period is folded in again, so a second
    compaction of a period keeps the first one's rows.
-2. write the qualifying groups, those of equal schemas in one job, to ``compacted/v=<uuid>/<folders>/_period=<key>``
+2. write the qualifying groups, those of equal schemas in one job, to ``compacted/_version=<uuid>/<folders>/_period=<key>``
    (dictionary encoding off), rebalanced so a huge period becomes several files.
-3. check: rows read == rows in the new version (footer counts), else nothing is published.
+3. check: rows read == rows in the new files (footer counts), and each column's count of values and checksum are the same in the files
+   read and the files written, else nothing is published.
 4. publish: a new manifest version (one small file, created only if missing) naming live compacted files and the
    landed files now folded in. Old files are removed later by ``vacuum``.
 
@@ -26,10 +27,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltbed.functions.periods import PERIODS, period_key
-from siltbed.operators.unions import agreed_schema, union_widened
+from siltbed.operators.unions import agreed_schema, cast_column, union_widened
 from siltbed.plans import fs
-from siltbed.plans.land import BATCH_COL, FLUSH_TS_COL, bury, read_commits
-from siltbed.plans.read import PERIOD_COL, VERSION_COL, dataset_state, publish_manifest
+from siltbed.plans.internal import BATCH_COL, PERIOD_COL, VERSION_COL, stored_schema
+from siltbed.plans.land import FLUSH_TS_COL, bury, read_commits
+from siltbed.plans.read import compacted_frames, dataset_state, publish_manifest
 from siltbed.session import cut_lineage
 from siltbed.sources.envelope import SOURCE_COL
 
@@ -155,30 +157,28 @@ def _compact(spark: SparkSession, base: str, opts: CompactOptions, st, landed: D
     # an earlier output of the period is folded in again, unless it has the target size already
     old_comp = cut_lineage(st.live_compacted.where((F.col("period") == opts.period) & (F.col("length") < opts.target_file_bytes))
                            .join(chosen, ["dir", "period_key"], "left_semi"))
-    land_root, comp_root = f"{base.rstrip('/')}/land", f"{base.rstrip('/')}/compacted"
-    out_dir = f"{comp_root}/v={uuid.uuid4().hex}"
+    comp_root = f"{base.rstrip('/')}/compacted"
+    version = uuid.uuid4().hex
 
     # groups that hold the same schemas are rewritten together, in the schema those agree on: no
     # source's types depend on another's. Distinct sets of schemas are few.
     every = in_land.select("dir", "period_key", "schema_json").unionByName(old_comp.select("dir", "period_key", "schema_json"))
     sets = every.groupBy("dir", "period_key").agg(F.array_sort(F.collect_set("schema_json")).alias("set"))
     sets = cut_lineage(sets)
-    rows_total, targets = 0, []
-    for (schemas,) in sets.select("set").distinct().collect():
+    targets, out_dirs = [], []
+    for k, (schemas,) in enumerate(sets.select("set").distinct().collect()):
         target = agreed_schema([T.StructType.fromJson(json.loads(x)) for x in schemas])
-        targets.append((schemas, json.dumps(target.jsonValue(), sort_keys=True)))
+        targets.append((schemas, json.dumps(stored_schema(target).jsonValue(), sort_keys=True)))
         these = sets.where(F.col("set") == F.lit(schemas)).select("dir", "period_key")
-        rows_total += _rewrite(spark, opts, in_land.join(these, ["dir", "period_key"], "left_semi"),
-                               old_comp.join(these, ["dir", "period_key"], "left_semi"), target, land_root, comp_root, out_dir)
-    written = spark.read.option("mergeSchema", "false").parquet(out_dir)
-    rows_out = written.count()
-    if rows_total != rows_out:
-        raise RuntimeError(f"compaction: read {rows_total} rows but wrote {rows_out}; not published")
+        out_dirs.append(f"{comp_root}/{VERSION_COL}={version}-{k}")
+        _rewrite(spark, opts, in_land.join(these, ["dir", "period_key"], "left_semi"), old_comp.join(these, ["dir", "period_key"], "left_semi"),
+                 target, base, out_dirs[-1])
+    written = spark.read.schema("_nothing int").option("basePath", comp_root).parquet(*out_dirs)
 
     agreed = spark.createDataFrame(targets, "set array<string>, schema_json string")
     agreed = sets.join(agreed, "set").select("dir", "period_key", "schema_json")
     new_files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-                 .option("pathGlobFilter", "*.parquet").load(out_dir).select("path", "length")
+                 .option("pathGlobFilter", "*.parquet").load(out_dirs).select("path", "length")
                  .withColumn("kind", F.lit("live")).withColumn("dir", _dir_of("path"))
                  .withColumn("period_key", F.regexp_extract("path", r"/_period=([^/]+)/[^/]+$", 1))
                  .withColumn("period", F.lit(opts.period)).join(agreed, ["dir", "period_key"]))
@@ -199,38 +199,74 @@ def _compact(spark: SparkSession, base: str, opts: CompactOptions, st, landed: D
     return report.join(cut_lineage(counts), ["dir", "period_key"], "left").select(*[c.split()[0] for c in REPORT_SCHEMA.split(", ")])
 
 
-def _rewrite(spark: SparkSession, opts: CompactOptions, in_land: DataFrame, old_comp: DataFrame, target: T.StructType,
-             land_root: str, comp_root: str, out_dir: str) -> int:
-    """Write the rows of some groups' files in the schema ``target``; returns how many there are."""
-    frames, in_rows = [], 0
+def _value_sums(target: T.StructType, have: T.StructType) -> list[F.Column]:
+    """For each column of ``target`` that ``have`` holds: its number of values and the xor of their hashes, as it is cast to the target."""
+    out = []
+    types = {f.name: f.dataType for f in have.fields}
+    for i, f in enumerate(target.fields):
+        if f.name in types:
+            c = cast_column(F.col(f"`{f.name}`"), types[f.name], f.dataType)
+            if not isinstance(f.dataType, T.AtomicType):
+                c = F.when(c.isNotNull(), F.to_json(F.struct(c.alias("x"))))  # maps can't be hashed
+            out += [F.count(c).alias(f"n{i}"), F.coalesce(F.bit_xor(F.when(c.isNotNull(), F.xxhash64(c))), F.lit(0)).alias(f"x{i}")]
+    return out
+
+
+def _added(sums: list[dict], target: T.StructType) -> list[tuple[str, int, int]]:
+    """(column, number of values, checksum) over several frames."""
+    out = []
+    for i, f in enumerate(target.fields):
+        x = 0
+        for s in sums:
+            x ^= int(s.get(f"x{i}") or 0)
+        out.append((f.name, sum(int(s.get(f"n{i}") or 0) for s in sums), x))
+    return out
+
+
+def _rewrite(spark: SparkSession, opts: CompactOptions, in_land: DataFrame, old_comp: DataFrame, target: T.StructType, base: str, out_dir: str) -> None:
+    """Write the rows of some groups' files in the schema ``target`` to ``out_dir``, and hold rows and columns against what was read."""
+    frames, observed, in_rows = [], [], 0
+    total = F.count(F.lit(1)).alias("rows")
+
+    def take(rows: DataFrame, schema: T.StructType) -> DataFrame:
+        # what a file holds is observed on the read itself, before anything is joined, dropped, cast or filled
+        observed.append((Observation(), rows, schema))
+        return rows.observe(observed[-1][0], total, *_value_sums(target, schema))
+
     batch_period = in_land.select(BATCH_COL, F.col("period_key").alias(PERIOD_COL)).distinct()
     for sj, paths in _paths_by(in_land, "schema_json").items():
-        sch = T.StructType(list(T.StructType.fromJson(json.loads(sj)).fields) + [T.StructField(BATCH_COL, T.StringType())])
-        rows = spark.read.schema(sch).option("basePath", land_root).parquet(*paths)
+        fields = T.StructType.fromJson(json.loads(sj))
+        rows = spark.read.schema(T.StructType([*fields.fields, T.StructField(BATCH_COL, T.StringType())])).option("basePath", f"{base.rstrip('/')}/land").parquet(*paths)
         in_rows += rows.count()  # footers only
-        frames.append(rows.join(batch_period, BATCH_COL).drop(BATCH_COL))
-    for sj, paths in _paths_by(old_comp, "schema_json").items():
-        sch = T.StructType([*T.StructType.fromJson(json.loads(sj)).fields, T.StructField(VERSION_COL, T.StringType()),
-                            T.StructField(PERIOD_COL, T.StringType())])
-        rows = spark.read.schema(sch).option("basePath", comp_root).parquet(*paths)
+        frames.append(take(rows, fields).join(batch_period, BATCH_COL).drop(BATCH_COL))
+    for rows, fields in compacted_frames(spark, base, old_comp):
         in_rows += rows.count()
-        frames.append(rows.drop(VERSION_COL))
+        frames.append(take(rows, fields))
     rows = union_widened(frames) if len(frames) > 1 else frames[0]
     part_cols = _partition_cols([r[0] for r in in_land.select("dir").distinct().collect()])
     in_bytes = sum(int(f.agg(F.sum("length")).first()[0] or 0) for f in (in_land, old_comp))
     # rows per output file from the inputs' average row size
     per_file = max(1, int(opts.target_file_bytes * in_rows / in_bytes)) if in_bytes and in_rows else 0
-    obs = Observation()
-    rows = rows.select(*[F.col(f"`{f.name}`") for f in target.fields], PERIOD_COL).observe(obs, F.count(F.lit(1)).alias("rows"))
+    rows = rows.select(*[F.col(f"`{f.name}`") for f in target.fields], PERIOD_COL)
     writer = (rows.hint("rebalance", *part_cols, PERIOD_COL).write.mode("append")
               .option("compression", opts.compression).option("parquet.enable.dictionary", "false"))
     if per_file:
         writer = writer.option("maxRecordsPerFile", per_file)
     writer.partitionBy(*part_cols, PERIOD_COL).parquet(out_dir)
-    seen = int(obs.get.get("rows", 0))
-    if seen != in_rows:
-        raise RuntimeError(f"compaction: {in_rows} rows in the files but {seen} read; not published")
-    return in_rows
+    back = spark.read.schema(target).option("basePath", out_dir).parquet(out_dir)
+    wrote = back.agg(total, *_value_sums(target, target)).first().asDict()
+    read = [o.get for o, _, _ in observed]
+    if _differences(read, wrote, target):  # a task that ran twice counts twice in what is observed: read it again, exactly
+        read = [rows.agg(total, *_value_sums(target, schema)).first().asDict() for _, rows, schema in observed]
+    differ = _differences(read, wrote, target)
+    if differ or in_rows != wrote["rows"]:
+        raise RuntimeError(f"compaction: {in_rows} rows in the files; what the new files do not hold as it was read, by column (values, checksum): {differ}; not published")
+
+
+def _differences(read: list[dict], wrote: dict, target: T.StructType) -> list[str]:
+    rows = sum(int(s.get("rows") or 0) for s in read)
+    out = [] if rows == wrote["rows"] else [f"{rows} rows read, {wrote['rows']} written"]
+    return out + [f"{name}: {was} read, {now} written" for (name, *was), (_, *now) in zip(_added(read, target), _added([wrote], target)) if was != now]
 
 
 def _partition_cols(dirs: list[str]) -> list[str]:
@@ -273,7 +309,7 @@ def vacuum(spark: SparkSession, base: str, orphan_seconds: float = 86_400) -> in
             left = read_commits(spark, base).select("path")
             rest = st.live_compacted.unionByName(st.manifest.where(F.col("kind") == "folded").join(left, "path", "left_semi").select(*st.manifest.columns))
             publish_manifest(spark, base, st.version, cut_lineage(rest))
-    used = {r[0] for r in dataset_state(spark, base).live_compacted.select(F.regexp_extract("path", r"/compacted/(v=[^/]+)/", 1)).distinct().collect()}
+    used = {r[0] for r in dataset_state(spark, base).live_compacted.select(F.regexp_extract("path", r"/compacted/([^/]+)/", 1)).distinct().collect()}
     old = int((time.time() - orphan_seconds) * 1000)
     for name in fs.list_dirs(spark, f"{root}/compacted"):
         if name not in used and fs.modified_before(spark, f"{root}/compacted/{name}", old):

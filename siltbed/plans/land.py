@@ -6,6 +6,8 @@ Layout under ``base``::
     _commits/_batch_id=<id>/part-*.json     one row per committed file
     _quarantine/_batch_id=<id>/reason=<r>/part-*.parquet
 
+Payload columns of the layout's own names are stored under a prefix (:mod:`siltbed.plans.internal`).
+
 Commit protocol (effectively once): a batch whose commit record exists is already durable
 and is skipped, so a replayed flush (a retried micro-batch) writes nothing twice. Otherwise
 the leftovers of an earlier attempt (one folder) are removed, the rows are appended, and
@@ -27,12 +29,12 @@ from pyspark.sql import functions as F
 
 from siltbed.functions.names import source_folder
 from siltbed.plans import fs
+from siltbed.plans.internal import BATCH_COL, as_stored, stored_name, stored_schema
 from siltbed.session import cut_lineage
 from siltbed.sources.envelope import SOURCE_COL
 
 # Accepted Parquet codecs ("none" = uncompressed).
 CODECS = ("snappy", "gzip", "brotli", "zstd", "lz4", "none", "uncompressed")
-BATCH_COL = "_batch_id"
 FLUSH_TS_COL = "flush_ts"
 COMMIT_SCHEMA = ("path string, length long, flush_ts timestamp, batch_rows long, schema_json string, "
                  "_batch_id string")
@@ -92,12 +94,12 @@ def batch_id_str(opts: LandOptions, seq: int) -> str:
 
 
 def partition_columns(df: DataFrame, opts: LandOptions) -> list[str]:
-    """Configured partition columns that exist; absent ones are skipped."""
-    return [c for c in opts.partition_by if c in df.columns and c not in (SOURCE_COL, BATCH_COL)]
+    """Configured partition columns that exist, by the names they are stored under; absent ones are skipped."""
+    return [stored_name(c) for c in opts.partition_by if stored_name(c) in df.columns and c != SOURCE_COL]
 
 
 def _schema_json(df: DataFrame) -> str:
-    return json.dumps(df.schema.jsonValue(), sort_keys=True)
+    return json.dumps(stored_schema(df.schema).jsonValue(), sort_keys=True)
 
 
 def land(df: DataFrame, opts: LandOptions, *, batch_seq: int | None = None, batch_col: str | None = None,
@@ -116,6 +118,7 @@ def land(df: DataFrame, opts: LandOptions, *, batch_seq: int | None = None, batc
         raise ValueError("give either batch_seq or batch_col")
     spark = df.sparkSession
     check_codec_available(spark, opts.compression)
+    df = as_stored(df, but=(SOURCE_COL, batch_col))
     cols = partition_columns(df, opts)
     src = source_folder(F.col(SOURCE_COL)) if SOURCE_COL in df.columns else F.lit("default")
     out = df.withColumn(SOURCE_COL, src)

@@ -4,7 +4,7 @@ compacted files of the newest manifest.
 Files are grouped by the schema their batch was written with (few distinct schemas);
 each group is read with its own schema and cast to the agreed one, so schema drift
 (added columns, widened types) never breaks a read. Partition columns keep the types
-they had when landed (a ``date`` string stays a string).
+they had when landed (a ``date`` string stays a string). Payload columns get their own names back, whatever the layout calls its.
 """
 
 from __future__ import annotations
@@ -19,14 +19,12 @@ from pyspark.sql import types as T
 
 from siltbed.operators.unions import agreed_schema, union_widened
 from siltbed.plans import fs
-from siltbed.plans.land import BATCH_COL, read_commits
+from siltbed.plans.internal import BATCH_COL, INTERNAL, PERIOD_COL, as_payload
+from siltbed.plans.land import read_commits
 from siltbed.sources.envelope import SOURCE_COL
 
 MANIFEST_SCHEMA = ("path string, length long, kind string, dir string, period_key string, period string, "
                    "schema_json string")
-PERIOD_COL = "_period"
-VERSION_COL = "v"
-INTERNAL = (BATCH_COL, PERIOD_COL, VERSION_COL)
 
 
 @dataclass
@@ -100,7 +98,6 @@ def read_dataset(spark: SparkSession, base: str, include_internal: bool = False)
     """All live rows of the dataset under ``base``."""
     st = dataset_state(spark, base)
     land_dir = f"{base.rstrip('/')}/land"
-    comp_dir = f"{base.rstrip('/')}/compacted"
     by_schema = live_land_paths(st, land_dir)
     schemas = {k: _schema_from_json(k) for k in by_schema}
     all_schemas = list(schemas.values()) or [
@@ -109,19 +106,27 @@ def read_dataset(spark: SparkSession, base: str, include_internal: bool = False)
     for sj, paths in by_schema.items():
         sch = T.StructType(list(schemas[sj].fields) + [T.StructField(BATCH_COL, T.StringType())])
         frames.append(spark.read.schema(sch).option("basePath", land_dir).parquet(*paths))
-    comp_by_schema: dict[str, list[str]] = {}
-    for path, sj in st.live_compacted.select("path", "schema_json").collect():
-        comp_by_schema.setdefault(sj, []).append(path)
-    extra = [T.StructField(VERSION_COL, T.StringType()), T.StructField(PERIOD_COL, T.StringType())]
-    for sj, paths in comp_by_schema.items():
-        cs = _schema_from_json(sj)
+    for rows, cs in compacted_frames(spark, base, st.live_compacted):
         all_schemas = all_schemas + [cs]
-        sch = T.StructType(list(cs.fields) + extra)
-        frames.append(spark.read.schema(sch).option("basePath", comp_dir).parquet(*paths))
+        frames.append(rows)
     if not frames:
         target = agreed_schema(all_schemas) if all_schemas else T.StructType([T.StructField(SOURCE_COL, T.StringType())])
-        return spark.createDataFrame([], target)
+        return as_payload(spark.createDataFrame([], target))
     out = union_widened(frames) if len(frames) > 1 else frames[0]
-    if not include_internal:
-        out = out.drop(*[c for c in INTERNAL if c in out.columns])
+    if include_internal:
+        return out  # beside the layout's columns, payload columns of such names keep their prefix
+    return as_payload(out.drop(*[c for c in INTERNAL if c in out.columns]))
+
+
+def compacted_frames(spark: SparkSession, base: str, files: DataFrame) -> list[tuple[DataFrame, T.StructType]]:
+    """Compacted files (path, schema_json, ...) as a frame for each schema, with ``_period``, and that schema."""
+    by: dict[tuple[str, str], list[str]] = {}
+    for path, sj, kind in files.select("path", "schema_json", F.regexp_extract("path", r"/compacted/([^/=]+)=", 1)).collect():
+        by.setdefault((sj, kind), []).append(path)
+    out = []
+    for (sj, _), paths in by.items():
+        schema = _schema_from_json(sj)
+        rows = (spark.read.schema(T.StructType([*schema.fields, T.StructField(PERIOD_COL, T.StringType())]))
+                .option("basePath", f"{base.rstrip('/')}/compacted").parquet(*paths))
+        out.append((rows.select(*(F.col(f"`{f.name}`") for f in schema.fields), PERIOD_COL), schema))
     return out
