@@ -4,6 +4,8 @@ shared checkpoint location and returns a DataFrame over what it wrote."""
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,6 +13,8 @@ from siltbed.functions.timeparts import with_time_partitions
 from siltbed.operators.decode import decode_arrow_ipc, decode_json, decode_json_inferred, encode_arrow_ipc
 from siltbed.plans import fixtures as fx
 from siltbed.plans.catalog_decode import EVENT_SCHEMA
+from siltbed.plans.compact_dir import compact_dir, list_folder, schemas_of
+from siltbed.plans.flush_dir import flush_files
 from siltbed.plans.compact import CompactOptions, compact, plan as compact_plan, vacuum
 from siltbed.plans.land import LandOptions, land
 from siltbed.plans.read import dataset_state, read_dataset
@@ -289,6 +293,44 @@ def payload_internal_names(spark, sf_dir):
     return read_dataset(spark, opts.base).select(SOURCE_COL, *CLASHING, f"_field_{SOURCE_COL}", F.lit(done).alias("compacted"), F.lit(removed > 0).alias("vacuumed"))
 
 
+@register("merge_dir", """
+SELECT event_type AS _source_id, event_id, CAST(user_id AS VARCHAR) AS user_id,
+       CASE WHEN event_type = 'purchase' THEN 'x' || CAST(event_id AS VARCHAR) END AS extra,
+       CASE WHEN event_type = 'view' OR event_type = 'error' AND day(ts) // 8 % 2 = 1 THEN 'string' ELSE 'bigint' END AS user_id_type,
+       CASE WHEN event_type = 'error' THEN 'schema_conflict' ELSE 'merged' END AS status FROM events""")
+def merge_dir(spark, sf_dir):
+    """Folders of flush files merged in place: one source has other types, one another column, one types that clash between its files."""
+    ev = fx.table(spark, sf_dir, "events")
+    at = F.col("ts").cast("timestamp")
+    rows = ev.select(F.col("event_type").alias(SOURCE_COL), "event_id", "user_id", at.alias("arrival_ts"), F.floor(F.dayofmonth("ts") / 8).cast("long").alias("flush_no"))
+    times = rows.groupBy("flush_no").agg(F.max("arrival_ts").alias("flush_ts"))
+    folder = scratch_path(spark, "merge_dir")
+    kind = F.col(SOURCE_COL)
+    plain = rows.drop("arrival_ts")
+    text = plain.withColumn("user_id", F.col("user_id").cast("string"))
+    mixed = F.col("flush_no") % 2 == 1
+    flush_files(plain.where(kind.isin("click", "signup") | ((kind == "error") & ~mixed)), folder, "flush_no", times)
+    flush_files(text.where((kind == "view") | ((kind == "error") & mixed)), folder, "flush_no", times)
+    flush_files(plain.where(kind == "purchase").withColumn("extra", F.concat(F.lit("x"), F.col("event_id").cast("string"))), folder, "flush_no", times)
+    report = compact_dir(spark, folder, period="month").select(F.col("dir").alias(SOURCE_COL), "status")
+    frames = []
+    for source in ("click", "signup", "view", "purchase"):
+        got = spark.read.parquet(f"{folder}/{source}")  # in the types that are on disk
+        extra = F.col("extra") if "extra" in got.columns else F.lit(None).cast("string")
+        frames.append(got.select(F.lit(source).alias(SOURCE_COL), "event_id", F.col("user_id").cast("string"), extra.alias("extra"), F.typeof("user_id").alias("user_id_type")))
+    # files of types that clash are left as they were: each is read by its own footer
+    by: dict[str, list[str]] = {}
+    for path, schema in schemas_of(list_folder(spark, folder).where("dir = 'error'")).select("path", "schema_json").collect():
+        by.setdefault(schema, []).append(path)
+    for schema, paths in by.items():
+        left = spark.read.schema(T.StructType.fromJson(json.loads(schema))).parquet(*paths)
+        frames.append(left.select(F.lit("error").alias(SOURCE_COL), "event_id", F.col("user_id").cast("string"), F.lit(None).cast("string").alias("extra"), F.typeof("user_id").alias("user_id_type")))
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out.join(report, SOURCE_COL)
+
+
 @register("merge_schema_evolution", """
 SELECT event_type AS _source_id, event_id, CASE WHEN day(ts) > 15 THEN 'x' || CAST(event_id AS VARCHAR) END AS extra,
        true AS compacted FROM events""")

@@ -61,7 +61,7 @@ def _dir_of(path_col: str) -> F.Column:
     return F.regexp_extract(F.col(path_col), r"/(_source_id=.*?)(?:/_period=[^/]+)?/[^/]+$", 1)
 
 
-def _conflicting(schema_jsons: list[str]) -> bool:
+def conflicting(schema_jsons: list[str]) -> bool:
     schemas = [T.StructType.fromJson(json.loads(s)) for s in schema_jsons]
     target = agreed_schema(schemas)
     for s in schemas:
@@ -83,7 +83,7 @@ def plan(spark: SparkSession, base: str, opts: CompactOptions):
                    F.array_sort(F.collect_set("schema_json")).alias("schemas")))
     # distinct schema sets are few; decide conflicts on the driver, map back by a small join
     combos = [r[0] for r in groups.select("schemas").distinct().collect()]
-    bad = [c for c in combos if len(c) > 1 and _conflicting(c)]
+    bad = [c for c in combos if len(c) > 1 and conflicting(c)]
     status = F.when(F.col("n_files") < F.lit(opts.min_files), F.lit("below_min_files"))
     if bad:
         bad_df = spark.createDataFrame([(c,) for c in bad], "schemas array<string>").withColumn("_bad", F.lit(True))
@@ -199,7 +199,7 @@ def _compact(spark: SparkSession, base: str, opts: CompactOptions, st, landed: D
     return report.join(cut_lineage(counts), ["dir", "period_key"], "left").select(*[c.split()[0] for c in REPORT_SCHEMA.split(", ")])
 
 
-def _value_sums(target: T.StructType, have: T.StructType) -> list[F.Column]:
+def value_sums(target: T.StructType, have: T.StructType) -> list[F.Column]:
     """For each column of ``target`` that ``have`` holds: its number of values and the xor of their hashes, as it is cast to the target."""
     out = []
     types = {f.name: f.dataType for f in have.fields}
@@ -212,7 +212,7 @@ def _value_sums(target: T.StructType, have: T.StructType) -> list[F.Column]:
     return out
 
 
-def _added(sums: list[dict], target: T.StructType) -> list[tuple[str, int, int]]:
+def added(sums: list[dict], target: T.StructType) -> list[tuple[str, int, int]]:
     """(column, number of values, checksum) over several frames."""
     out = []
     for i, f in enumerate(target.fields):
@@ -231,7 +231,7 @@ def _rewrite(spark: SparkSession, opts: CompactOptions, in_land: DataFrame, old_
     def take(rows: DataFrame, schema: T.StructType) -> DataFrame:
         # what a file holds is observed on the read itself, before anything is joined, dropped, cast or filled
         observed.append((Observation(), rows, schema))
-        return rows.observe(observed[-1][0], total, *_value_sums(target, schema))
+        return rows.observe(observed[-1][0], total, *value_sums(target, schema))
 
     batch_period = in_land.select(BATCH_COL, F.col("period_key").alias(PERIOD_COL)).distinct()
     for sj, paths in _paths_by(in_land, "schema_json").items():
@@ -254,19 +254,19 @@ def _rewrite(spark: SparkSession, opts: CompactOptions, in_land: DataFrame, old_
         writer = writer.option("maxRecordsPerFile", per_file)
     writer.partitionBy(*part_cols, PERIOD_COL).parquet(out_dir)
     back = spark.read.schema(target).option("basePath", out_dir).parquet(out_dir)
-    wrote = back.agg(total, *_value_sums(target, target)).first().asDict()
+    wrote = back.agg(total, *value_sums(target, target)).first().asDict()
     read = [o.get for o, _, _ in observed]
-    if _differences(read, wrote, target):  # a task that ran twice counts twice in what is observed: read it again, exactly
-        read = [rows.agg(total, *_value_sums(target, schema)).first().asDict() for _, rows, schema in observed]
-    differ = _differences(read, wrote, target)
+    if differences(read, wrote, target):  # a task that ran twice counts twice in what is observed: read it again, exactly
+        read = [rows.agg(total, *value_sums(target, schema)).first().asDict() for _, rows, schema in observed]
+    differ = differences(read, wrote, target)
     if differ or in_rows != wrote["rows"]:
         raise RuntimeError(f"compaction: {in_rows} rows in the files; what the new files do not hold as it was read, by column (values, checksum): {differ}; not published")
 
 
-def _differences(read: list[dict], wrote: dict, target: T.StructType) -> list[str]:
+def differences(read: list[dict], wrote: dict, target: T.StructType) -> list[str]:
     rows = sum(int(s.get("rows") or 0) for s in read)
     out = [] if rows == wrote["rows"] else [f"{rows} rows read, {wrote['rows']} written"]
-    return out + [f"{name}: {was} read, {now} written" for (name, *was), (_, *now) in zip(_added(read, target), _added([wrote], target)) if was != now]
+    return out + [f"{name}: {was} read, {now} written" for (name, *was), (_, *now) in zip(added(read, target), added([wrote], target)) if was != now]
 
 
 def _partition_cols(dirs: list[str]) -> list[str]:

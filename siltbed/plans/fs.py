@@ -113,3 +113,10 @@ def rename(spark: SparkSession, path: str, target: str) -> None:
     to = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
     if not fs.rename(p, to):
         raise OSError(f"could not move {path} to {target}")
+
+
+def move(spark: SparkSession, path: str, target: str) -> None:
+    """Move a file to a place whose folder may not be there yet."""
+    fs, p = _fs(spark, target)
+    fs.mkdirs(p.getParent())
+    rename(spark, path, target)
