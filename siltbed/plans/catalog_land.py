@@ -389,6 +389,41 @@ def one_shot_drain(spark, sf_dir):
     return read_dataset(spark, opts.base).groupBy(SOURCE_COL).agg(F.count(F.lit(1)).alias("n_events"))
 
 
+@register("json_per_source", """
+SELECT event_type AS _source_id, event_id, CASE event_type WHEN 'click' THEN 'bigint' WHEN 'view' THEN 'struct<k:bigint>' WHEN 'error' THEN 'double' ELSE 'string' END AS q_type,
+       CASE event_type WHEN 'click' THEN CAST(user_id AS VARCHAR) WHEN 'view' THEN '{"k":' || CAST(user_id AS VARCHAR) || '}'
+            WHEN 'error' THEN CAST(user_id + 0.5 AS VARCHAR) ELSE 'u' || CAST(user_id AS VARCHAR) END AS q,
+       CASE WHEN event_type = 'signup' AND event_id % 2 = 0 THEN event_id END AS late FROM events""")
+def json_per_source(spark, sf_dir):
+    """A stream whose sources disagree on a key's type, landed with inferred schemas, merged and read source by source."""
+    ev = fx.table(spark, sf_dir, "events")
+    kind, q = F.col("event_type"), F.col("user_id").cast("string")
+    q = (F.when(kind == "click", q).when(kind == "view", F.concat(F.lit('{"k":'), q, F.lit("}")))
+         .when(kind == "error", F.concat(q, F.lit(".5"))).otherwise(F.concat(F.lit('"u'), q, F.lit('"'))))
+    late = F.when((kind == "signup") & (F.col("event_id") % 2 == 0), F.concat(F.lit(', "late": '), "event_id")).otherwise(F.lit(""))
+    value = F.concat(F.lit('{"event_id": '), "event_id", F.lit(', "q": '), q, late, F.lit("}"))
+    env = fx.events_envelope(spark, sf_dir).drop("value").join(ev.select(F.col("event_id").alias("offset"), value.cast("binary").alias("value")), "offset").select(*ENVELOPE.names)
+    src = scratch_path(spark, "json_per_source", "envelope")
+    env.repartitionByRange(4, "offset").write.parquet(src)
+    opts = LandOptions(base=scratch_path(spark, "json_per_source", "lake"), query="json_per_source")
+    sopts = StreamOptions(checkpoint=scratch_path(spark, "json_per_source", "checkpoint"), trigger={"availableNow": True})
+    q = start_landing(spark.readStream.schema(ENVELOPE).option("maxFilesPerTrigger", 2).parquet(src), opts, sopts)
+    q.awaitTermination()
+    if q.exception():
+        raise RuntimeError(str(q.exception()))
+    compact(spark, opts.base, CompactOptions(period="month", min_files=2))
+    frames = []
+    for (source,) in ev.select("event_type").distinct().collect():
+        got = read_dataset(spark, opts.base, sources=[source])
+        value = F.to_json("q") if isinstance(got.schema["q"].dataType, T.StructType) else F.col("q").cast("string")
+        late = F.col("late") if "late" in got.columns else F.lit(None).cast("long")
+        frames.append(got.select(SOURCE_COL, "event_id", F.typeof("q").alias("q_type"), value.alias("q"), late.alias("late")))
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
 @register("merge_on_flush", MERGED_SQL)
 def merge_on_flush(spark, sf_dir):
     opts = _stream_land(spark, sf_dir, "merge_on_flush", compact_every=2)

@@ -24,6 +24,7 @@ import datetime
 import json
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -102,10 +103,11 @@ def _schema_json(df: DataFrame) -> str:
     return json.dumps(stored_schema(df.schema).jsonValue(), sort_keys=True)
 
 
-def land(df: DataFrame, opts: LandOptions, *, batch_seq: int | None = None, batch_col: str | None = None,
+def land(df: DataFrame | list[DataFrame], opts: LandOptions, *, batch_seq: int | None = None, batch_col: str | None = None,
          flush_ts: Column | None = None, batches: DataFrame | None = None, replace: bool = False) -> DataFrame:
     """Write ``df`` (decoded rows with ``_source_id``) and commit it; returns this write's commit rows.
 
+    One batch may have several frames, of sources whose rows differ in schema: each is written in its own, one commit covers all.
     Exactly one of ``batch_seq`` (one batch) or ``batch_col`` (a column numbering many batches).
     ``flush_ts`` (many batches only): per-row time whose max per batch is that batch's flush time.
     ``batches`` (many batches only): the batch plan, columns (``batch_col``, ``flush_ts``), made
@@ -116,20 +118,20 @@ def land(df: DataFrame, opts: LandOptions, *, batch_seq: int | None = None, batc
     """
     if (batch_seq is None) == (batch_col is None):
         raise ValueError("give either batch_seq or batch_col")
-    spark = df.sparkSession
+    frames = df if isinstance(df, list) else [df]
+    if len(frames) != 1 and batch_seq is None:
+        raise ValueError("several frames can only be landed as one batch")
+    spark = frames[0].sparkSession
     check_codec_available(spark, opts.compression)
-    df = as_stored(df, but=(SOURCE_COL, batch_col))
-    cols = partition_columns(df, opts)
-    src = source_folder(F.col(SOURCE_COL)) if SOURCE_COL in df.columns else F.lit("default")
-    out = df.withColumn(SOURCE_COL, src)
-    schema_json = _schema_json(out.drop(batch_col) if batch_col else out)
+    frames = [_tagged(as_stored(f, but=(SOURCE_COL, batch_col))) for f in frames]
+    out = frames[0]
 
     if batch_seq is not None:
         bid = batch_id_str(opts, batch_seq)
         if not replace and bid in done_batches(spark, opts, [bid]):
             return read_commits(spark, opts.base, bid)  # already durable
         batch_ids = [bid]
-        data = out.withColumn(BATCH_COL, F.lit(bid))
+        writes = [f.withColumn(BATCH_COL, F.lit(bid)) for f in frames]
     else:
         data = out.withColumn(BATCH_COL, batch_id_col(opts, F.col(batch_col)))
         if batches is not None:
@@ -150,7 +152,7 @@ def land(df: DataFrame, opts: LandOptions, *, batch_seq: int | None = None, batc
             data = data.where(F.col(BATCH_COL).isNull() | ~F.col(BATCH_COL).isin(sorted(done)))
             flushes = flushes.where(~F.col(BATCH_COL).isin(sorted(done)))
             batch_ids = [b for b in batch_ids if b not in done]
-        data = data.drop(batch_col)
+        writes = [data.drop(batch_col)]
 
     # leftovers of a failed attempt (or the replaced batch): commit record first, then data
     for root in (opts.commits_dir, opts.land_dir):
@@ -158,19 +160,18 @@ def land(df: DataFrame, opts: LandOptions, *, batch_seq: int | None = None, batc
             fs.delete(spark, f"{root}/{name}")
     if not batch_ids:
         return spark.createDataFrame([], COMMIT_SCHEMA)
-    obs = Observation()
-    data = data.observe(obs, F.count(F.lit(1)).alias("rows"))
-
-    part_cols = [BATCH_COL, SOURCE_COL, *cols]
     spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")  # whatever the session had
-    # rebalance: AQE splits a hot (source, partition) into several tasks and merges small ones
-    writer = (data.hint("rebalance", *part_cols).write.mode("append")
-              .option("compression", opts.compression)
-              .option("parquet.enable.dictionary", str(opts.dictionary).lower()))
-    if opts.max_records_per_file:
-        writer = writer.option("maxRecordsPerFile", int(opts.max_records_per_file))
-    writer.partitionBy(*part_cols).parquet(opts.land_dir)
-    rows_in = int(obs.get.get("rows", 0))
+    rows_in, files = 0, None
+    for data in writes:
+        rows_in += _append(data, opts)
+        now_there = written_files(spark, opts, batch_ids)
+        if now_there is None:
+            continue
+        # the files of this frame are those that weren't there before
+        schema_json = _schema_json(data.drop(BATCH_COL))
+        mine = now_there if files is None else now_there.join(files.select("path"), "path", "left_anti")
+        mine = mine.withColumn("schema_json", F.lit(schema_json))
+        files = cut_lineage(mine if files is None else files.unionByName(mine)) if len(writes) > 1 else mine
 
     if batch_seq is not None:
         now = datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None)
@@ -179,14 +180,13 @@ def land(df: DataFrame, opts: LandOptions, *, batch_seq: int | None = None, batc
             .withColumn(FLUSH_TS_COL, F.col(FLUSH_TS_COL).cast("timestamp"))
 
     # nothing is committed unless the files of the planned batches hold every row (footers only)
-    files = written_files(spark, opts, batch_ids)
     rows_out = 0 if files is None else spark.read.schema("_nothing int").option("basePath", opts.land_dir).parquet(*_batch_dirs(spark, opts, batch_ids)).count()
     if rows_out != rows_in:
         fs.delete(spark, f"{opts.land_dir}/{BATCH_COL}=__HIVE_DEFAULT_PARTITION__")
         raise RuntimeError(f"{rows_in} rows written but {rows_out} in the planned batches: rows lack a batch of the plan; nothing was committed")
     if files is None:
         return spark.createDataFrame([], COMMIT_SCHEMA)
-    commits = (files.join(flushes, BATCH_COL).withColumn("schema_json", F.lit(schema_json))
+    commits = (files.join(flushes, BATCH_COL)
                .select(*[c.split()[0] for c in COMMIT_SCHEMA.split(", ")]))
     commits.write.mode("append").partitionBy(BATCH_COL).json(opts.commits_dir)
     if batch_seq is not None:
@@ -194,6 +194,28 @@ def land(df: DataFrame, opts: LandOptions, *, batch_seq: int | None = None, batc
     return read_commits(spark, opts.base).join(flushes.select(BATCH_COL), BATCH_COL, "left_semi")
 
 
+def _tagged(df: DataFrame) -> DataFrame:
+    src = source_folder(F.col(SOURCE_COL)) if SOURCE_COL in df.columns else F.lit("default")
+    return df.withColumn(SOURCE_COL, src)
+
+
+def _append(data: DataFrame, opts: LandOptions) -> int:
+    """Write rows (with their batch id) below the land folder; returns how many there were."""
+    obs = Observation()
+    part_cols = [BATCH_COL, SOURCE_COL, *partition_columns(data, opts)]
+    # rebalance: AQE splits a hot (source, partition) into several tasks and merges small ones
+    writer = (data.observe(obs, F.count(F.lit(1)).alias("rows")).hint("rebalance", *part_cols).write.mode("append")
+              .option("compression", opts.compression)
+              .option("parquet.enable.dictionary", str(opts.dictionary).lower()))
+    if opts.max_records_per_file:
+        writer = writer.option("maxRecordsPerFile", int(opts.max_records_per_file))
+    writer.partitionBy(*part_cols).parquet(opts.land_dir)
+    try:
+        return int(obs.get.get("rows", 0))
+    except Py4JJavaError:  # a plan that the optimizer found to be empty observes nothing
+        return data.count()
+
+
 def _existing(spark, root: str, batch_ids: list[str], chunk: int = 500) -> set[str]:
     """Folder names ``_batch_id=<id>`` under ``root`` among the given ids (one glob per chunk)."""
     found: set[str] = set()

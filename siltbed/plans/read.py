@@ -21,6 +21,7 @@ from siltbed.operators.unions import agreed_schema, union_widened
 from siltbed.plans import fs
 from siltbed.plans.internal import BATCH_COL, INTERNAL, PERIOD_COL, as_payload
 from siltbed.plans.land import read_commits
+from siltbed.plans.swap import folder_value
 from siltbed.sources.envelope import SOURCE_COL
 
 MANIFEST_SCHEMA = ("path string, length long, kind string, dir string, period_key string, period string, "
@@ -76,17 +77,29 @@ def dataset_state(spark: SparkSession, base: str) -> DatasetState:
 
 
 def live_land_paths(st: DatasetState, land_dir: str) -> dict[str, list[str]]:
-    """Paths to read per batch schema: a batch folder when all its committed files are live,
-    its live files one by one when compaction folded only part of it (bounded by batch count)."""
-    per_batch = st.commits.groupBy(BATCH_COL, "schema_json").agg(F.count(F.lit(1)).alias("n_all"))
-    live = st.live_land.groupBy(BATCH_COL).agg(F.count(F.lit(1)).alias("n_live"))
-    joined = per_batch.join(live, BATCH_COL, "left").fillna(0, ["n_live"])
+    """Paths to read per schema: a batch folder when all its committed files are live and of one schema, else a source folder of the batch
+    likewise, else its live files one by one."""
+    files = st.commits.select(BATCH_COL, "path", "schema_json", F.regexp_extract("path", rf"/({BATCH_COL}=[^/]+/{SOURCE_COL}=[^/]+)/", 1).alias("unit"))
+    files = files.join(st.live_land.select("path", F.lit(1).alias("live")), "path", "left")
+
+    def whole(by: str) -> DataFrame:
+        return files.groupBy(by).agg(F.count(F.lit(1)).alias("n"), F.count("live").alias("n_live"), F.count_distinct("schema_json").alias("schemas"), F.min("schema_json").alias("schema"))
+
     out: dict[str, list[str]] = {}
-    for r in joined.where(F.col("n_live") == F.col("n_all")).select(BATCH_COL, "schema_json").collect():
-        out.setdefault(r[1], []).append(f"{land_dir}/{BATCH_COL}={r[0]}")
-    partial = joined.where((F.col("n_live") > 0) & (F.col("n_live") < F.col("n_all"))).select(BATCH_COL)
-    for r in st.live_land.join(partial, BATCH_COL, "left_semi").select("schema_json", "path").collect():
-        out.setdefault(r[0], []).append(r[1])
+    batches = whole(BATCH_COL)
+    full = (F.col("n") == F.col("n_live")) & (F.col("schemas") == 1)
+    for sj, batch in batches.where(full).select("schema", BATCH_COL).collect():
+        out.setdefault(sj, []).append(f"{land_dir}/{BATCH_COL}={batch}")
+    rest = batches.where(~full & (F.col("n_live") > 0)).select(BATCH_COL)
+    if rest.isEmpty():
+        return out
+    files = files.join(rest, BATCH_COL, "left_semi")
+    units = whole("unit")
+    for sj, unit in units.where(full).select("schema", "unit").collect():
+        out.setdefault(sj, []).append(f"{land_dir}/{unit}")
+    single = files.join(units.where(~full).select("unit"), "unit", "left_semi").where("live is not null")
+    for sj, path in single.select("schema_json", "path").collect():
+        out.setdefault(sj, []).append(path)
     return out
 
 
@@ -94,9 +107,12 @@ def _schema_from_json(s: str) -> T.StructType:
     return T.StructType.fromJson(json.loads(s))
 
 
-def read_dataset(spark: SparkSession, base: str, include_internal: bool = False) -> DataFrame:
-    """All live rows of the dataset under ``base``."""
+def read_dataset(spark: SparkSession, base: str, include_internal: bool = False, sources: list[str] | None = None) -> DataFrame:
+    """All live rows of the dataset under ``base``, or those of some sources, in the types that these agree on."""
     st = dataset_state(spark, base)
+    if sources is not None:
+        own = lambda df: df.where(folder_value("path", SOURCE_COL).isin(sources))
+        st = DatasetState(st.base, st.version, own(st.commits), own(st.live_land), own(st.manifest))
     land_dir = f"{base.rstrip('/')}/land"
     by_schema = live_land_paths(st, land_dir)
     schemas = {k: _schema_from_json(k) for k in by_schema}
@@ -113,6 +129,8 @@ def read_dataset(spark: SparkSession, base: str, include_internal: bool = False)
         target = agreed_schema(all_schemas) if all_schemas else T.StructType([T.StructField(SOURCE_COL, T.StringType())])
         return as_payload(spark.createDataFrame([], target))
     out = union_widened(frames) if len(frames) > 1 else frames[0]
+    if sources is not None:  # a batch folder holds others, too
+        out = out.where(F.col(SOURCE_COL).isin(sources))
     if include_internal:
         return out  # beside the layout's columns, payload columns of such names keep their prefix
     return as_payload(out.drop(*[c for c in INTERNAL if c in out.columns]))

@@ -4,8 +4,9 @@
 * the micro-batch is persisted while it is read several times, then released.
 * batch ids come from the checkpoint: a replayed micro-batch that is already committed is skipped. Bad rows are
   written before the commit record, replacing an earlier attempt's, so a committed batch has both.
-* the JSON schema is declared, or inferred: each micro-batch is inferred in one pass, and what is new in it widens the
-  schema kept beside the checkpoint. A key first seen late, or null until then, gets its column and type.
+* the JSON schema is declared, or inferred for each source by itself: a micro-batch is inferred in one pass, a schema per source, and
+  what is new widens that source's schema in the registry beside the checkpoint. A key first seen late, or null until then, gets
+  its column and type; another source's types don't matter. Sources of equal schema are decoded and written together; one commit covers all.
 * empty micro-batches write nothing.
 """
 
@@ -13,16 +14,19 @@ from __future__ import annotations
 
 import json
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltbed.operators.decode import check_format, check_policy, decode_arrow_ipc, decode_json, infer_json_schema
+from siltbed.functions.timeparts import with_time_partitions
+from siltbed.operators.decode import check_format, check_policy, decode_arrow_ipc, decode_json, infer_json_schemas
 from siltbed.operators.unions import agreed_schema
 from siltbed.plans import fs
 from siltbed.plans.compact import CompactOptions, compact
 from siltbed.plans.land import LandOptions, batch_id_str, done_batches, land, land_quarantine
-from siltbed.sources.envelope import with_source
+from siltbed.sources.envelope import source_id, with_source
 
 SIDE_CAR = "_pinned_schema"
 
@@ -43,21 +47,34 @@ class StreamOptions:
 
 
 SCHEMAS = "schema="
+UNTAGGED = ""  # the registry's key of messages without a source
 
 
 def _schema_dir(checkpoint: str) -> str:
     return f"{checkpoint.rstrip('/')}/{SIDE_CAR}"
 
 
-def pinned_schema(spark: SparkSession, checkpoint: str) -> T.StructType | None:
+def registry(spark: SparkSession, checkpoint: str) -> dict[str, T.StructType]:
+    """The schema of each source seen so far. A registry of before sources were told apart has one schema, for all: key ``*``."""
     text = fs.newest(spark, _schema_dir(checkpoint), SCHEMAS)[1]
-    return T.StructType.fromJson(json.loads(text)) if text else None
+    kept = json.loads(text) if text else {}
+    if "fields" in kept:
+        kept = {"sources": {"*": kept}}
+    return {k: T.StructType.fromJson(v) for k, v in kept.get("sources", {}).items()}
 
 
-def pin_schema(spark: SparkSession, checkpoint: str, schema: T.StructType) -> None:
-    """Keep ``schema`` as the newest; earlier ones stay."""
+def pinned_schema(spark: SparkSession, checkpoint: str, source: str | None = None) -> T.StructType | None:
+    """The registered schema of a source, or what all of them agree on; None before the first."""
+    known = registry(spark, checkpoint)
+    if source is not None:
+        return known.get(source, known.get("*"))
+    return agreed_schema(list(known.values())) if known else None
+
+
+def pin_schemas(spark: SparkSession, checkpoint: str, schemas: dict[str, T.StructType]) -> None:
+    """Keep the registry as the newest; earlier ones stay."""
     n = fs.newest(spark, _schema_dir(checkpoint), SCHEMAS)[0]
-    fs.publish(spark, _schema_dir(checkpoint), SCHEMAS, n, json.dumps(schema.jsonValue()))
+    fs.publish(spark, _schema_dir(checkpoint), SCHEMAS, n, json.dumps({"sources": {k: v.jsonValue() for k, v in sorted(schemas.items())}}))
 
 
 def widened_schema(known: T.StructType | None, seen: T.StructType) -> T.StructType:
@@ -65,6 +82,25 @@ def widened_schema(known: T.StructType | None, seen: T.StructType) -> T.StructTy
     return agreed_schema([s for s in (known, seen) if s is not None])
 
 
+def schemas_by_source(batch: DataFrame, checkpoint: str) -> list[tuple[Column, T.StructType]]:
+    """(condition on the source, schema): the batch's sources by their registered schema, widened by what the batch brings; last, the
+    sources that have no JSON object in this batch, and so bad rows only."""
+    spark = batch.sparkSession
+    known = registry(spark, checkpoint)
+    seen = {source or UNTAGGED: schema for source, schema in infer_json_schemas(batch).items()}
+    now = known | {source: widened_schema(known.get(source, known.get("*")), schema) for source, schema in seen.items()}
+    if now != known:
+        pin_schemas(spark, checkpoint, now)
+    by: dict[str, list[str]] = {}
+    for source, schema in now.items():
+        if source != "*":
+            by.setdefault(json.dumps(schema.jsonValue()), []).append(source)
+    tag = F.coalesce(source_id(), F.lit(UNTAGGED))
+    groups = [(tag.isin(sources), T.StructType.fromJson(json.loads(schema))) for schema, sources in by.items() if set(sources) & set(seen)]
+    others = ~tag.isin(list(seen)) if seen else F.lit(True)
+    return [*groups, (others, now.get("*", T.StructType([])))]
+
+
 def make_batch_writer(land_opts: LandOptions, sopts: StreamOptions, schema: T.StructType | None):
     if sopts.value_format == "arrow_ipc" and schema is None:
         raise ValueError("arrow_ipc payloads need a declared schema")
@@ -79,22 +115,22 @@ def make_batch_writer(land_opts: LandOptions, sopts: StreamOptions, schema: T.St
         try:
             if batch.isEmpty():
                 return
-            use = schema
-            if use is None:
-                known = pinned_schema(spark, sopts.checkpoint)
-                use = widened_schema(known, infer_json_schema(batch))
-                if use != known:
-                    pin_schema(spark, sopts.checkpoint, use)
-            if sopts.value_format == "arrow_ipc":
-                decoded = decode_arrow_ipc(with_source(batch), use, sopts.policy)
-            else:
-                decoded = decode_json(with_source(batch), use, sopts.policy)
-            good = decoded.good
-            if sopts.time_partitions_from:
-                from siltbed.functions.timeparts import with_time_partitions
-                good = with_time_partitions(good, sopts.time_partitions_from)
-            if sopts.policy == "log" and not decoded.quarantine.isEmpty():
-                land_quarantine(decoded.quarantine, land_opts, batch_seq=epoch_id)
+            tagged = with_source(batch)
+            parts = [(F.lit(True), schema)] if schema is not None else schemas_by_source(batch, sopts.checkpoint)
+            good, bad = [], []
+            for k, (mine, use) in enumerate(parts):
+                rows = tagged.where(mine)
+                decoded = decode_arrow_ipc(rows, use, sopts.policy) if sopts.value_format == "arrow_ipc" else decode_json(rows, use, sopts.policy)
+                bad.append(decoded.quarantine)
+                if k and k == len(parts) - 1:
+                    continue  # bad rows only
+                if sopts.time_partitions_from and sopts.time_partitions_from in decoded.good.columns:
+                    good.append(with_time_partitions(decoded.good, sopts.time_partitions_from))
+                else:
+                    good.append(decoded.good)
+            bad = reduce(DataFrame.unionByName, bad)
+            if sopts.policy == "log" and not bad.isEmpty():
+                land_quarantine(bad, land_opts, batch_seq=epoch_id)
             land(good, land_opts, batch_seq=epoch_id)
             state["n"] += 1
             if sopts.compact_every and state["n"] % sopts.compact_every == 0:
