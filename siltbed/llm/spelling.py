@@ -235,10 +235,12 @@ def near_in_list(words: DataFrame, backwards: bool, block_words: int, visits: in
             yield pa.RecordBatch.from_arrays([got.column("key"), got.column("n"), pa.array(to, pa.int32())], ["key", "n", "block"])
 
     visitors = materialize(listed.select("key", "n").mapInArrow(visit, "key string, n long, block int"), "spelling-visits")
-    shares = visitors.groupBy("block").agg(F.ceil(F.count("*") / visits).cast("int").alias("shares"))
+    shares = materialize(visitors.groupBy("block").agg(F.ceil(F.count("*") / visits).cast("int").alias("shares")), "spelling-shares")
     asked = visitors.join(shares, "block").select("block", F.pmod(F.xxhash64("key"), F.col("shares")).cast("int").alias("share"), F.lit(1).alias("asks"), "key", "n")
     known = listed.join(shares, "block").select("block", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), F.lit(0).alias("asks"), "key", "n")
-    both = known.unionByName(asked).repartition("block", "share").sortWithinPartitions("block", "share", "asks", "key")
+    # the rows are small, their search is not: a task for each block and share, on average
+    tasks = shares.agg(F.sum("shares")).first()[0] or 1
+    both = known.unionByName(asked).repartition(tasks, "block", "share").sortWithinPartitions("block", "share", "asks", "key")
 
     def search(batches):
         """Rows come by (block, share), the block's words before those that visit it."""
