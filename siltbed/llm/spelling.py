@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from siltbed.llm.common import materialize
 
-RUN = re.compile("[A-Za-zÀ-ÿ]+")
+LETTERS = "[A-Za-zÀ-ÿ]"
 LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 TYPO_MODULUS = 199
 MIN_LENGTH, MIN_COUNT, RATIO = 6, 5, 5
@@ -50,16 +50,20 @@ LONG = 1 << 20            # code points from which a text's runs are counted in
 # ---- vocabulary -----------------------------------------------------------------------------------
 
 def text_words(doc_id, text: str, typos: int | None, min_length: int) -> Counter:
-    """Counts of a text's words: its runs in lower case (A-Z), with a code point left out where the hash of id and run says so."""
+    """Counts of a text's words: its runs in lower case (A-Z), with a code point left out where the hash of id and run says so.
+
+    A match of at least ``min_length`` letters is a whole run: it begins where the run does and takes all of it. Shorter runs give no word.
+    """
+    pattern = re.compile(f"{LETTERS}{{{min_length},}}")
     if len(text) < LONG:
-        runs = Counter(RUN.findall(text))
+        runs = Counter(pattern.findall(text))
     else:
-        runs, found = Counter(), (m.group() for m in RUN.finditer(text))
+        runs, found = Counter(), (m.group() for m in pattern.finditer(text))
         while part := list(islice(found, HELD)):
             runs.update(part)
     words: Counter = Counter()
     for run, n in runs.items():
-        words[run.translate(LOWER)] += n
+        words[run.lower() if run.isascii() else run.translate(LOWER)] += n
     out: Counter = Counter()
     head = zlib.crc32(f"{'' if doc_id is None else doc_id}:".encode())
     for word, n in words.items():
@@ -238,8 +242,8 @@ def near_in_list(words: DataFrame, backwards: bool, block_words: int, visits: in
     shares = materialize(visitors.groupBy("block").agg(F.ceil(F.count("*") / visits).cast("int").alias("shares")), "spelling-shares")
     asked = visitors.join(shares, "block").select("block", F.pmod(F.xxhash64("key"), F.col("shares")).cast("int").alias("share"), F.lit(1).alias("asks"), "key", "n")
     known = listed.join(shares, "block").select("block", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), F.lit(0).alias("asks"), "key", "n")
-    # the rows are small, their search is not: a task for each block and share, on average
-    tasks = shares.agg(F.sum("shares")).first()[0] or 1
+    # the rows are small, their search is not: a task for two blocks or shares, on average
+    tasks = -(-(shares.agg(F.sum("shares")).first()[0] or 1) // 2)
     both = known.unionByName(asked).repartition(tasks, "block", "share").sortWithinPartitions("block", "share", "asks", "key")
 
     def search(batches):
