@@ -13,12 +13,14 @@
 from __future__ import annotations
 
 import json
+import time
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.utils import StreamingQueryException
 
 from siltbed.functions.timeparts import with_time_partitions
 from siltbed.operators.decode import check_format, check_policy, decode_arrow_ipc, decode_json, infer_json_schemas
@@ -27,6 +29,7 @@ from siltbed.plans import fs
 from siltbed.plans.compact import CompactOptions, compact
 from siltbed.plans.land import LandOptions, batch_id_str, done_batches, land, land_quarantine
 from siltbed.sources.envelope import source_id, with_source
+from siltbed.streaming.progress import count_batch, counts, totals
 
 SIDE_CAR = "_pinned_schema"
 
@@ -40,6 +43,7 @@ class StreamOptions:
     compact: CompactOptions | None = None
     time_partitions_from: str | None = None   # event-time column for date/hour partitions
     value_format: str = "json"                # or "arrow_ipc" (then the schema must be declared)
+    max_batches: int = 0                      # end the run after so many non-empty batches (0: none); a next run goes on exactly there
 
     def __post_init__(self):
         check_format(self.value_format)
@@ -47,6 +51,7 @@ class StreamOptions:
 
 
 SCHEMAS = "schema="
+ENOUGH = "landing has reached max_batches"
 UNTAGGED = ""  # the registry's key of messages without a source
 
 
@@ -104,17 +109,24 @@ def schemas_by_source(batch: DataFrame, checkpoint: str) -> list[tuple[Column, T
 def make_batch_writer(land_opts: LandOptions, sopts: StreamOptions, schema: T.StructType | None):
     if sopts.value_format == "arrow_ipc" and schema is None:
         raise ValueError("arrow_ipc payloads need a declared schema")
-    state = {"n": 0}
+    state = {"n": 0, "before": None}
 
     def write(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         bid = batch_id_str(land_opts, epoch_id)
-        if bid in done_batches(spark, land_opts, [bid]):
-            return  # a replay of a batch that is durable
+        if state["before"] is None:
+            state["before"] = counts(spark, sopts.checkpoint)["batches"]
+        if bid in done_batches(spark, land_opts, [bid]):  # a replay of a batch that is durable
+            if epoch_id > counts(spark, sopts.checkpoint)["last"]:  # and died before it was counted
+                count_batch(spark, sopts.checkpoint, epoch_id, batch.count())
+            return
         batch = batch.persist()
         try:
-            if batch.isEmpty():
+            n_rows = batch.count()
+            if not n_rows:
                 return
+            if sopts.max_batches and counts(spark, sopts.checkpoint)["batches"] - state["before"] >= sopts.max_batches:
+                raise RuntimeError(ENOUGH)  # this batch is planned, not landed: the next run begins with it
             tagged = with_source(batch)
             parts = [(F.lit(True), schema)] if schema is not None else schemas_by_source(batch, sopts.checkpoint)
             good, bad = [], []
@@ -132,6 +144,7 @@ def make_batch_writer(land_opts: LandOptions, sopts: StreamOptions, schema: T.St
             if sopts.policy == "log" and not bad.isEmpty():
                 land_quarantine(bad, land_opts, batch_seq=epoch_id)
             land(good, land_opts, batch_seq=epoch_id)
+            count_batch(spark, sopts.checkpoint, epoch_id, n_rows)
             state["n"] += 1
             if sopts.compact_every and state["n"] % sopts.compact_every == 0:
                 compact(spark, land_opts.base, sopts.compact or CompactOptions())
@@ -148,19 +161,34 @@ def start_landing(stream: DataFrame, land_opts: LandOptions, sopts: StreamOption
          .option("checkpointLocation", sopts.checkpoint).trigger(**sopts.trigger))
     if query_name:
         w = w.queryName(query_name)
-    return w.start()
+    spark = stream.sparkSession
+    before = counts(spark, sopts.checkpoint)
+    query = w.start()
+
+    def since_start() -> dict:
+        now = counts(spark, sopts.checkpoint)
+        return {k: now[k] - before[k] for k in ("batches", "rows")}
+
+    query.siltbed_totals = since_start
+    return query
+
+
+def await_landing(query, timeout_s: float | None = None) -> dict:
+    """Wait for a landing's end and return its totals; reaching ``max_batches`` is an end, any other failure is raised."""
+    try:
+        query.awaitTermination(timeout_s)
+    except StreamingQueryException as e:
+        if ENOUGH not in str(e):
+            raise
+    return totals(query)
 
 
 def stop_after_batches(query, max_batches: int, timeout_s: float = 3600.0, poll_s: float = 0.5) -> int:
     """Stop a running query once ``max_batches`` non-empty micro-batches have finished (0 = run on).
 
-    Safe to stop early: a batch whose offsets were planned but not committed is replayed on
+    It looks from outside, so a batch more may have been landed; ``StreamOptions.max_batches`` is exact. Safe to stop early: a batch whose offsets were planned but not committed is replayed on
     restart, and its landing is idempotent. Returns the number of non-empty batches seen.
     """
-    import time
-
-    from siltbed.streaming.progress import totals
-
     if not max_batches:
         query.awaitTermination(timeout_s)
         return totals(query)["batches"]

@@ -12,13 +12,12 @@ from siltbed.plans.land import LandOptions
 from siltbed.sources import redis
 from siltbed.sources.dispatch import open_source
 from siltbed.sources.kafka import KafkaSourceOptions, trigger_for
-from siltbed.streaming.landing import StreamOptions, start_landing, stop_after_batches
-from siltbed.streaming.progress import totals
+from siltbed.streaming.landing import StreamOptions, await_landing, start_landing
 
 
 @dataclass
 class RunOptions:
-    """once: land what is there when the run begins, then end; else go on until stopped. max_batches: end after so many flushes (0: none)."""
+    """once: land what is there when the run begins, then end; else go on until stopped. max_batches: end after exactly so many flushes (0: none)."""
 
     once: bool = False
     flush_interval_seconds: int | None = None
@@ -47,18 +46,14 @@ def start(spark: SparkSession, kind: str, options: dict, land_opts: LandOptions,
 
 def land_source(spark: SparkSession, kind: str, options: dict, land_opts: LandOptions, sopts: StreamOptions, run: RunOptions, schema: T.StructType | None = None) -> dict:
     """Land a source to the end of the run; returns its totals. A failure of the query is raised, and nothing of the failed batch is acknowledged."""
+    sopts.max_batches = run.max_batches
     q = start(spark, kind, options, land_opts, sopts, run, schema)
-    if run.max_batches:
-        stop_after_batches(q, run.max_batches, run.timeout_s)
-    else:
-        q.awaitTermination(None if not run.once else run.timeout_s)
-    if q.exception() is not None:
-        raise RuntimeError(f"landing of {kind} failed: {q.exception()}")
+    got = await_landing(q, run.timeout_s if run.once else None)
     if kind == "redis" and not q.isActive:
         end = landed_end(spark, sopts.checkpoint)
         if end is not None:
             redis.acknowledge(options, end)
-    return totals(q)
+    return got
 
 
 def landed_end(spark: SparkSession, checkpoint: str) -> str | None:
