@@ -21,7 +21,7 @@ from siltbed.plans.read import dataset_state, read_dataset
 from siltbed.plans.registry import register
 from siltbed.session import scratch_path
 from siltbed.sources.envelope import ENVELOPE, SOURCE_COL, from_table, with_source
-from siltbed.streaming.landing import StreamOptions, start_landing
+from siltbed.streaming.landing import StreamOptions, await_landing, start_landing
 
 ROW_COLS = [SOURCE_COL, "offset", "event_id", "ts", "user_id", "value", "props"]
 ROWS_SQL = """SELECT event_type AS _source_id, event_id AS "offset", event_id, ts, user_id, "value", props FROM events"""
@@ -389,6 +389,19 @@ def one_shot_drain(spark, sf_dir):
     return read_dataset(spark, opts.base).groupBy(SOURCE_COL).agg(F.count(F.lit(1)).alias("n_events"))
 
 
+@register("staged_flushes", """
+SELECT event_type AS _source_id, count(*) AS n_events, CAST(3 AS BIGINT) AS n_flushes FROM events GROUP BY 1""")
+def staged_flushes(spark, sf_dir):
+    """Five micro-batches, landed two at a time: three flushes, told apart by their commits."""
+    src = scratch_path(spark, "staged_flushes", "envelope")
+    fx.events_envelope(spark, sf_dir).repartitionByRange(5, "offset").write.parquet(src)
+    opts = LandOptions(base=scratch_path(spark, "staged_flushes", "lake"), query="staged_flushes")
+    sopts = StreamOptions(checkpoint=scratch_path(spark, "staged_flushes", "checkpoint"), trigger={"availableNow": True}, flush_batches=2)
+    await_landing(start_landing(spark.readStream.schema(ENVELOPE).option("maxFilesPerTrigger", 1).parquet(src), opts, sopts, EVENT_SCHEMA))
+    n_flushes = dataset_state(spark, opts.base).commits.agg(F.countDistinct("_batch_id").alias("n_flushes"))
+    return read_dataset(spark, opts.base).groupBy(SOURCE_COL).agg(F.count(F.lit(1)).alias("n_events")).join(F.broadcast(n_flushes))
+
+
 @register("json_per_source", """
 SELECT event_type AS _source_id, event_id, CASE event_type WHEN 'click' THEN 'bigint' WHEN 'view' THEN 'struct<k:bigint>' WHEN 'error' THEN 'double' ELSE 'string' END AS q_type,
        CASE event_type WHEN 'click' THEN CAST(user_id AS VARCHAR) WHEN 'view' THEN '{"k":' || CAST(user_id AS VARCHAR) || '}'

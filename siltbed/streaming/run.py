@@ -17,10 +17,15 @@ from siltbed.streaming.landing import StreamOptions, await_landing, start_landin
 
 @dataclass
 class RunOptions:
-    """once: land what is there when the run begins, then end; else go on until stopped. max_batches: end after exactly so many flushes (0: none)."""
+    """once: land what is there when the run begins, then end; else go on until stopped. max_batches: end after exactly so many non-empty batches (0: none).
+
+    flush_interval_batches: land so many batches together; with flush_interval_seconds as well, whichever comes first. Seconds alone
+    are the trigger's: a batch then holds what came in that time.
+    """
 
     once: bool = False
     flush_interval_seconds: int | None = None
+    flush_interval_batches: int | None = None
     max_batches: int = 0
     timeout_s: float = 3600.0
 
@@ -30,6 +35,8 @@ def trigger_of(kind: str, options: dict, run: RunOptions) -> dict:
         return trigger_for(KafkaSourceOptions(**{**options, "once": run.once}))
     if run.once:
         return {"availableNow": True}
+    if run.flush_interval_batches:
+        return {"processingTime": "0 seconds"}
     return {"processingTime": f"{int(run.flush_interval_seconds or 0)} seconds"}
 
 
@@ -47,9 +54,11 @@ def start(spark: SparkSession, kind: str, options: dict, land_opts: LandOptions,
 def land_source(spark: SparkSession, kind: str, options: dict, land_opts: LandOptions, sopts: StreamOptions, run: RunOptions, schema: T.StructType | None = None) -> dict:
     """Land a source to the end of the run; returns its totals. A failure of the query is raised, and nothing of the failed batch is acknowledged."""
     sopts.max_batches = run.max_batches
+    if run.flush_interval_batches and kind != "kafka":  # Kafka's trigger holds a batch back until it has the rows, or the age
+        sopts.flush_batches, sopts.flush_seconds = run.flush_interval_batches, run.flush_interval_seconds or 0
     q = start(spark, kind, options, land_opts, sopts, run, schema)
     got = await_landing(q, run.timeout_s if run.once else None)
-    if kind == "redis" and not q.isActive:
+    if kind == "redis" and not q.isActive and not got.get("pending"):
         end = landed_end(spark, sopts.checkpoint)
         if end is not None:
             redis.acknowledge(options, end)
