@@ -6,8 +6,8 @@ up and down the tree give each leaf's marginal, and the leaves that are likelier
 weights are trained by maximum likelihood on labelled pages: made by templates of many layouts, and a bounded
 sample of the input's own pages that mark their article, labelled by that mark.
 
-Defined cases: null or empty html gives an empty text; a page without blocks too; a tag that never closes is text; pages are judged one by one, so repeated
-rows get equal texts; null ids and urls stay null; an empty table gives no rows; extra columns are ignored.
+Defined cases: null or empty html gives an empty text; a page without blocks too; a tag that never closes is text; a very long page is read whole, in time in
+proportion to its length; pages are judged one by one, so repeated rows get equal texts; null ids and urls stay null; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -139,6 +139,8 @@ class Page:
 
     def _parse(self, source: str) -> None:
         stack, names = [0], ["html"]  # open blocks
+        places: dict[str, list[int]] = {}  # where each name is open, but for the root
+        endless: set[str] = set()  # unseen elements that end nowhere from here on
         words: list[str] = []
         linked = links = 0
 
@@ -150,13 +152,19 @@ class Page:
             words.clear()
             linked = 0
 
+        def cut(at: int) -> None:
+            """Close all open blocks from the one at ``at`` on."""
+            for name in names[at:]:
+                places[name].pop()
+            del stack[at:], names[at:]
+
+        def nearest(wanted: set) -> int:
+            return max((places[name][-1] for name in wanted if places.get(name)), default=-1)
+
         def close(name: str) -> None:
-            if name in names[1:]:
+            if places.get(name):
                 close_block()
-                while True:
-                    stack.pop()
-                    if names.pop() == name:
-                        return
+                cut(places[name][-1])
 
         at, size, tags = 0, len(source), Tags(source)
         while at < size:
@@ -178,11 +186,13 @@ class Page:
                     close(name)
                 continue
             if name in UNSEEN:
-                end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(source, at)
-                if name != "head" and not attributes.rstrip().endswith("/"):
-                    at = end.end() if end else size
-                elif name == "head" and end:
-                    at = end.end()
+                if name == "head" or not attributes.rstrip().endswith("/"):
+                    end = None if name in endless else re.compile(rf"</{re.escape(name)}\s*>", re.I).search(source, at)
+                    if end:
+                        at = end.end()
+                    else:
+                        endless.add(name)
+                        at = at if name == "head" else size
                 continue
             if name == "br":
                 words.append(" ")
@@ -194,15 +204,14 @@ class Page:
             links = 0
             if names[-1] == "p":
                 close("p")
-            for i in range(len(names) - 1, 0, -1):
-                if names[i] in CLOSERS.get(name, ()):
-                    del stack[i:], names[i:]
-                    break
-                if names[i] in BARRIERS.get(name, ()) or name not in CLOSERS:
-                    break
+            if name in CLOSERS:
+                last = nearest(CLOSERS[name])
+                if last > nearest(BARRIERS.get(name, set())):
+                    cut(last)
             if name in VOID or name in ("html", "body"):
                 continue
             stack.append(self._add(stack[-1], name, self._named(name, attributes)))
+            places.setdefault(name, []).append(len(names))
             names.append(name)
         close_block()
 
@@ -457,9 +466,10 @@ def marked_blocks(source: str) -> list[str] | None:
     return content if any(t == "article" for t in page.tag) else None
 
 
-def train(pages: DataFrame, sample: int = 150, templates: int = 400) -> Model:
-    """The model from ``templates`` made pages and at most ``sample`` pages of the input that mark their article."""
-    marked = pages.where(F.col("html").contains("<article") & (F.length("html") < 20_000))
+def train(pages: DataFrame, sample: int = 150, templates: int = 400, longest: int = 20_000) -> Model:
+    """The model from ``templates`` made pages and at most ``sample`` pages of the input that mark their article and are shorter
+    than ``longest``, which bounds what reaches the driver; pages of any length are extracted."""
+    marked = pages.where(F.col("html").contains("<article") & (F.length("html") < longest))
     ids = marked.select("page_id").orderBy(F.xxhash64("page_id"), "page_id").limit(sample)  # ids alone are sorted for the sample
     chosen = marked.select("page_id", "html").join(F.broadcast(ids.distinct()), "page_id", "left_semi").limit(sample).collect()
     own = [(r.html, marked_blocks(r.html)) for r in chosen]

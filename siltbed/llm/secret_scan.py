@@ -13,7 +13,8 @@ larger alphabets. Ordinary tokens are taken too, from the score on where they ar
 Texts are read once, in Arrow batches, into candidates with their scores; the histogram of scores (at most
 7 x 5 x 2 x 65 rows, whatever the input) gives the thresholds, and the accepted spans are chosen in SQL.
 
-Defined cases: a null text is an empty one; empty texts have no spans; repeated rows get equal results; a null doc_id stays null; an
+Defined cases: a null text is an empty one; empty texts have no spans; a very long text is read whole, in time in proportion to its
+length; of base spans that begin at one place the kind listed first comes first; equal scores are accepted or not together; repeated rows get equal results; a null doc_id stays null; an
 empty table gives no rows and thresholds that accept nothing; extra columns are ignored.
 """
 
@@ -134,13 +135,19 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int, int, bool]]:
     """(start, end, encoding number, length class, score 0..64, ordinary) of the long tokens beside the base spans.
 
-    Words are scored in each alphabet whose null distribution they belong to.
+    ``base`` is sorted by start. Words are scored in each alphabet whose null distribution they belong to.
     """
     out = []
+    ahead, reach = 0, 0  # base spans that begin before the token ends, and the furthest end of these
     for m in TOKEN.finditer(text):
         token = m.group()
+        while ahead < len(base) and base[ahead][0] < m.end():
+            reach = max(reach, base[ahead][2])
+            ahead += 1
+        if reach > m.start():
+            continue
         name = encoding(token)
-        if name is None or any(a < m.end() and m.start() < b for a, _, b in base):
+        if name is None:
             continue
         ordinary = bool(WORDLIKE.fullmatch(token))
         if name == "letters":

@@ -98,6 +98,32 @@ def test_tags_that_never_close_are_text_in_linear_time():
     assert time.time() - began < 20
 
 
+def test_open_blocks_and_missing_ends_are_found_in_linear_time():
+    import time
+
+    makes = [lambda n: "<div>" * n + "</p>x" * n, lambda n: "<svg/>" * n, lambda n: "<head>" * n, lambda n: "<script/>" * n + "x", lambda n: "<div>" * n + "<li>a</li>" * n,
+             lambda n: "<table><tr><td>" + "<div>" * n + "<option>a</option>" * n, lambda n: "<ul><li><ul>" + "<div>" * n + "<li>a</li>" * n]
+    for make in makes:
+        spent = []
+        for n in (20_000, 40_000):
+            best = 9e9
+            for _ in range(3):
+                began = time.perf_counter()
+                H.Page(make(n))
+                best = min(best, time.perf_counter() - began)
+            spent.append(best)
+        assert spent[1] < 3.5 * spent[0] and spent[1] < 5
+
+
+def test_items_and_cells_close_what_is_open_up_to_their_list_or_table():
+    page = H.Page("<ul><li>a<div>b<li>c<ul><li>d</ul>e<li>f</ul><table><tr><td>g<td>h<table><tr><td>i</table>j<td>k</table></p>l")
+    path = lambda i: "" if i < 1 else f"{path(page.parent[i])}/{page.tag[i]}"
+    got = {page.text[i]: path(page.parent[i]) for i in range(len(page.tag)) if page.tag[i] == "#"}
+    cell = "/table/tr/td"
+    assert got == {"a": "/ul/li", "b": "/ul/li/div", "c": "/ul/li", "d": "/ul/li/ul/li", "e": "/ul/li", "f": "/ul/li", "g": cell, "h": cell, "i": cell + cell,
+                   "j": cell, "k": cell, "l": ""}
+
+
 def test_tags_match_plain_backtracking():
     """On short pages the tags are those of the plain expression."""
     import random

@@ -1,8 +1,10 @@
 """Base spans against plain regexes, the tests' size and power, thresholds, odd rows."""
 
 import base64
+import hashlib
 import random
 import re
+import time
 
 from siltbed.llm import secret_scan as S
 
@@ -25,6 +27,40 @@ def test_base_spans_match_brute_force(sample_docs):
         assert S.base_spans(t) == plain(t)
 
 
+def test_counts_and_digest_of_the_query_match_brute_force(sample_docs, odd):
+    for docs in (sample_docs, odd):
+        want = []
+        for r in docs.select("doc_id", "text").collect():
+            spans = plain(r.text or "")
+            line = ",".join(f"{S.KINDS[k]}:{a}:{b}" for a, k, b in spans)
+            want.append((r.doc_id, *(sum(k == x for _, k, _ in spans) for x in range(3)), hashlib.sha256(line.encode()).hexdigest()))
+        got = S.digest(docs)
+        kept = got.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256").collect()
+        assert sorted(map(str, map(tuple, kept))) == sorted(map(str, want))
+        for r in got.collect():  # the base spans stay among all spans
+            base = [x for x in (r.spans or "").split(",") if x and not x.startswith("random")]
+            assert hashlib.sha256(",".join(base).encode()).hexdigest() == r.base_sha256
+
+
+def test_many_base_spans_take_linear_time_and_hide_what_they_touch():
+    r = random.Random(8)
+    lines = [hashlib.sha256(str(i).encode()).hexdigest() + "  " + "".join(r.choice("ab9Z_/") for _ in range(r.randint(10, 30))) for i in range(40_000)]
+    for text in ("\n".join(lines[:200]), "x" + lines[0] + "y token=" + lines[1] + "/" + "q" * 20):
+        base = S.base_spans(text)
+        free = [(m.start(), m.end()) for m in S.TOKEN.finditer(text) if not any(a < m.end() and m.start() < b for a, _, b in base)]
+        assert {(a, b) for a, b, *_ in S.candidates(text, base)} == {(a, b) for a, b in free if S.encoding(text[a:b]) is not None}
+    spent = []
+    for n in (20_000, 40_000):
+        text = "\n".join(x[:64] for x in lines[:n])
+        base, best = S.base_spans(text), 9e9
+        for _ in range(3):
+            began = time.perf_counter()
+            S.candidates(text, base)
+            best = min(best, time.perf_counter() - began)
+        spent.append(best)
+    assert spent[1] < 3.5 * spent[0]
+
+
 def random_token(r, name, n):
     raw = bytes(r.randrange(256) for _ in range(n))
     return raw.hex()[:n] if name == "hex" else base64.b64encode(raw).decode()[:n]
