@@ -170,14 +170,15 @@ def walk(homes: np.ndarray, visitors: np.ndarray, spent: np.ndarray, depth: int,
     return values[moved], values[root[moved]]
 
 
-def links(fps: DataFrame, bits: int = 4, most: int = 4096) -> DataFrame:
+def links(fps: DataFrame, bits: int = 4, most: int = 4096, tasks: int = 20_000) -> DataFrame:
     """Edges (a, b) of a spanning forest of all pairs of distinct ``fp`` values that differ in at most ``bits`` bits.
 
-    ``most``: rows of a node that one task finishes; a larger node is always split further. The budget of the
-    first half needs bits < 32.
+    ``most``: rows of a node that one task finishes; a larger node is always split further. ``tasks``: the
+    greatest number of parts that the first expansion is dealt to. The budget of the first half needs bits < 32.
     """
     n = fps.count()
-    fps = fps.repartition("fp")  # the table is small, its walk is not
+    # the table is small, its walk is not: parts that follow it, which adaptive plans don't merge
+    fps = fps.repartition(min(tasks, n // most + 1), "fp")
     rows = fps.select(F.explode(F.array(F.struct(F.lit(0).alias("trie"), F.col("fp")), F.struct(F.lit(1).alias("trie"), _turned(F.col("fp")).alias("fp")))).alias("x"))
     rows = rows.select("x.trie", F.lit(0).cast("long").alias("node"), "x.fp", F.lit(True).alias("home"), F.lit(0).alias("diff"))
     depth = 0
