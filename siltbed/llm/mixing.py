@@ -1,13 +1,14 @@
 """Mixing sources to target weights by iterative proportional fitting (operator 1), DataFrame operations only.
 
 Token counts are added up by (source, language, topic) cell. Raking scales the cells in turn to the target
-shares of each margin until all three hold; a cell never gets more tokens than it has. A document's
-probability is its cell's fitted share of the cell's tokens, and it is sampled if a hash of its id lies below.
+shares of each margin until no cell's probability moves by more than a tolerance in a round; a cell never gets more
+tokens than it has. Where such caps leave a margin short, :func:`margins` names it, with what it got and what there was.
+A document's probability is its cell's fitted share of the cell's tokens, and it is sampled if a hash of its id lies below.
 Only the cells are iterated over; the documents are read once for the counts and once for the sample.
 
 Defined cases: a null source, language or topic is a value of its own; a null or empty text has no tokens, and is
 kept like others of its cell (a cell without tokens is kept whole); rows that repeat a doc_id are sampled together;
-a null doc_id hashes as the text "null"; an empty table gives no rows; extra columns are kept, whatever their names.
+a null doc_id hashes as the text "null"; an empty table gives no rows; extra columns are kept, whatever their names; very long texts are counted whole.
 """
 
 from __future__ import annotations
@@ -18,7 +19,8 @@ from pyspark.sql import functions as F
 from siltbed.llm.common import WORD, materialize, private
 
 MARGINS = ("source", "lang", "topic")
-ROUNDS = 8
+ROUNDS = 100  # a guard
+TOLERANCE = 1e-9
 
 
 def tokens(text: Column) -> Column:
@@ -51,54 +53,94 @@ def target_shares(cells: DataFrame, margin: str, wanted: dict | float) -> DataFr
     return shares.select(margin, (F.col("w") / total).alias("share"))
 
 
-def rake(cells: DataFrame, targets: dict, budget: float, rounds: int = ROUNDS) -> DataFrame:
-    """Cells with ``p``: fitted tokens over tokens, after ``rounds`` rounds over the margins.
+def goals(cells: DataFrame, targets: dict, budget: float) -> dict[str, DataFrame]:
+    """For each margin (value, goal): the tokens that each of its values should get."""
+    size = float(cells.agg(F.sum("tokens")).first()[0] or 0)  # one number
+    return {m: materialize(target_shares(cells, m, targets[m]).select(
+        F.col(m).alias(f"{m}_"), (F.col("share") * size * budget).alias("goal")), f"goal-{m}") for m in MARGINS}
+
 
+def rake(cells: DataFrame, wanted: dict[str, DataFrame], rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> DataFrame:
+    """Cells with ``fit``, the tokens that they get, and ``p``, their part of the cell's tokens; ``wanted``: from :func:`goals`.
+
+    It ends with the first round in which no ``p`` moves by more than ``tolerance``, or after ``rounds``.
     The small joins are merge joins: so many broadcasts would pile up in the driver's memory.
     """
-    size = float(cells.agg(F.sum("tokens")).first()[0] or 0)  # one number
     fitted = cells.withColumn("fit", F.col("tokens").cast("double"))
-    wanted = {m: materialize(target_shares(cells, m, targets[m]).select(
-        F.col(m).alias(f"{m}_"), (F.col("share") * size * budget).alias("goal")), f"goal-{m}") for m in MARGINS}
     for _ in range(rounds):
+        fitted = fitted.withColumn("was", F.col("fit"))
         for m in MARGINS:
             now = fitted.groupBy(m).agg(F.sum("fit").alias("now")).select(F.col(m).alias(f"{m}_"), "now")
             scale = now.hint("merge").join(wanted[m], now[f"{m}_"].eqNullSafe(wanted[m][f"{m}_"])).select(now[f"{m}_"], (F.col("goal") / F.nullif("now", F.lit(0.0))).alias("scale"))
             fitted = (fitted.join(scale.hint("merge"), F.col(m).eqNullSafe(F.col(f"{m}_")), "left").drop(f"{m}_")
                       .withColumn("fit", F.least(F.col("tokens").cast("double"), F.col("fit") * F.coalesce("scale", F.lit(0.0)))).drop("scale"))
         fitted = materialize(fitted, "raked")
+        moved = fitted.where("tokens > 0").agg(F.max(F.abs(F.col("fit") - F.col("was")) / F.col("tokens"))).first()[0]  # one number
+        fitted = fitted.drop("was")
+        if (moved or 0.0) <= tolerance:
+            break
     return fitted.withColumn("p", F.when(F.col("tokens") == 0, 1.0).otherwise(F.col("fit") / F.col("tokens")))
 
 
+def margins(raked: DataFrame, wanted: dict[str, DataFrame], tolerance: float = 0.01) -> DataFrame:
+    """(margin, value, goal, fitted, available, reached) for every value of each margin.
+
+    ``reached``: fitted is within ``tolerance`` of the goal, as a part of the goal. A goal is out of reach where it is greater than
+    ``available``, or where the cells that it shares with other margins are held back or used up by those.
+    """
+    found = None
+    for m in MARGINS:
+        got = raked.groupBy(m).agg(F.sum("fit").alias("fitted"), F.sum("tokens").alias("available"))
+        got = got.join(wanted[m], F.col(m).eqNullSafe(F.col(f"{m}_"))).select(
+            F.lit(m).alias("margin"), F.col(m).alias("value"), "goal", "fitted", "available",
+            (F.abs(F.col("fitted") - F.col("goal")) <= F.col("goal") * tolerance).alias("reached"))
+        found = got if found is None else found.unionByName(got)
+    return found
+
+
 def draw(doc_id: Column) -> Column:
     """A number in [0, 1) from the id, the same on every run: 48 bits of its MD5."""
     return F.conv(F.substring(F.md5(F.concat(F.lit("mix-"), F.coalesce(doc_id.cast("string"), F.lit("null")))), 1, 12), 16, 10).cast("double") / F.lit(float(2**48))
 
 
+def _labelled(docs: DataFrame, label: Column | None) -> DataFrame:
+    label = topic(F.col("text")) if label is None else label
+    return docs.select(F.struct("*").alias("row"), F.col("source").cast("string").alias("source"), F.col("lang").cast("string").alias("lang"),
+                       label.alias("topic"), tokens(F.col("text")).alias("tokens"))
+
+
+def _raked(rows: DataFrame, targets: dict | None, budget: float, rounds: int, tolerance: float) -> tuple[DataFrame, dict[str, DataFrame]]:
+    cells = materialize(rows.groupBy(*MARGINS).agg(F.sum("tokens").alias("tokens")), "cells")
+    wanted = goals(cells, {"source": 0.5, "lang": 0.7, "topic": 0.9} | (targets or {}), budget)
+    return rake(cells, wanted, rounds, tolerance), wanted
+
+
 def with_probability(docs: DataFrame, targets: dict | None = None, budget: float = 0.5, rounds: int = ROUNDS,
-                     label: Column | None = None) -> DataFrame:
+                     label: Column | None = None, tolerance: float = TOLERANCE) -> DataFrame:
     """(row, doc_id, tokens, topic, p, u) per document; ``row``: all input columns.
 
     ``targets``: for each margin a dict of weights, or the power its present shares are raised to (below 1: evened out).
     ``budget``: the tokens wanted, as a part of all. ``label``: the topic column, by default :func:`topic`.
     """
-    targets = {"source": 0.5, "lang": 0.7, "topic": 0.9} | (targets or {})
-    label = topic(F.col("text")) if label is None else label
-    rows = docs.select(F.struct("*").alias("row"), F.col("source").cast("string").alias("source"), F.col("lang").cast("string").alias("lang"),
-                       label.alias("topic"), tokens(F.col("text")).alias("tokens"))
-    cells = materialize(rows.groupBy(*MARGINS).agg(F.sum("tokens").alias("tokens")), "cells")
-    chance = rake(cells, targets, budget, rounds).select(*(F.col(m).alias(f"{m}_") for m in MARGINS), "p")
+    rows = _labelled(docs, label)
+    chance = _raked(rows, targets, budget, rounds, tolerance)[0].select(*(F.col(m).alias(f"{m}_") for m in MARGINS), "p")
     same = [F.col(m).eqNullSafe(F.col(f"{m}_")) for m in MARGINS]
     return rows.join(chance, same).select("row", F.col("row.doc_id").alias("doc_id"), "source", "lang", "topic", "tokens", "p", draw(F.col("row.doc_id")).alias("u"))
 
 
+def margin_report(docs: DataFrame, targets: dict | None = None, budget: float = 0.5, rounds: int = ROUNDS, label: Column | None = None,
+                  tolerance: float = TOLERANCE, near: float = 0.01) -> DataFrame:
+    """:func:`margins` of the mix that :func:`mix` would take from ``docs`` with the same arguments; ``near``: when a goal counts as reached."""
+    return margins(*_raked(_labelled(docs, label), targets, budget, rounds, tolerance), near)
+
+
 def mix(docs: DataFrame, targets: dict | None = None, budget: float = 0.5, rounds: int = ROUNDS, label: Column | None = None) -> DataFrame:
     """The sampled rows of ``docs``, with all their columns."""
     return with_probability(docs, targets, budget, rounds, label).where("u < p").select("row.*")
 
 
-def oracle(rounds: int = ROUNDS, budget: float = 0.5, powers: tuple = (0.5, 0.7, 0.9)) -> str:
-    """The same rows in DuckDB's SQL: each raking step is a table expression."""
+def oracle(rounds: int = 32, budget: float = 0.5, powers: tuple = (0.5, 0.7, 0.9)) -> str:
+    """The same rows in DuckDB's SQL: each raking step is a table expression, in as many rounds as the tables need and some more."""
     topic_sql = """CASE WHEN text IS NULL THEN NULL WHEN contains(text, ' | ') THEN 'table'
       WHEN regexp_matches(text, '[0-9a-f]{32}|AKIA|@[a-z0-9]+[.]') THEN 'record' WHEN contains(text, '!! ') THEN 'shout'
       WHEN length(text) < 600 THEN 'note' WHEN length(text) < 4000 THEN 'article' ELSE 'long read' END"""

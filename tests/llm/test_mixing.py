@@ -53,3 +53,47 @@ def test_odd_rows_and_extra_columns(odd, none):
     assert {r.doc_id for r in rows} >= {2, 3, 4}  # cells without tokens stay whole
     assert sum(r.doc_id == 5 for r in rows) in (0, 2)
     assert mixing.mix(none).collect() == []
+
+
+def cells_of(spark, rows):
+    return spark.createDataFrame(rows, "source string, lang string, topic string, tokens long")
+
+
+def raked(spark, rows, targets, budget):
+    cells = cells_of(spark, rows)
+    wanted = mixing.goals(cells, targets, budget)
+    fit = mixing.rake(cells, wanted)
+    return {(r.margin, r.value): r for r in mixing.margins(fit, wanted).collect()}, fit.collect()
+
+
+def test_capped_cells_reach_the_margins_that_can_be_reached(spark):
+    # half of a's English must go to make room, and its German is used up; another cell gives what that one lacks
+    rows = [("a", "en", "t", 800), ("a", "de", "t", 60), ("b", "en", "t", 300), ("b", "de", "t", 400)]
+    even = {"source": {"a": 1, "b": 1}, "lang": {"en": 1, "de": 1}, "topic": {"t": 1}}
+    found, cells = raked(spark, rows, even, 0.4)
+    assert all(r.reached for r in found.values())
+    for r in found.values():
+        assert abs(r.fitted - r.goal) < 0.01 * r.goal
+    assert all(0 <= r.p <= 1 for r in cells)
+    capped, cells = raked(spark, rows, even | {"source": {"a": 3, "b": 2}, "lang": {"en": 3, "de": 2}}, 0.5)
+    assert all(r.reached for r in capped.values())
+    assert {(r.source, r.lang) for r in cells if r.p == 1.0} <= {("a", "de")}
+
+
+def test_margins_out_of_reach_are_named(spark):
+    rows = [("a", "en", "t", 800), ("a", "de", "t", 10), ("b", "en", "t", 20), ("b", "de", "t", 170)]
+    found, cells = raked(spark, rows, {"source": {"a": 3, "b": 2}, "lang": {"en": 11, "de": 9}, "topic": {"t": 1}}, 0.5)
+    short = {k for k, r in found.items() if not r.reached}
+    assert ("source", "b") in short and ("lang", "de") in short  # 200 wanted of 190, 225 of 180
+    assert found["source", "b"].goal > found["source", "b"].available == 190
+    assert found["lang", "de"].fitted <= found["lang", "de"].available == 180
+    assert all(0 <= r.p <= 1 for r in cells)
+
+
+def test_margin_report_of_the_default_mix(sample_docs, odd, none):
+    rows = mixing.margin_report(sample_docs).collect()
+    assert {r.margin for r in rows} == set(mixing.MARGINS) and all(r.reached for r in rows)
+    for m in mixing.MARGINS:
+        assert abs(sum(r.fitted for r in rows if r.margin == m) / sum(r.available for r in rows if r.margin == m) - 0.5) < 0.005
+    assert {r.value for r in mixing.margin_report(odd).collect() if r.margin == "source"} == {None, "a", "b", "c"}
+    assert mixing.margin_report(none).collect() == []
