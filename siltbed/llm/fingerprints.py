@@ -3,9 +3,9 @@
 A text is a set of words weighted by their counts. A word draws r and c from Gamma(2, 1) and b from [0, 1) by its
 hash; with weight w, t = floor(ln w / r + b), and ln a = ln c - r (t - b) - r. The word of least a is a sample, written as a
 code of (word, t): two texts draw equal samples with a probability of their generalised Jaccard similarity
-(the sum of the lesser weights over the sum of the greater). A weight is cut into slices of 1 at most (its sums of
-lesser and greater parts stay the same), and slices are dealt to 128 bins by hash, each of which gives one sample: so a slice
-is drawn for once however long the signature, and frequent words count in as many bins as their weight asks. A code has 8 bits (00: no word in
+(the sum of the lesser weights over the sum of the greater). A weight is cut into slices of ``width`` at most (its sums of
+lesser and greater parts stay the same), each drawn for by its own weight: t changes as it grows. Slices are dealt to 128 bins by
+hash, each of which gives one sample: so a slice is drawn for once however long the signature, and frequent words count in as many bins as their weight asks. A code has 8 bits (00: no word in
 the bin), and the chance of equal codes for unequal samples, 1 in 255, is taken out of the likeness.
 
 Words are exploded and counted, drawn for and reduced to the least of each bin by aggregates over the keys that the
@@ -14,7 +14,7 @@ rows are partitioned by already, so that making a fingerprint shuffles nothing a
 Defined cases: a null text is an empty one, whose signature has no words; two texts without words have likeness 1; rows
 that repeat doc_id and text are one document (each gives a row); repeated ids with different
 texts are ordered by a hash of the text; a null doc_id comes last in descending order; an only document is its
-own next one; an empty table gives no rows; extra columns are ignored.
+own next one; an empty table gives no rows; extra columns are ignored; a very long text is counted whole, its counts spill if they must.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from siltbed.llm.common import materialize, range_buckets, settings, word_list
 
-BINS, CODES = 128, 255
+BINS, CODES, WIDTH = 128, 255, 2.0
 LEAST = -(2**63)
 
 
@@ -33,18 +33,19 @@ def _uniform(bits: Column, shift: int) -> Column:
     return (F.shiftrightunsigned(bits, shift).bitwiseAND(2**21 - 1) + F.lit(0.5)) / F.lit(float(2**21))
 
 
-def signatures(texts: DataFrame, keys: list[str], text: str, scale: float = 1.0, copies: str | None = None) -> DataFrame:
+def signatures(texts: DataFrame, keys: list[str], text: str, scale: float = 1.0, copies: str | None = None, width: float = WIDTH) -> DataFrame:
     """``keys`` and ``codes``, the codes of the bins, for every row that has a word; a word weighs ``scale`` times its count.
 
-    ``keys`` identify a text; where rows repeat them, ``copies`` is the column with their number.
+    ``keys`` identify a text; where rows repeat them, ``copies`` is the column with their number. Slices wider than the usual
+    weight are fewer but make bins of unequal weight, so that frequent words count for too little in the likeness.
     """
     extra = [copies] if copies else []
     words = texts.select(*keys, *extra, F.explode(word_list(F.col(text))).alias("word"))
     words = words.select(*keys, *extra, F.xxhash64("word").alias("word"))
     times = F.count("*") / F.first(copies) if copies else F.count("*")
     weights = words.groupBy(*keys, "word").agg((times * F.lit(float(scale))).alias("weight"))
-    slices = weights.withColumn("slice", F.explode(F.sequence(F.lit(0), F.ceil("weight").cast("int") - 1)))
-    part = F.least(F.col("weight") - F.col("slice"), F.lit(1.0))
+    slices = weights.withColumn("slice", F.explode(F.sequence(F.lit(0), F.ceil(F.col("weight") / F.lit(width)).cast("int") - 1)))
+    part = F.least(F.col("weight") - F.col("slice") * F.lit(width), F.lit(width))
     drawn = slices.select(*keys, part.alias("weight"), F.xxhash64("word", "slice").alias("word"))
     drawn = drawn.withColumn("more", F.xxhash64("word"))
     drawn = drawn.withColumn("r", -F.log(_uniform(F.col("word"), 0) * _uniform(F.col("word"), 21)))
@@ -105,11 +106,12 @@ def next_documents(docs: DataFrame) -> DataFrame:
     return materialize(keys.select("id", "mark", "n", "copies", follow["id"].alias("next_id"), follow["mark"].alias("next_mark")), "next")
 
 
-def edited_and_next(docs: DataFrame, task_chars: int = 3_000_000) -> DataFrame:
+def edited_and_next(docs: DataFrame, task_chars: int = 3_000_000, tasks: int = 20_000) -> DataFrame:
     """doc_id, n_chars, edited_sha256, both fingerprints, and the likeness to the edited text and to the next document.
 
     Texts are shuffled once, by id, into parts of about ``task_chars`` characters, whose words a task counts in memory (about 100 bytes
-    for each distinct word of a text); the one exchange serves all uses.
+    for each distinct word of a text); the one exchange serves all uses. There are at most ``tasks`` parts: beyond them a part
+    holds more texts, and its counts and lists are sorted on disk where they outgrow the memory.
     """
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST)).alias("id"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.select("id", F.xxhash64("text").alias("mark"), "text")
@@ -130,8 +132,8 @@ def edited_and_next(docs: DataFrame, task_chars: int = 3_000_000) -> DataFrame:
     done = about.join(found, ["id", "mark"], "left").select(
         "id", "mark", "copies", "n_chars", "edited_sha256", F.unhex(written(own)).alias("fingerprint"), F.unhex(written(other)).alias("edited_fingerprint"), likeness(own, other).alias("near_edited"))
     # planned at once, all uses of an exchange share it; a task's lists of bins stay in memory (128 longs a text)
-    with settings(docs.sparkSession, spark__sql__adaptive__enabled="false", spark__sql__shuffle__partitions=str(max(8, chars // task_chars)),
-                  spark__sql__objectHashAggregate__sortBased__fallbackThreshold="1000000"):
+    with settings(docs.sparkSession, spark__sql__adaptive__enabled="false", spark__sql__shuffle__partitions=str(min(tasks, max(8, chars // task_chars))),
+                  spark__sql__objectHashAggregate__sortBased__fallbackThreshold="100000"):
         done = materialize(done, "fingerprints")
     after = follow.select("id", "mark", "next_id", "next_mark")
     beside = done.select(F.col("id").alias("next_id"), F.col("mark").alias("next_mark"), F.col("fingerprint").alias("beside")).dropDuplicates(["next_id", "next_mark"])

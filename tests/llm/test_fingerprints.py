@@ -55,3 +55,19 @@ def test_odd_rows(odd, none):
     assert P.edited_and_next(none).collect() == []
     only = P.edited_and_next(odd.where("doc_id = 1")).first()
     assert only.near_next == 1.0  # its own next document
+
+
+def test_samples_follow_whole_counts(spark):
+    """A word once and the same word twice draw equal samples half the time, as 1 / 2 of their weights is shared."""
+    df = spark.createDataFrame([(k, n, " ".join([f"word{k}"] * n)) for k in range(600) for n in (1, 2)], "k int, n int, t string")
+    codes = {(r.k, r.n): [c for c in r.codes if c] for r in P.signatures(df, ["k", "n"], "t").collect()}
+    assert all(len(c) == 1 for c in codes.values())  # one slice, so one bin
+    same = sum(codes[k, 1] == codes[k, 2] for k in range(600)) / 600
+    assert abs(same - 0.5) < 0.08, same
+
+
+def test_parts_are_bounded_and_change_nothing(spark, sample_docs):
+    docs = sample_docs.where("doc_id < 60")
+    rows = lambda df: sorted(tuple(r) for r in df.collect())
+    few, many = P.edited_and_next(docs, task_chars=1, tasks=2), P.edited_and_next(docs)
+    assert rows(few) == rows(many)
