@@ -120,13 +120,24 @@ def near_lines(docs: DataFrame, first: DataFrame, near_words: int) -> DataFrame:
     return pairs.where(near).select("h").distinct()
 
 
-def dropped_lines(docs: DataFrame, near_words: int = 8) -> DataFrame:
-    """The places of the lines that equal an earlier line or are within an edit of one."""
+def dropped_lines(docs: DataFrame, near_words: int = 8, hot_lines: int = 1000) -> DataFrame:
+    """The places of the lines that equal an earlier line or are within an edit of one.
+
+    At most ``hot_lines`` lines can each hold more than 1 / ``hot_lines`` of all places: those are broadcast, and their places
+    stay where they are read. The places of the others meet their line in a join, and only lines that have something to drop take part.
+    """
     lines = materialize(with_ends(_lines(docs), near_words).select("place", "h", "ends"), "lines")
-    first = materialize(lines.groupBy("h").agg(F.min("place").alias("place"), F.first("ends").alias("ends")), "first-lines")
+    first = lines.groupBy("h").agg(F.min("place").alias("place"), F.first("ends").alias("ends"), F.count("*").alias("places"))
+    first = materialize(first, "first-lines")
     near = near_lines(docs, first, near_words).withColumn("near", F.lit(True))
-    known = first.select("h", F.col("place").alias("first")).join(near, "h", "left")
-    return lines.select("place", "h").join(known, "h").where("near or place > first").select("place")
+    known = first.select("h", F.col("place").alias("first"), "places").join(near, "h", "left").where("near or places > 1")
+    known = materialize(known, "known-lines")
+    share = (first.agg(F.sum("places")).first()[0] or 0) / hot_lines  # one number
+    hot = F.broadcast(known.where(F.col("places") > share))  # fewer than hot_lines rows
+    lines, dropped = lines.select("place", "h"), F.expr("near or place > first")
+    often = lines.join(hot, "h").where(dropped).select("place")
+    rest = lines.join(hot.select("h"), "h", "left_anti").join(known.where(F.col("places") <= share), "h").where(dropped).select("place")
+    return often.unionByName(rest)
 
 
 def dedup_lines(docs: DataFrame, near_words: int = 8, length: str | None = "n_chars") -> DataFrame:

@@ -124,3 +124,12 @@ def test_rows_of_one_id_or_none_with_different_texts(make):
     assert sorted(got[7]) in (["left", "right\nshared here"], ["left\nshared here", "right"])
     assert {"alpha", "beta one\nomega", "gamma"} <= set(got[None])
     assert sorted(x for x in got[None] if x.startswith(("up", "down"))) in (["down", "up\nboth have it"], ["down\nboth have it", "up"])
+
+
+def test_hot_and_other_lines_drop_the_same_places(make):
+    passage = "a passage that very many of the documents have in common with one another"
+    rows = [(i, f"{passage}\nline {i % 7}\nown line {i} of this document and of no other one at all {i}", "en", "a") for i in range(60)]
+    places = lambda hot: sorted((r.place.doc, r.place.no) for r in L.dropped_lines(make(rows), hot_lines=hot).collect())
+    every = places(1000)
+    assert every == places(1) == places(4)  # all lines broadcast, none, the passage alone
+    assert len([p for p in every if p[1] == min(n for _, n in every)]) == 59
