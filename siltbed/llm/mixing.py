@@ -67,18 +67,22 @@ def rake(cells: DataFrame, wanted: dict[str, DataFrame], rounds: int = ROUNDS, t
     The small joins are merge joins: so many broadcasts would pile up in the driver's memory.
     """
     fitted = cells.withColumn("fit", F.col("tokens").cast("double"))
+    for m in MARGINS:
+        fitted = fitted.join(wanted[m].withColumnRenamed("goal", f"{m}_goal").hint("merge"), F.col(m).eqNullSafe(F.col(f"{m}_"))).drop(f"{m}_")
+    fitted = materialize(fitted, "to-rake")
     for _ in range(rounds):
         fitted = fitted.withColumn("was", F.col("fit"))
         for m in MARGINS:
             now = fitted.groupBy(m).agg(F.sum("fit").alias("now")).select(F.col(m).alias(f"{m}_"), "now")
-            scale = now.hint("merge").join(wanted[m], now[f"{m}_"].eqNullSafe(wanted[m][f"{m}_"])).select(now[f"{m}_"], (F.col("goal") / F.nullif("now", F.lit(0.0))).alias("scale"))
-            fitted = (fitted.join(scale.hint("merge"), F.col(m).eqNullSafe(F.col(f"{m}_")), "left").drop(f"{m}_")
-                      .withColumn("fit", F.least(F.col("tokens").cast("double"), F.col("fit") * F.coalesce("scale", F.lit(0.0)))).drop("scale"))
+            scale = F.coalesce(F.col(f"{m}_goal") / F.nullif("now", F.lit(0.0)), F.lit(0.0))
+            fitted = (fitted.join(now.hint("merge"), F.col(m).eqNullSafe(F.col(f"{m}_")))
+                      .withColumn("fit", F.least(F.col("tokens").cast("double"), F.col("fit") * scale)).drop("now", f"{m}_"))
         fitted = materialize(fitted, "raked")
         moved = fitted.where("tokens > 0").agg(F.max(F.abs(F.col("fit") - F.col("was")) / F.col("tokens"))).first()[0]  # one number
         fitted = fitted.drop("was")
         if (moved or 0.0) <= tolerance:
             break
+    fitted = fitted.drop(*(f"{m}_goal" for m in MARGINS))
     return fitted.withColumn("p", F.when(F.col("tokens") == 0, 1.0).otherwise(F.col("fit") / F.col("tokens")))
 
 
