@@ -10,7 +10,7 @@ from siltbed.functions.timeparts import with_time_partitions
 from siltbed.plans import catalog_land as CL
 from siltbed.plans import fs
 from siltbed.plans.compact import CompactOptions, compact, vacuum
-from siltbed.plans.land import LandOptions, land, land_quarantine
+from siltbed.plans.land import LandOptions, _existing, batch_id_str, land, land_quarantine
 from siltbed.plans.read import dataset_state, read_dataset
 from siltbed.session import scratch_path
 
@@ -198,3 +198,19 @@ def test_compaction_splits_a_large_period_by_target_size(spark, good):
     per_group = {r[0]: r[1] for r in st.live_compacted.groupBy("dir").count().collect()}
     assert per_group and all(n >= 2 for n in per_group.values())
     assert read_dataset(spark, opts.base).count() == good.count()
+
+
+def test_many_batches_take_one_listing_and_a_record_file_each(spark, monkeypatch):
+    opts = LandOptions(base=scratch_path(spark, "t_many"))
+    rows = spark.range(0, 480, 1, 4).selectExpr("id", "id % 40 AS n", "concat('s', id % 3) AS _source_id", "timestamp_seconds(id) AS at")
+    land(rows, opts, batch_col="n", flush_ts=F.col("at"))
+    assert len(fs.list_files(spark, opts.land_dir)) == 120 and read_dataset(spark, opts.base).count() == 480
+    assert len(fs.list_files(spark, opts.commits_dir, ".json")) == 40
+    listings = []
+    for name in ("glob_names", "names_in"):
+        real = getattr(fs, name, None)
+        monkeypatch.setattr(fs, name, lambda *a, real=real: listings.append(a) or real(*a), raising=False)
+    ids = [batch_id_str(opts, i) for i in range(-5, 45)]
+    assert _existing(spark, opts.land_dir, ids, chunk=10) == {f"_batch_id={batch_id_str(opts, i)}" for i in range(40)}
+    assert len(listings) == 1
+    assert _existing(spark, f"{opts.base}/absent", ids, chunk=10) == set() == _existing(spark, opts.land_dir, [], chunk=10)
