@@ -13,7 +13,7 @@ a null doc_id hashes as the text "null"; an empty table gives no rows; extra col
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltbed.llm.common import WORD, materialize, private
@@ -21,6 +21,7 @@ from siltbed.llm.common import WORD, materialize, private
 MARGINS = ("source", "lang", "topic")
 ROUNDS = 100  # a guard
 TOLERANCE = 1e-9
+FEW_CELLS = 50_000  # up to so many, a round of raking is one task without a shuffle
 
 
 def tokens(text: Column) -> Column:
@@ -64,20 +65,21 @@ def rake(cells: DataFrame, wanted: dict[str, DataFrame], rounds: int = ROUNDS, t
     """Cells with ``fit``, the tokens that they get, and ``p``, their part of the cell's tokens; ``wanted``: from :func:`goals`.
 
     It ends with the first round in which no ``p`` moves by more than ``tolerance``, or after ``rounds``.
-    The small joins are merge joins: so many broadcasts would pile up in the driver's memory.
+    The small joins are merge joins: so many broadcasts would pile up in the driver's memory. So do the threads and plans of a round's
+    shuffles: up to ``FEW_CELLS`` cells stay in one partition, which needs none; more are shuffled.
     """
     fitted = cells.withColumn("fit", F.col("tokens").cast("double"))
     for m in MARGINS:
         fitted = fitted.join(wanted[m].withColumnRenamed("goal", f"{m}_goal").hint("merge"), F.col(m).eqNullSafe(F.col(f"{m}_"))).drop(f"{m}_")
     fitted = materialize(fitted, "to-rake")
+    few = fitted.count() <= FEW_CELLS
+    fitted = _in_place(fitted, few)
     for _ in range(rounds):
         fitted = fitted.withColumn("was", F.col("fit"))
         for m in MARGINS:
-            now = fitted.groupBy(m).agg(F.sum("fit").alias("now")).select(F.col(m).alias(f"{m}_"), "now")
             scale = F.coalesce(F.col(f"{m}_goal") / F.nullif("now", F.lit(0.0)), F.lit(0.0))
-            fitted = (fitted.join(now.hint("merge"), F.col(m).eqNullSafe(F.col(f"{m}_")))
-                      .withColumn("fit", F.least(F.col("tokens").cast("double"), F.col("fit") * scale)).drop("now", f"{m}_"))
-        fitted = materialize(fitted, "raked")
+            fitted = _with_sums(fitted, m, few).withColumn("fit", F.least(F.col("tokens").cast("double"), F.col("fit") * scale)).drop("now", f"{m}_")
+        fitted = _in_place(materialize(fitted, "raked"), few)
         moved = fitted.where("tokens > 0").agg(F.max(F.abs(F.col("fit") - F.col("was")) / F.col("tokens"))).first()[0]  # one number
         fitted = fitted.drop("was")
         if (moved or 0.0) <= tolerance:
@@ -86,6 +88,19 @@ def rake(cells: DataFrame, wanted: dict[str, DataFrame], rounds: int = ROUNDS, t
     return fitted.withColumn("p", F.when(F.col("tokens") == 0, 1.0).otherwise(F.col("fit") / F.col("tokens")))
 
 
+def _in_place(cells: DataFrame, few: bool) -> DataFrame:
+    return cells.coalesce(1) if few else cells
+
+
+def _with_sums(cells: DataFrame, m: str, few: bool) -> DataFrame:
+    """``cells`` with ``now``, the sum of ``fit`` over their value of margin ``m``: a window in one partition, a join for many cells,
+    where a value's cells may be too many for one task."""
+    if few:
+        return cells.withColumn("now", F.sum("fit").over(Window.partitionBy(m)))
+    now = cells.groupBy(m).agg(F.sum("fit").alias("now")).select(F.col(m).alias(f"{m}_"), "now")
+    return cells.join(now.hint("merge"), F.col(m).eqNullSafe(F.col(f"{m}_")))
+
+
 def margins(raked: DataFrame, wanted: dict[str, DataFrame], tolerance: float = 0.01) -> DataFrame:
     """(margin, value, goal, fitted, available, reached) for every value of each margin.
 

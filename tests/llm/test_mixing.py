@@ -97,3 +97,22 @@ def test_margin_report_of_the_default_mix(sample_docs, odd, none):
         assert abs(sum(r.fitted for r in rows if r.margin == m) / sum(r.available for r in rows if r.margin == m) - 0.5) < 0.005
     assert {r.value for r in mixing.margin_report(odd).collect() if r.margin == "source"} == {None, "a", "b", "c"}
     assert mixing.margin_report(none).collect() == []
+
+
+def test_few_cells_are_raked_without_a_shuffle_and_like_many(spark, monkeypatch):
+    cells = cells_of(spark, [(f"s{i % 5}" if i % 5 else None, f"l{i % 3}", f"t{i % 4}", 10 + i * 7 % 50) for i in range(60)])
+    wanted = mixing.goals(cells, {"source": 0.5, "lang": 0.7, "topic": 0.9}, 0.5)
+    plans, real = [], mixing.materialize
+
+    def seen(df, name):
+        if name == "raked":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(df, name)
+
+    monkeypatch.setattr(mixing, "materialize", seen)
+    few = {(r.source, r.lang, r.topic): r.p for r in mixing.rake(cells, wanted).collect()}
+    assert plans and not any("Exchange" in p for p in plans)
+    monkeypatch.setattr(mixing, "FEW_CELLS", 59, raising=False)
+    many = {(r.source, r.lang, r.topic): r.p for r in mixing.rake(cells, wanted).collect()}
+    assert "Exchange" in plans[-1] and len(few) == 60 == len(many)
+    assert all(abs(few[c] - many[c]) < 1e-9 for c in few)
