@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 
 from siltbed.functions.timeparts import with_time_partitions
 from siltbed.plans import catalog_land as CL
+from siltbed.plans import catalog_plan as CP
 from siltbed.plans import fs
+from siltbed.plans import land as L
 from siltbed.plans.compact import CompactOptions, compact, vacuum
-from siltbed.plans.land import LandOptions, _existing, batch_id_str, land, land_quarantine
+from siltbed.plans.land import LandOptions, _existing, batch_id_str, land, land_quarantine, read_commits
 from siltbed.plans.read import dataset_state, read_dataset
 from siltbed.session import scratch_path
 
@@ -214,3 +216,64 @@ def test_many_batches_take_one_listing_and_a_record_file_each(spark, monkeypatch
     assert _existing(spark, opts.land_dir, ids, chunk=10) == {f"_batch_id={batch_id_str(opts, i)}" for i in range(40)}
     assert len(listings) == 1
     assert _existing(spark, f"{opts.base}/absent", ids, chunk=10) == set() == _existing(spark, opts.land_dir, [], chunk=10)
+
+
+def test_flush_files_holds_some_listings_at_a_time(spark, tmp_path, monkeypatch):
+    """However many files the flushes have, no frame that is read lists more than the limit; all rows are counted."""
+    events = spark.range(0, 6000, 1, 3).selectExpr(
+        "id AS event_id", "timestampadd(SECOND, id, TIMESTAMP_NTZ '2024-01-01 00:00:00') AS ts", "id % 7 AS user_id",
+        "concat('t', id % 3) AS event_type", "id / 2 AS value", "'{}' AS props")
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    monkeypatch.setattr(L, "FILES_AT_ONCE", 12, raising=False)
+    monkeypatch.setattr(L, "FIRST_FOLDERS", 2, raising=False)
+    held = []
+    reader = type(spark.read)
+    for name in ("parquet", "json", "load"):
+        real = getattr(reader, name)
+
+        def spied(self, *a, real=real, **kw):
+            df = real(self, *a, **kw)
+            held.append(sum("/_batch_id=" in f for f in df.inputFiles()))
+            return df
+
+        monkeypatch.setattr(reader, name, spied)
+    got = {(r.flush_no, r._source_id): r.n_rows for r in CP.flush_files(spark, str(tmp_path)).collect()}
+    # 60 full batches, 20 of each type, arrive in turns: 4 a flush
+    ends = sorted((max(i for i in range(6000) if i % 3 == t and i // 300 == b), t) for t in range(3) for b in range(20))
+    want = {}
+    for n, (_, t) in enumerate(ends):
+        want[(n // 4, f"t{t}")] = want.get((n // 4, f"t{t}"), 0) + 100
+    assert got == want and len(got) > 36
+    assert 0 < max(held) <= 12
+
+
+def test_landing_lists_folders_in_parts_and_commits_all(spark, monkeypatch):
+    monkeypatch.setattr(L, "FILES_AT_ONCE", 7)
+    monkeypatch.setattr(L, "FIRST_FOLDERS", 2)
+    opts = LandOptions(base=scratch_path(spark, "t_parts"))
+    odd = "CASE id % 3 WHEN 0 THEN 'a+b c/%' WHEN 1 THEN 's:x#y?\u00fc' END"  # and no source
+    rows = spark.range(0, 600, 1, 4).selectExpr("id", "id % 20 AS n", f"{odd} AS _source_id", "timestamp_micros(id * 1234567) AS at")
+    landed = land(rows, opts, batch_col="n", flush_ts=F.col("at"))
+    listed = {p: n for p, n in fs.list_files(spark, opts.land_dir)}
+    assert {r["path"]: r["length"] for r in landed.collect()} == listed and len(listed) == 60
+    assert sorted(landed.collect()) == sorted(read_commits(spark, opts.base).collect())
+    groups = list(L.batch_groups(landed))
+    assert [len(g) for g in groups] == [2] * 10 and sum(groups, []) == [batch_id_str(opts, i) for i in range(20)]
+    assert [len(g) for g in L.batch_groups(landed, 2)] == [1] * 20
+    parts = [read_dataset(spark, opts.base, include_internal=True, batches=g) for g in groups]
+    assert sum(p.count() for p in parts) == 600
+    assert sorted(r.id for p in parts for r in p.collect()) == list(range(600))
+    assert {r[0] for r in parts[3].select("_batch_id").distinct().collect()} == set(groups[3])
+    # a batch that is compacted is not read as a batch
+    compact(spark, opts.base, CompactOptions(period="month", min_files=2))
+    assert read_dataset(spark, opts.base, batches=groups[0]).count() == 0 and read_dataset(spark, opts.base).count() == 600
+    assert read_dataset(spark, opts.base, batches=[]).count() == 0
+
+
+def test_settings_for_many_folders_are_put_back(spark):
+    keys = ("spark.sql.sources.parallelPartitionDiscovery.parallelism", "spark.sql.hive.filesourcePartitionFileCacheSize")
+    before = [spark.conf.get(k) for k in keys]
+    with pytest.raises(ValueError), fs.many_folders(spark):
+        assert [spark.conf.get(k) for k in keys] == [str(fs.FEW_TASKS), "0"]
+        raise ValueError
+    assert [spark.conf.get(k) for k in keys] == before
